@@ -1,0 +1,61 @@
+"""Replaying stored messages as a stream, in order of arrival."""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from precinct.plans.scratch import new_folder
+from precinct.sinks.documents import file_collection
+from precinct.sinks.messages import publish_files
+from precinct.sources.streams import file_messages
+from precinct.streaming.runner import drain, start_all
+
+
+def write_slices(messages: DataFrame, path: str, slices: int = 4, files: int = 8) -> list:
+    """Publish messages as ``slices`` consecutive arrival ranges of ``files`` files each.
+
+    Returns the bounds of the ranges. A stream that reads ``files`` files per
+    trigger gets one slice per micro-batch.
+    """
+    moment = F.unix_micros("timestamp")
+    low, high = messages.agg(F.min(moment), F.max(moment)).first()
+    bounds = [low + (high + 1 - low) * i // slices for i in range(slices + 1)]
+    for begin, end in zip(bounds, bounds[1:]):
+        publish_slice(messages, path, begin, end, files)
+    return bounds
+
+
+def publish_slice(messages: DataFrame, path: str, begin: int, end: int, files: int) -> None:
+    moment = F.unix_micros("timestamp")
+    publish_files(messages.filter((moment >= begin) & (moment < end)).repartition(files), path)
+
+
+def run_to_end(
+    spark: SparkSession,
+    source: str,
+    build: Callable[[DataFrame], dict[str, DataFrame]],
+    files: int = 8,
+) -> dict[str, DataFrame]:
+    """Run every result of ``build`` over the published messages until they are used up.
+
+    All queries run at the same time, each with its own checkpoint; returns the
+    stored collections without the metadata columns.
+    """
+    base = new_folder(spark, "stream")
+    results = build(file_messages(spark, source, files_per_trigger=files))
+    writers = {name: file_collection(f"{base}/{name}", "replay") for name in results}
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    # A query keeps the partition count of its first batch: do not open more
+    # state stores than the cluster has task slots to use.
+    slots = 2 * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(previous), slots))
+    try:
+        queries = start_all(results, writers, f"{base}/checkpoints", every=None)
+        drain(queries.values())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return {
+        name: spark.read.schema(frame.schema).parquet(f"{base}/{name}")
+        for name, frame in results.items()
+    }
