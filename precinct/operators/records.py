@@ -7,20 +7,26 @@ from precinct.functions import calendar, text
 from precinct.schema import RAW_RECORD, RAW_TO_CURATED, VIOLENT_TYPES, WATERMARK_DELAY
 
 
-def to_messages(raw: DataFrame, arrival: Column, missing: str | None = "") -> DataFrame:
+def to_messages(raw: DataFrame, arrival: str | Column, missing: str | None = "") -> DataFrame:
     """Raw records as messages: key = ID, value = JSON of the whole row.
 
-    Absent fields are sent as ``missing`` text, as a comma-separated source has
-    them; ``None`` sends JSON nulls.
+    ``arrival`` is an expression, or the name of a column that is not part of
+    the record. Absent fields are sent as ``missing`` text, as a comma-separated
+    source has them; ``None`` sends JSON nulls.
     """
-    fields = [F.col(f"`{name}`").cast("string") for name in raw.columns]
-    if missing is not None:
-        fields = [F.coalesce(field, F.lit(missing)) for field in fields]
-    named = [field.alias(name) for field, name in zip(fields, raw.columns)]
-    key = fields[raw.columns.index("ID")]
+    fields = {}
+    for name in raw.columns:
+        if name != arrival:
+            text_value = F.col(f"`{name}`").cast("string")
+            if missing is not None:
+                text_value = F.coalesce(text_value, F.lit(missing))
+            fields[name] = text_value
+    if isinstance(arrival, str):
+        arrival = F.col(arrival)
+    record = F.struct(*[field.alias(name) for name, field in fields.items()])
     return raw.select(
-        key.alias("key"),
-        F.to_json(F.struct(*named), {"ignoreNullFields": "false"}).alias("value"),
+        fields["ID"].alias("key"),
+        F.to_json(record, {"ignoreNullFields": "false"}).alias("value"),
         arrival.cast("timestamp").alias("timestamp"),
     )
 

@@ -56,6 +56,6 @@ def run_to_end(
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
     return {
-        name: spark.read.schema(frame.schema).parquet(f"{base}/{name}")
+        name: spark.read.schema(frame.schema).parquet(f"{base}/{name}").select(frame.columns)
         for name, frame in results.items()
     }

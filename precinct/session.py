@@ -34,6 +34,7 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     ``spark__driver__memory="8g"``.
     """
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
