@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from precinct.functions import geo
 from precinct.functions.levels import ESCALATION_RISK, level
 from precinct.operators.sliding import sliding_partials
+from precinct.schema import VIOLENT_TYPES
 
 
 def violence_escalation(
@@ -15,7 +16,11 @@ def violence_escalation(
     slide: int = 2,
     decimals: int = 1,
 ) -> DataFrame:
-    """Counts, outcomes and risk of violent incidents; unlocated ones share a null zone."""
+    """Counts, outcomes and risk of violent incidents; unlocated ones share a null zone.
+
+    Only the four violent types can occur, so the number of types per zone is the
+    exact sum of four flags.
+    """
     violent = incidents.filter("is_violent").select(
         event_time,
         "primary_type",
@@ -43,9 +48,12 @@ def violence_escalation(
     def of_type(name: str):
         return F.sum(F.when(F.col("primary_type") == name, F.col("n")).otherwise(0))
 
+    def occurs(name: str):
+        return F.max(F.when(F.col("primary_type") == name, 1).otherwise(0))
+
     per_zone = per_type.groupBy("window", "geo_zone").agg(
         F.sum("n").alias("violent_incidents"),
-        F.approx_count_distinct("primary_type").alias("violence_types"),
+        sum(map(occurs, VIOLENT_TYPES)).cast("bigint").alias("violence_types"),
         of_type("HOMICIDE").alias("homicides"),
         of_type("ASSAULT").alias("assaults"),
         F.sum("arrests").alias("arrests_made"),

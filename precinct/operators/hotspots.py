@@ -22,7 +22,8 @@ def hotspots(
     Shuffle and state hold one counter per (window, cell, type), never a list
     that grows with the cell. ``types="list"`` writes the counters out as the
     sorted list of all types in the final projection; ``types="counts"`` keeps
-    them as a map from type to count, for cells too dense to list.
+    them as a map from type to count, for cells too dense to list. The counters
+    also give the number of types exactly, without a sketch per group.
     """
     located = incidents.filter(geo.has_coordinates(F.col("latitude"), F.col("longitude"))).select(
         event_time,
@@ -48,7 +49,6 @@ def hotspots(
         per_type.groupBy("window", "geo_grid")
         .agg(
             F.sum("n").alias("crime_count"),
-            F.approx_count_distinct("primary_type").alias("crime_variety"),
             F.sum("lat_sum").alias("lat_sum"),
             F.sum("lon_sum").alias("lon_sum"),
             F.collect_list(entry).alias("entries"),
@@ -62,13 +62,17 @@ def hotspots(
         (F.col("lat_sum") / F.col("crime_count")).alias("avg_lat"),
         (F.col("lon_sum") / F.col("crime_count")).alias("avg_lon"),
         "crime_count",
-        "crime_variety",
+        F.size(_distinct_types()).cast("bigint").alias("crime_variety"),
         level(F.col("crime_count"), HOTSPOT_SEVERITY).alias("hotspot_severity"),
         _TYPE_FORMS[types]().alias("crime_types"),
         F.current_timestamp().alias("analysis_timestamp"),
     )
 
 
+def _distinct_types():
+    return F.array_distinct(F.transform("entries", lambda e: e["primary_type"]))
+
+
 def _listed_types():
     repeated = F.transform(
         F.array_sort("entries"), lambda e: F.array_repeat(e["primary_type"], e["n"].cast("int"))
@@ -77,7 +81,7 @@ def _listed_types():
 
 
 def _counted_types():
-    names = F.array_distinct(F.transform("entries", lambda e: e["primary_type"]))
+    names = _distinct_types()
 
     def total(name):
         own = F.filter("entries", lambda e: e["primary_type"] == name)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from precinct.functions import calendar, text
-from precinct.schema import RAW_RECORD, RAW_TO_CURATED, VIOLENT_TYPES, WATERMARK_DELAY
+from precinct.schema import RAW_TO_CURATED, VIOLENT_TYPES, WATERMARK_DELAY
 
 
 def to_messages(raw: DataFrame, arrival: str | Column, missing: str | None = "") -> DataFrame:
@@ -32,28 +32,30 @@ def to_messages(raw: DataFrame, arrival: str | Column, missing: str | None = "")
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """JSON value to a struct of texts; drops messages without a readable ID."""
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), RAW_RECORD).alias("parsed"),
-        F.col("timestamp").alias("event_time"),
-    ).filter(F.col("parsed.ID").isNotNull())
+    """JSON value to one text column per field; drops messages without a readable ID.
+
+    The generator reads each text once. (Fields of a parsed struct would be
+    pushed into the filters above as one more parse per field.) Text that is not
+    a JSON object gives nulls, and of a repeated field the last value counts.
+    """
+    fields = F.json_tuple(F.col("value").cast("string"), *RAW_TO_CURATED)
+    names = ["crime_date" if name == "date" else name for name in RAW_TO_CURATED.values()]
+    return messages.select(fields.alias(*names), F.col("timestamp").alias("event_time")).filter(
+        F.col("crime_id").isNotNull()
+    )
 
 
 def extract(parsed: DataFrame) -> DataFrame:
     """Typed columns; drops records whose ID or occurrence time does not parse."""
-    fields = {alias: F.col("parsed").getField(name) for name, alias in RAW_TO_CURATED.items()}
-    return parsed.select(
-        text.parse_long(fields["crime_id"]).alias("crime_id"),
-        fields["case_number"].alias("case_number"),
-        text.parse_timestamp(fields["date"]).alias("crime_date"),
-        fields["primary_type"].alias("primary_type"),
-        fields["description"].alias("description"),
-        fields["location_description"].alias("location_description"),
-        text.parse_boolean(fields["arrest"]).alias("arrest"),
-        text.parse_boolean(fields["domestic"]).alias("domestic"),
-        text.parse_double(fields["latitude"]).alias("latitude"),
-        text.parse_double(fields["longitude"]).alias("longitude"),
-        F.col("event_time"),
+    return parsed.withColumns(
+        {
+            "crime_id": text.parse_long(F.col("crime_id")),
+            "crime_date": text.parse_timestamp(F.col("crime_date")),
+            "arrest": text.parse_boolean(F.col("arrest")),
+            "domestic": text.parse_boolean(F.col("domestic")),
+            "latitude": text.parse_double(F.col("latitude")),
+            "longitude": text.parse_double(F.col("longitude")),
+        }
     ).filter(F.col("crime_id").isNotNull() & F.col("crime_date").isNotNull())
 
 
