@@ -19,11 +19,13 @@ def _side(
     incidents: DataFrame, wanted: Column, prefix: str, event_time: str, decimals: int
 ) -> DataFrame:
     """Rows of one side with prefixed names; rows without a cell can never match."""
-    cell = geo.grid_key(F.col("latitude"), F.col("longitude"), decimals)
-    return incidents.filter(wanted & cell.isNotNull()).select(
+    latitude, longitude = F.col("latitude"), F.col("longitude")
+    cell_lat, cell_lon = geo.cell(latitude, longitude, decimals)
+    return incidents.filter(wanted & geo.has_coordinates(latitude, longitude)).select(
         *[F.col(name).alias(f"{prefix}_{alias}") for name, alias in _CARRIED.items()],
         F.col(event_time).alias(f"{prefix}_event_time"),
-        cell.alias(f"{prefix}_geo_grid"),
+        cell_lat.alias(f"{prefix}_cell_lat"),
+        cell_lon.alias(f"{prefix}_cell_lon"),
     )
 
 
@@ -61,7 +63,8 @@ def domestic_correlation(
     )
     others = others.withColumn("nd_slot", slot_of(nd_time))
     match = (
-        (F.col("d_geo_grid") == F.col("nd_geo_grid"))
+        (F.col("d_cell_lat") == F.col("nd_cell_lat"))
+        & (F.col("d_cell_lon") == F.col("nd_cell_lon"))
         & (F.col("d_slot") == F.col("nd_slot"))
         & (d_time >= nd_time)
         & (d_time <= nd_time + F.expr(f"INTERVAL {minutes} MINUTES"))
@@ -88,5 +91,5 @@ def domestic_correlation(
         ).alias("geographic_distance"),
         F.col("d_latitude").alias("correlation_lat"),
         F.col("d_longitude").alias("correlation_lon"),
-        F.col("d_geo_grid").alias("geo_grid"),
+        geo.cell_name(F.col("d_cell_lat"), F.col("d_cell_lon")).alias("geo_grid"),
     )

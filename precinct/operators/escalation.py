@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from precinct.functions import geo
 from precinct.functions.levels import ESCALATION_RISK, level
-from precinct.operators.sliding import sliding_partials
+from precinct.operators.sliding import sliding_totals
 from precinct.schema import VIOLENT_TYPES
 
 
@@ -18,59 +18,49 @@ def violence_escalation(
 ) -> DataFrame:
     """Counts, outcomes and risk of violent incidents; unlocated ones share a null zone.
 
-    Only the four violent types can occur, so the number of types per zone is the
-    exact sum of four flags.
+    Only the four violent types can occur, so one counter per type gives the
+    number of types exactly and the whole group state is a row of sums.
     """
+    latitude, longitude = F.col("latitude"), F.col("longitude")
+    zone_lat, zone_lon = geo.cell(latitude, longitude, decimals)
     violent = incidents.filter("is_violent").select(
         event_time,
         "primary_type",
         "arrest",
-        "latitude",
-        "longitude",
-        geo.grid_key(F.col("latitude"), F.col("longitude"), decimals).alias("geo_zone"),
+        latitude,
+        longitude,
+        zone_lat.alias("cell_lat"),
+        zone_lon.alias("cell_lon"),
     )
-    per_type = sliding_partials(
+    per_type = {f"n_{name}": F.count_if(F.col("primary_type") == name) for name in VIOLENT_TYPES}
+    zones = sliding_totals(
         violent,
         event_time,
         length,
         slide,
-        keys=["geo_zone", "primary_type"],
-        partials=[
-            F.count("*").alias("n"),
-            F.count_if("arrest").alias("arrests"),
-            F.sum("latitude").alias("lat_sum"),
-            F.count("latitude").alias("lat_n"),
-            F.sum("longitude").alias("lon_sum"),
-            F.count("longitude").alias("lon_n"),
-        ],
-    )
-
-    def of_type(name: str):
-        return F.sum(F.when(F.col("primary_type") == name, F.col("n")).otherwise(0))
-
-    def occurs(name: str):
-        return F.max(F.when(F.col("primary_type") == name, 1).otherwise(0))
-
-    per_zone = per_type.groupBy("window", "geo_zone").agg(
-        F.sum("n").alias("violent_incidents"),
-        sum(map(occurs, VIOLENT_TYPES)).cast("bigint").alias("violence_types"),
-        of_type("HOMICIDE").alias("homicides"),
-        of_type("ASSAULT").alias("assaults"),
-        F.sum("arrests").alias("arrests_made"),
-        F.try_divide(F.sum("lat_sum"), F.sum("lat_n")).alias("zone_lat"),
-        F.try_divide(F.sum("lon_sum"), F.sum("lon_n")).alias("zone_lon"),
+        keys=["cell_lat", "cell_lon"],
+        sums={
+            **per_type,
+            "violent_incidents": F.count("*"),
+            "arrests_made": F.count_if("arrest"),
+            "lat_sum": F.sum("latitude"),
+            "lat_n": F.count("latitude"),
+            "lon_sum": F.sum("longitude"),
+            "lon_n": F.count("longitude"),
+        },
     )
+    kinds = sum((F.col(name) > 0).cast("bigint") for name in per_type)
     share = F.col("arrests_made") / F.col("violent_incidents")
-    return per_zone.select(
+    return zones.select(
         F.col("window.start").alias("period_start"),
         F.col("window.end").alias("period_end"),
-        "geo_zone",
-        "zone_lat",
-        "zone_lon",
+        geo.cell_name(F.col("cell_lat"), F.col("cell_lon")).alias("geo_zone"),
+        F.try_divide("lat_sum", "lat_n").alias("zone_lat"),
+        F.try_divide("lon_sum", "lon_n").alias("zone_lon"),
         "violent_incidents",
-        "violence_types",
-        "homicides",
-        "assaults",
+        kinds.alias("violence_types"),
+        F.col("n_HOMICIDE").alias("homicides"),
+        F.col("n_ASSAULT").alias("assaults"),
         "arrests_made",
         F.round(share * 100, 2).alias("arrest_effectiveness"),
         level(F.col("violent_incidents"), ESCALATION_RISK).alias("escalation_risk"),

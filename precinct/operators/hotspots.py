@@ -1,11 +1,11 @@
 """Hotspot detection: dense grid cells per sliding window."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from precinct.functions import geo
 from precinct.functions.levels import HOTSPOT_SEVERITY, level
-from precinct.operators.sliding import sliding_partials
+from precinct.operators.sliding import sliding_entries
 
 
 def hotspots(
@@ -25,69 +25,70 @@ def hotspots(
     them as a map from type to count, for cells too dense to list. The counters
     also give the number of types exactly, without a sketch per group.
     """
-    located = incidents.filter(geo.has_coordinates(F.col("latitude"), F.col("longitude"))).select(
+    latitude, longitude = F.col("latitude"), F.col("longitude")
+    cell_lat, cell_lon = geo.cell(latitude, longitude, decimals)
+    located = incidents.filter(geo.has_coordinates(latitude, longitude)).select(
         event_time,
         "primary_type",
-        "latitude",
-        "longitude",
-        geo.grid_key(F.col("latitude"), F.col("longitude"), decimals).alias("geo_grid"),
+        latitude,
+        longitude,
+        cell_lat.alias("cell_lat"),
+        cell_lon.alias("cell_lon"),
     )
-    per_type = sliding_partials(
+    cells = sliding_entries(
         located,
         event_time,
         length,
         slide,
-        keys=["geo_grid", "primary_type"],
-        partials=[
-            F.count("*").alias("n"),
-            F.sum("latitude").alias("lat_sum"),
-            F.sum("longitude").alias("lon_sum"),
-        ],
+        keys=["cell_lat", "cell_lon"],
+        category="primary_type",
+        sums={
+            "n": F.count("*"),
+            "lat_sum": F.sum("latitude"),
+            "lon_sum": F.sum("longitude"),
+        },
     )
-    entry = F.when(F.col("primary_type").isNotNull(), F.struct("primary_type", "n"))
-    per_cell = (
-        per_type.groupBy("window", "geo_grid")
-        .agg(
-            F.sum("n").alias("crime_count"),
-            F.sum("lat_sum").alias("lat_sum"),
-            F.sum("lon_sum").alias("lon_sum"),
-            F.collect_list(entry).alias("entries"),
-        )
-        .filter(F.col("crime_count") >= min_count)
+    dense = cells.withColumn("crime_count", _total("n", F.lit(0).cast("bigint"))).filter(
+        F.col("crime_count") >= min_count
     )
-    return per_cell.select(
+    return dense.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        "geo_grid",
-        (F.col("lat_sum") / F.col("crime_count")).alias("avg_lat"),
-        (F.col("lon_sum") / F.col("crime_count")).alias("avg_lon"),
+        geo.cell_name(F.col("cell_lat"), F.col("cell_lon")).alias("geo_grid"),
+        (_total("lat_sum", F.lit(0.0)) / F.col("crime_count")).alias("avg_lat"),
+        (_total("lon_sum", F.lit(0.0)) / F.col("crime_count")).alias("avg_lon"),
         "crime_count",
-        F.size(_distinct_types()).cast("bigint").alias("crime_variety"),
+        F.size(_types()).cast("bigint").alias("crime_variety"),
         level(F.col("crime_count"), HOTSPOT_SEVERITY).alias("hotspot_severity"),
         _TYPE_FORMS[types]().alias("crime_types"),
         F.current_timestamp().alias("analysis_timestamp"),
     )
 
 
-def _distinct_types():
-    return F.array_distinct(F.transform("entries", lambda e: e["primary_type"]))
+def _total(name: str, zero: Column) -> Column:
+    return F.aggregate("entries", zero, lambda total, e: total + e[name])
 
 
-def _listed_types():
+def _types() -> Column:
+    """The types that occur, without null."""
+    return F.array_distinct(F.array_compact(F.col("entries.primary_type")))
+
+
+def _type_list() -> Column:
+    named = F.filter("entries", lambda e: e["primary_type"].isNotNull())
     repeated = F.transform(
-        F.array_sort("entries"), lambda e: F.array_repeat(e["primary_type"], e["n"].cast("int"))
+        F.array_sort(F.transform(named, lambda e: F.struct(e["primary_type"], e["n"]))),
+        lambda e: F.array_repeat(e["primary_type"], e["n"].cast("int")),
     )
     return F.flatten(repeated)
 
 
-def _counted_types():
-    names = _distinct_types()
-
-    def total(name):
+def _type_counts() -> Column:
+    def count(name: Column) -> Column:
         own = F.filter("entries", lambda e: e["primary_type"] == name)
-        return F.aggregate(own, F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda total, e: total + e["n"])
 
-    return F.map_from_arrays(names, F.transform(names, total))
+    return F.map_from_arrays(_types(), F.transform(_types(), count))
 
 
-_TYPE_FORMS = {"list": _listed_types, "counts": _counted_types}
+_TYPE_FORMS = {"list": _type_list, "counts": _type_counts}

@@ -1,45 +1,118 @@
-"""Sliding-window partial aggregates shared by the windowed transformations."""
+"""Sliding windows built from panes, for the windowed transformations.
 
-from collections.abc import Sequence
+A sliding window is a run of ``length / slide`` panes as wide as the slide. In a
+batch, rows are reduced to panes before anything is copied into windows, so raw
+rows are shuffled once, after the map-side combine, and never multiplied by the
+number of windows they fall into.
+
+A stream puts rows into the sliding windows directly: a late row may still belong
+to the open ones among its windows while its pane has closed.
+
+Lengths are whole minutes; the slide must divide the length.
+"""
+
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def sliding_partials(
+def _stream_windows(event_time: str, length: int, slide: int) -> Column:
+    return F.window(event_time, f"{length} minutes", f"{slide} minutes").alias("window")
+
+
+def _panes(rows, event_time, length, slide, keys, sums) -> DataFrame:
+    """Sums per (``pane``, keys); a pane is numbered from the epoch."""
+    if length % slide:
+        raise ValueError("the slide must divide the window length")
+    number = F.floor(F.unix_timestamp(event_time) / (slide * 60)).alias("pane")
+    return rows.groupBy(number, *keys).agg(*_named(sums))
+
+
+def _named(sums: Mapping[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in sums.items()]
+
+
+def _window(first_pane: Column, length: int, slide: int) -> Column:
+    """Bounds of the window that begins with the given pane."""
+    start = first_pane * (slide * 60)
+    return F.struct(
+        F.timestamp_seconds(start).alias("start"),
+        F.timestamp_seconds(start + length * 60).alias("end"),
+    ).alias("window")
+
+
+def sliding_totals(
+    rows: DataFrame,
+    event_time: str,
+    length: int,
+    slide: int,
+    keys: Sequence[str],
+    sums: Mapping[str, Column],
+) -> DataFrame:
+    """One row of counts and sums per (``window``, keys)."""
+    if rows.isStreaming:
+        window = _stream_windows(event_time, length, slide)
+        return rows.groupBy(window, *keys).agg(*_named(sums))
+    panes = _panes(rows, event_time, length, slide, keys, sums)
+    back = F.explode(F.lit(list(range(length // slide)))).alias("back")
+    return (
+        panes.select("*", back)
+        .groupBy((F.col("pane") - F.col("back")).alias("first_pane"), *keys)
+        .agg(*[F.sum(name).alias(name) for name in sums])
+        .select(_window(F.col("first_pane"), length, slide), *keys, *sums)
+    )
+
+
+def sliding_entries(
     rows: DataFrame,
     event_time: str,
     length: int,
     slide: int,
     keys: Sequence[str],
-    partials: Sequence[Column],
+    category: str,
+    sums: Mapping[str, Column],
+    chunk: int | None = None,
 ) -> DataFrame:
-    """Partial aggregates per (``window``, keys); windows are given in minutes.
+    """One row per (``window``, keys) with ``entries``: the counts and sums per category.
 
-    The caller merges them by a second grouping on ``window`` and fewer keys; in
-    a batch a (window, keys) combination may come as several rows, so the
-    partials must be mergeable (counts and sums).
+    A category may have several entries, one per pane; the caller adds them up.
+    Only counters are ever collected, never rows.
 
-    Batch: rows are first reduced to panes as wide as the slide, and only the
-    panes are copied into the ``length / slide`` windows that cover them. Raw
-    rows are therefore shuffled at most once, after the map-side combine.
+    Batch: the panes of a key are brought together in chunks of ``chunk``
+    consecutive windows (four window lengths by default). A pane is copied only
+    where its windows reach over the end of a chunk, and the windows are cut out
+    of the collected panes in place, so the second shuffle carries about as many
+    rows as there are panes, and a group is no larger than the counters of one
+    chunk however many rows the key has.
 
-    Stream: rows go into the sliding windows directly, because a late row may
-    still belong to the open ones among its windows while its pane has closed.
+    Stream: counters per (window, keys, category) are kept as state and put
+    together when their window closes.
     """
-    if rows.isStreaming or length % slide:
-        window = F.window(event_time, f"{length} minutes", f"{slide} minutes").alias("window")
-        return rows.groupBy(window, *keys).agg(*partials)
-
-    pane = F.window(event_time, f"{slide} minutes").getField("start").alias("pane")
-    panes = rows.groupBy(pane, *keys).agg(*partials)
-    minutes_back = F.explode(F.lit(list(range(0, length, slide))))
-    covering = panes.select("*", minutes_back.alias("minutes_back"))
-    start = F.timestamp_add("MINUTE", -F.col("minutes_back"), F.col("pane"))
-    return covering.select(
-        F.struct(
-            start.alias("start"),
-            F.timestamp_add("MINUTE", F.lit(length), start).alias("end"),
-        ).alias("window"),
-        *[name for name in panes.columns if name != "pane"],
+    if rows.isStreaming:
+        window = _stream_windows(event_time, length, slide)
+        counted = rows.groupBy(window, *keys, category).agg(*_named(sums))
+        entry = F.struct(category, *sums)
+        return counted.groupBy("window", *keys).agg(F.collect_list(entry).alias("entries"))
+
+    span = length // slide
+    chunk = chunk or 4 * span
+    panes = _panes(rows, event_time, length, slide, [*keys, category], sums)
+    pane = F.col("pane")
+    chunks = F.sequence(F.floor((pane - (span - 1)) / chunk), F.floor(pane / chunk))
+    collected = (
+        panes.select("*", F.explode(chunks).alias("chunk"))
+        .groupBy(*keys, "chunk")
+        .agg(F.collect_list(F.struct("pane", category, *sums)).alias("collected"))
+    )
+
+    def window_from(first: Column) -> Column:
+        inside = F.filter("collected", lambda e: e["pane"].between(first, first + (span - 1)))
+        return F.struct(first.alias("first_pane"), inside.alias("entries"))
+
+    begin = F.col("chunk") * chunk
+    windows = F.transform(F.sequence(begin, begin + (chunk - 1)), window_from)
+    occupied = F.filter(windows, lambda w: F.size(w["entries"]) > 0)
+    return collected.select(*keys, F.inline(occupied)).select(
+        _window(F.col("first_pane"), length, slide), *keys, "entries"
     )
