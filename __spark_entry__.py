@@ -233,7 +233,7 @@ def t4_domestic(spark, folder):
 
 def t4_domestic_salted(spark, folder):
     """The way for cells too busy for one task: finer slots and salts."""
-    pairs = domestic_correlation(_incidents(spark, folder), slot_minutes=10, salts=4)
+    pairs = domestic_correlation(_incidents(spark, folder), slot_minutes=5, salts=4)
     return _FINISH["t4"](pairs)
 
 

@@ -32,6 +32,11 @@ def _arguments() -> argparse.Namespace:
     job = jobs.add_parser("patterns", help="curated table to the historical patterns")
     job.add_argument("--curated", required=True)
     job.add_argument("--out", required=True)
+    job.add_argument(
+        "--any-location",
+        action="store_true",
+        help="one pattern per type, hour and weekday, so that no incident is repeated",
+    )
 
     job = jobs.add_parser("publish", help="raw CSV to messages")
     job.add_argument("--raw", required=True)
@@ -106,7 +111,8 @@ def main() -> None:
     elif args.job == "reports":
         _reports(spark, args)
     elif args.job == "patterns":
-        batch.build_patterns(files.curated(spark, args.curated), args.out)
+        curated = files.curated(spark, args.curated)
+        batch.build_patterns(curated, args.out, per_location=not args.any_location)
     elif args.job == "publish":
         _publish(spark, args)
     else:

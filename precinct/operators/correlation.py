@@ -41,15 +41,16 @@ def domestic_correlation(
 
     Besides the cell, the pair is matched on a time slot: each domestic row, the
     rarer side, is copied into every slot its interval touches, and the other
-    side stays in its own slot. A busy cell is thereby spread over the cluster
-    by time and only neighbouring slots are ever compared. The exact time bounds
-    remain part of the join condition; on streams they bound the state.
+    side stays in its own slot (a third of ``minutes`` long by default). A busy
+    cell is thereby spread over the cluster by time and only neighbouring slots
+    are ever compared. The exact time bounds remain part of the join condition;
+    on streams they bound the state.
 
     ``salts`` splits each (cell, slot) of the other side further, for streams
     with a cell too busy for one task; batches leave that to the skew handling
     of adaptive execution.
     """
-    slot = (slot_minutes or minutes) * 60
+    slot = 60 * (slot_minutes or max(minutes // 3, 1))
     domestic = _side(incidents, F.col("domestic"), "d", event_time, decimals)
     others = _side(incidents, ~F.col("domestic"), "nd", event_time, decimals)
 

@@ -14,15 +14,13 @@ def to_messages(raw: DataFrame, arrival: str | Column, missing: str | None = "")
     the record. Absent fields are sent as ``missing`` text, as a comma-separated
     source has them; ``None`` sends JSON nulls.
     """
-    fields = {}
-    for name in raw.columns:
-        if name != arrival:
-            text_value = F.col(f"`{name}`").cast("string")
-            if missing is not None:
-                text_value = F.coalesce(text_value, F.lit(missing))
-            fields[name] = text_value
+    names = raw.columns
     if isinstance(arrival, str):
+        names = [name for name in names if name != arrival]
         arrival = F.col(arrival)
+    fields = {name: F.col(f"`{name}`").cast("string") for name in names}
+    if missing is not None:
+        fields = {name: F.coalesce(field, F.lit(missing)) for name, field in fields.items()}
     record = F.struct(*[field.alias(name) for name, field in fields.items()])
     return raw.select(
         fields["ID"].alias("key"),
