@@ -16,7 +16,11 @@ from precinct.functions import geo  # noqa: E402
 from precinct.operators import etl, records, reports  # noqa: E402
 from precinct.operators.correlation import domestic_correlation  # noqa: E402
 from precinct.operators.escalation import violence_escalation  # noqa: E402
-from precinct.operators.hotspots import hotspots  # noqa: E402
+from precinct.operators.hotspots import (  # noqa: E402
+    hotspot_counts,
+    hotspots,
+    hotspots_from_counts,
+)
 from precinct.operators.patterns import historical_patterns, match_patterns  # noqa: E402
 from precinct.operators.temporal import temporal_patterns  # noqa: E402
 from precinct.plans import batch, replay, stream  # noqa: E402
@@ -358,7 +362,9 @@ _QUERIES: dict[str, Query] = {
     "t4_domestic": t4_domestic,
     "t4_domestic_salted": t4_domestic_salted,
     "t5_temporal": t5_temporal,
-    "t1_hotspots_stream": _streamed("t1", hotspots),
+    "t1_hotspots_stream": _streamed(
+        "t1", lambda rows: runner.Result(hotspot_counts(rows), hotspots_from_counts)
+    ),
     "t2_pattern_stream": t2_pattern_stream,
     "t3_violence_stream": _streamed("t3", violence_escalation),
     "t4_domestic_stream": _streamed("t4", domestic_correlation),

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from precinct.functions import geo
 from precinct.functions.levels import HOTSPOT_SEVERITY, level
-from precinct.operators.sliding import sliding_entries
+from precinct.operators.sliding import gathered, sliding_entries, sliding_totals
+
+_CELL = ["cell_lat", "cell_lon"]
+_KIND = "primary_type"
 
 
 def hotspots(
@@ -25,33 +28,53 @@ def hotspots(
     them as a map from type to count, for cells too dense to list. The counters
     also give the number of types exactly, without a sketch per group.
     """
+    located = _located(incidents, event_time, decimals)
+    cells = sliding_entries(located, event_time, length, slide, _CELL, _KIND, _sums())
+    return _dense(cells, min_count, types)
+
+
+def hotspot_counts(
+    incidents: DataFrame,
+    event_time: str = "event_time",
+    length: int = 5,
+    slide: int = 1,
+    decimals: int = 2,
+) -> DataFrame:
+    """Counters per (window, cell, type): the part of ``hotspots`` a stream keeps as state."""
+    located = _located(incidents, event_time, decimals)
+    return sliding_totals(located, event_time, length, slide, [*_CELL, _KIND], _sums())
+
+
+def hotspots_from_counts(counts: DataFrame, min_count: int = 2, types: str = "list") -> DataFrame:
+    """Hotspots from all counters of their windows.
+
+    A stream puts out the counters of a window together, in the micro-batch that
+    closes it. Finishing them there saves the second state store that grouping
+    the stream itself would need.
+    """
+    return _dense(gathered(counts, _CELL, _KIND), min_count, types)
+
+
+def _located(incidents: DataFrame, event_time: str, decimals: int) -> DataFrame:
     latitude, longitude = F.col("latitude"), F.col("longitude")
     cell_lat, cell_lon = geo.cell(latitude, longitude, decimals)
-    located = incidents.filter(geo.has_coordinates(latitude, longitude)).select(
+    return incidents.filter(geo.has_coordinates(latitude, longitude)).select(
         event_time,
-        "primary_type",
+        _KIND,
         latitude,
         longitude,
         cell_lat.alias("cell_lat"),
         cell_lon.alias("cell_lon"),
     )
-    cells = sliding_entries(
-        located,
-        event_time,
-        length,
-        slide,
-        keys=["cell_lat", "cell_lon"],
-        category="primary_type",
-        sums={
-            "n": F.count("*"),
-            "lat_sum": F.sum("latitude"),
-            "lon_sum": F.sum("longitude"),
-        },
-    )
-    dense = cells.withColumn("crime_count", _total("n", F.lit(0).cast("bigint"))).filter(
-        F.col("crime_count") >= min_count
-    )
-    return dense.select(
+
+
+def _sums() -> dict[str, Column]:
+    return {"n": F.count("*"), "lat_sum": F.sum("latitude"), "lon_sum": F.sum("longitude")}
+
+
+def _dense(cells: DataFrame, min_count: int, types: str) -> DataFrame:
+    counted = cells.withColumn("crime_count", _total("n", F.lit(0).cast("bigint")))
+    return counted.filter(F.col("crime_count") >= min_count).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         geo.cell_name(F.col("cell_lat"), F.col("cell_lon")).alias("geo_grid"),

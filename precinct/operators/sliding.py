@@ -64,6 +64,13 @@ def sliding_totals(
     )
 
 
+def gathered(counts: DataFrame, keys: Sequence[str], category: str) -> DataFrame:
+    """One row per (``window``, keys) with ``entries``, from counts per category as well."""
+    rest = [name for name in counts.columns if name not in ("window", *keys, category)]
+    entry = F.struct(category, *rest)
+    return counts.groupBy("window", *keys).agg(F.collect_list(entry).alias("entries"))
+
+
 def sliding_entries(
     rows: DataFrame,
     event_time: str,
@@ -90,10 +97,8 @@ def sliding_entries(
     together when their window closes.
     """
     if rows.isStreaming:
-        window = _stream_windows(event_time, length, slide)
-        counted = rows.groupBy(window, *keys, category).agg(*_named(sums))
-        entry = F.struct(category, *sums)
-        return counted.groupBy("window", *keys).agg(F.collect_list(entry).alias("entries"))
+        counts = sliding_totals(rows, event_time, length, slide, [*keys, category], sums)
+        return gathered(counts, keys, category)
 
     span = length // slide
     chunk = chunk or 4 * span

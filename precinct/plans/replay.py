@@ -9,7 +9,7 @@ from precinct.plans.scratch import new_folder
 from precinct.sinks.documents import file_collection
 from precinct.sinks.messages import publish_files
 from precinct.sources.streams import file_messages
-from precinct.streaming.runner import drain, start_all
+from precinct.streaming.runner import Result, drain, start_all
 
 
 def write_slices(messages: DataFrame, path: str, slices: int = 4, files: int = 8) -> list:
@@ -34,7 +34,7 @@ def publish_slice(messages: DataFrame, path: str, begin: int, end: int, files: i
 def run_to_end(
     spark: SparkSession,
     source: str,
-    build: Callable[[DataFrame], dict[str, DataFrame]],
+    build: Callable[[DataFrame], dict[str, DataFrame | Result]],
     files: int = 8,
 ) -> dict[str, DataFrame]:
     """Run every result of ``build`` over the published messages until they are used up.
@@ -56,6 +56,8 @@ def run_to_end(
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
     return {
-        name: spark.read.schema(frame.schema).parquet(f"{base}/{name}").select(frame.columns)
-        for name, frame in results.items()
+        name: spark.read.schema(result.schema)
+        .parquet(f"{base}/{name}")
+        .select(result.schema.fieldNames())
+        for name, result in results.items()
     }

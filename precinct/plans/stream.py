@@ -4,10 +4,11 @@ from pyspark.sql import DataFrame
 
 from precinct.operators.correlation import domestic_correlation
 from precinct.operators.escalation import violence_escalation
-from precinct.operators.hotspots import hotspots
+from precinct.operators.hotspots import hotspot_counts, hotspots_from_counts
 from precinct.operators.patterns import match_patterns
 from precinct.operators.records import incidents
 from precinct.operators.temporal import temporal_patterns
+from precinct.streaming.runner import Result
 
 # --- fixed values: collection names, with the columns that identify a result ---
 COLLECTIONS = {
@@ -19,11 +20,11 @@ COLLECTIONS = {
 }
 
 
-def transformations(messages: DataFrame, patterns: DataFrame) -> dict[str, DataFrame]:
-    """Results by collection name, for a stream of messages or a batch of them."""
+def transformations(messages: DataFrame, patterns: DataFrame) -> dict[str, DataFrame | Result]:
+    """Streaming results by collection name."""
     enriched = incidents(messages)
     return {
-        "stream_crime_hotspots": hotspots(enriched),
+        "stream_crime_hotspots": Result(hotspot_counts(enriched), hotspots_from_counts),
         "stream_violence_escalation": violence_escalation(enriched),
         "stream_domestic_correlation": domestic_correlation(enriched),
         "stream_pattern_analysis": match_patterns(enriched, patterns),

@@ -1,35 +1,54 @@
 """Streaming queries with stable checkpoints."""
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from precinct.schema import CONSOLE_TRIGGER, DOCUMENT_TRIGGER
 from precinct.sinks.documents import BatchWriter
 
 
+class Result(NamedTuple):
+    """A streaming frame and what is left to do with each of its micro-batches."""
+
+    frame: DataFrame
+    finish: Callable[[DataFrame], DataFrame]
+
+    @property
+    def schema(self) -> StructType:
+        """Schema of the finished result."""
+        return self.finish(self.frame).schema
+
+
+def as_result(result: DataFrame | Result) -> Result:
+    return result if isinstance(result, Result) else Result(result, lambda batch: batch)
+
+
 def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
 def start(
-    results: DataFrame,
+    result: DataFrame | Result,
     name: str,
     write_batch: BatchWriter,
     checkpoints: str,
     every: str | None = DOCUMENT_TRIGGER,
 ) -> StreamingQuery:
-    """Run ``results`` into a micro-batch writer, in append mode.
+    """Run ``result`` into a micro-batch writer, in append mode.
 
     The checkpoint folder depends on the name alone, so a restarted query goes on
     where it stopped. ``every=None`` takes what is available now and ends.
     """
+    frame, finish = as_result(result)
     writer = (
-        results.writeStream.queryName(name)
+        frame.writeStream.queryName(name)
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoints}/{name}")
-        .foreachBatch(write_batch)
+        .foreachBatch(lambda batch, batch_id: write_batch(finish(batch), batch_id))
     )
     return _trigger(writer, every).start()
 
@@ -49,7 +68,7 @@ def start_console(
 
 
 def start_all(
-    results: Mapping[str, DataFrame],
+    results: Mapping[str, DataFrame | Result],
     writers: Mapping[str, BatchWriter],
     checkpoints: str,
     every: str | None = DOCUMENT_TRIGGER,
@@ -57,8 +76,8 @@ def start_all(
     """Start one query per result; if one cannot start, the others are stopped."""
     running: dict[str, StreamingQuery] = {}
     try:
-        for name, frame in results.items():
-            running[name] = start(frame, name, writers[name], checkpoints, every)
+        for name, result in results.items():
+            running[name] = start(result, name, writers[name], checkpoints, every)
     except BaseException:
         stop_all(running.values())
         raise
