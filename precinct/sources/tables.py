@@ -27,6 +27,14 @@ ORDER_TYPES = {
 }
 ORDER_PLACES = {"F": "STREET", "O": "RESIDENCE", "P": "APARTMENT"}
 EVENT_PLACES = {0: "STREET", 1: "RESIDENCE", 2: "APARTMENT"}
+# Stated, so that no job has to read them from the files first.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string"
+)
+ORDERS_SCHEMA = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, "
+    "o_orderpriority string"
+)
 FIRST_ARRIVAL = 1706745600  # 2024-02-01 00:00:00 UTC
 ARRIVAL_SECONDS = 5
 
@@ -45,7 +53,7 @@ def _unless_missing(row_id: str, value: Column) -> Column:
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Incidents as they come out of the stream parser, without the enrichment."""
-    table = spark.read.parquet(f"{folder}/events.parquet")
+    table = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
     # A generator, so that the text is parsed once for all columns made from it.
     table = table.select("*", F.json_tuple("props", "k").alias("k"))
     k = F.col("k").cast("int")
@@ -69,7 +77,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Incidents over several years, as typed by the ETL but not yet filtered."""
-    table = spark.read.parquet(f"{folder}/orders.parquet")
+    table = spark.read.schema(ORDERS_SCHEMA).parquet(f"{folder}/orders.parquet")
     cust = F.col("o_custkey")
     return table.select(
         F.col("o_orderkey").alias("crime_id"),
