@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -17,11 +18,12 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="precinct-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="precinct-")
+    return _local_roots[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -28,6 +28,8 @@ def file_collection(path: str, session_id: str, fmt: str = "parquet") -> BatchWr
 
     A batch that is repeated after a failure replaces its own folder, so the
     collection holds every result once. One job per batch: no counting before.
+    Batch numbers belong to a checkpoint: a query that starts over without its
+    checkpoint needs a new path too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

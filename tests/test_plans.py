@@ -1,5 +1,7 @@
 """The plans are the ones meant: what is read, shuffled, broadcast."""
 
+from types import SimpleNamespace
+
 import pytest
 from precinct.operators import records, reports
 from precinct.operators.correlation import domestic_correlation
@@ -90,6 +92,18 @@ def test_shared_folder_comes_from_the_session(spark, incidents):
     assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
 
 
+def test_only_local_sessions_do_without_shared_folder():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        conf = SimpleNamespace(get=lambda key, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    local = session("local[2]")
+    assert scratch_root(local) == scratch_root(local)
+    with pytest.raises(ValueError):
+        scratch_root(session("spark://host:7077"))
+
+
 def test_summary_is_stored_once(curated):
     built = batch.build_reports(curated)
     plan = _plan(built["crimes_by_location"])
@@ -100,3 +114,29 @@ def test_relational_options():
     options = jdbc_options("jdbc:x", "t", "u", "p", "d", connections=3)
     assert options["numPartitions"] == "3" and options["truncate"] == "true"
     assert options["batchsize"] == "10000" and options["dbtable"] == "t"
+
+
+def test_skewed_cells_are_split(spark, make_incidents):
+    """A cell and slot with most rows is joined by several tasks, with the same pairs."""
+    rows = [{"id": i, "at": i % 500, "domestic": i % 40 == 0} for i in range(6000)]
+    rows += [{"id": 6000 + i, "at": i, "lat": 41.5 + i / 64, "domestic": i % 2 == 0} for i in range(400)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    incidents = make_incidents(rows).repartition(8)
+    expected = domestic_correlation(incidents).count()
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        pairs = domestic_correlation(incidents)
+        assert len(pairs.toPandas()) == expected
+        assert "skew=true" in _plan(pairs)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
