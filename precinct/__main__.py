@@ -53,6 +53,7 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--messages", help="folder that stands for the topic")
     job.add_argument("--session-id", default="default")
     job.add_argument("--console", action="store_true", help="also print the hotspots")
+    job.add_argument("--correlation-salts", type=int, default=1)
     job.add_argument("--once", action="store_true", help="take what is available and end")
     return parser.parse_args()
 
@@ -89,7 +90,9 @@ def _stream(spark, args) -> None:
     else:
         source = streams.file_messages(spark, args.messages)
     every = None if args.once else runner.DOCUMENT_TRIGGER
-    results = stream.transformations(source, spark.read.parquet(args.patterns))
+    results = stream.transformations(
+        source, spark.read.parquet(args.patterns), args.correlation_salts
+    )
     writers = {
         name: documents.file_collection(f"{args.out}/{name}", args.session_id) for name in results
     }

@@ -20,13 +20,19 @@ COLLECTIONS = {
 }
 
 
-def transformations(messages: DataFrame, patterns: DataFrame) -> dict[str, DataFrame | Result]:
-    """Streaming results by collection name."""
+def transformations(
+    messages: DataFrame, patterns: DataFrame, correlation_salts: int = 1
+) -> dict[str, DataFrame | Result]:
+    """Streaming results by collection name.
+
+    ``correlation_salts`` splits the correlation state of a cell and time slot,
+    where one cell gets more incidents than one task can hold.
+    """
     enriched = incidents(messages)
     return {
         "stream_crime_hotspots": Result(hotspot_counts(enriched), hotspots_from_counts),
         "stream_violence_escalation": violence_escalation(enriched),
-        "stream_domestic_correlation": domestic_correlation(enriched),
+        "stream_domestic_correlation": domestic_correlation(enriched, salts=correlation_salts),
         "stream_pattern_analysis": match_patterns(enriched, patterns),
         "stream_temporal_patterns": temporal_patterns(enriched),
     }

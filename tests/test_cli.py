@@ -39,7 +39,8 @@ def test_all_jobs(spark, run, tmp_path):
     assert spark.read.parquet(path["topic"]).count() == raw.count()
 
     run("stream", "--messages", path["topic"], "--patterns", path["patterns"],
-        "--out", path["out"], "--checkpoints", str(tmp_path / "checkpoints"), "--once", "--console")
+        "--out", path["out"], "--checkpoints", str(tmp_path / "checkpoints"), "--once", "--console",
+        "--correlation-salts", "2")
     matched = spark.read.parquet(f"{path['out']}/stream_pattern_analysis")
     assert matched.select("crime_id").distinct().count() == raw.filter("Date LIKE '%M' AND Date NOT LIKE '1/5%'").count()
     assert spark.read.parquet(f"{path['out']}/stream_domestic_correlation").count() > 0
