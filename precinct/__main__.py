@@ -20,6 +20,7 @@ def _arguments() -> argparse.Namespace:
     job = jobs.add_parser("etl", help="raw CSV to the curated table")
     job.add_argument("--raw", required=True)
     job.add_argument("--curated", required=True)
+    job.add_argument("--show", action="store_true")
 
     job = jobs.add_parser("reports", help="curated table to the report tables")
     job.add_argument("--curated", required=True)
@@ -110,7 +111,9 @@ def main() -> None:
     args = _arguments()
     spark = build_session(f"precinct-{args.job}")
     if args.job == "etl":
-        batch.build_curated(spark, args.raw, args.curated)
+        curated = batch.build_curated(spark, args.raw, args.curated)
+        if args.show:
+            file_sinks.preview(curated)
     elif args.job == "reports":
         _reports(spark, args)
     elif args.job == "patterns":

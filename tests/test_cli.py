@@ -26,7 +26,7 @@ def test_all_jobs(spark, run, tmp_path):
     raw = tables.raw_orders(spark, SMALL)
     write_curated(raw, path["raw"], "csv")
 
-    run("etl", "--raw", path["raw"], "--curated", path["curated"])
+    run("etl", "--raw", path["raw"], "--curated", path["curated"], "--show")
     curated = spark.read.schema(CURATED).parquet(path["curated"])
     assert 0 < curated.count() < raw.count()
 

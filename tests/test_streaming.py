@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from precinct.operators import records
 from precinct.operators.escalation import violence_escalation
-from precinct.operators.hotspots import hotspots
+from precinct.operators.hotspots import hotspot_counts, hotspots, hotspots_from_counts
+from precinct.operators.patterns import match_patterns
 from precinct.plans import replay
 from precinct.sinks import documents
 from precinct.sources.streams import file_messages, kafka_options
@@ -89,6 +90,37 @@ def test_late_row_still_counts_in_open_windows(spark, tmp_path):
     assert counts == {-4: 1, -3: 1, -2: 4, -1: 4, 0: 4, 1: 2, 2: 2}
 
 
+def test_stream_matches_patterns_too_many_to_broadcast(spark, messages, tmp_path):
+    source = str(tmp_path / "in")
+    replay.write_slices(messages, source, slices=2, files=1)
+    patterns = entry._stored_patterns(spark, SMALL)
+    found = []
+    for way in (True, False):
+        rows = records.incidents(file_messages(spark, source, files_per_trigger=1))
+        out = str(tmp_path / f"out-{way}")
+        writer = documents.file_collection(out, "s")
+        matched = match_patterns(rows, patterns, broadcast=way)
+        _run(matched, f"patterns-{way}", writer, tmp_path / "c")
+        found.append(spark.read.parquet(out).select(matched.columns))
+    assert found[0].count() == found[1].count() > messages.count()
+    assert found[0].exceptAll(found[1]).isEmpty()
+
+
+def test_streamed_hotspots_are_finished_per_batch_or_by_state(spark, messages, tmp_path):
+    source = str(tmp_path / "in")
+    replay.write_slices(messages, source, slices=3, files=1)
+
+    def both(rows):
+        enriched = records.incidents(rows)
+        finished = runner.Result(hotspot_counts(enriched), hotspots_from_counts)
+        return {"by_state": hotspots(enriched), "by_batch": finished}
+
+    found = replay.run_to_end(spark, source, both, files=1)
+    by_state, by_batch = (frame.drop("analysis_timestamp") for frame in found.values())
+    assert by_state.count() == by_batch.count() > 0
+    assert by_state.exceptAll(by_batch).isEmpty()
+
+
 def test_failed_batch_is_written_again_in_place(spark, messages, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     replay.write_slices(messages, source, slices=2, files=1)
