@@ -374,14 +374,31 @@ _QUERIES: dict[str, Query] = {
 }
 
 
+try:  # the operators for corpora are optional: a library without them is whole
+    import corpus_pipeline
+    from precinct.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "precinct.llm"):
+        raise
+    corpus = corpus_pipeline = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: hotspots over the smallest data set."""
     return queries()["t1_hotspots"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return {name: _query(build) for name, build in _QUERIES.items()}
+    known = {name: _query(build) for name, build in _QUERIES.items()}
+    if corpus:
+        known |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return known
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    known = dict(ORACLE)
+    if corpus:
+        known |= corpus.ORACLE
+        if corpus_pipeline.ORACLE_SQL:
+            known["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return known
