@@ -1,6 +1,9 @@
 """Helpers that several corpus operators share."""
 
+import os
 from collections.abc import Iterable, Iterator
+from math import isqrt
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,6 +41,20 @@ def held_out(doc_id: str | Column, parts: int, remainder: int) -> Column:
     return F.coalesce(crc % parts == remainder, F.lit(False))
 
 
+def importable(frame: DataFrame) -> DataFrame:
+    """``frame``, after Python workers were told where this library lies.
+
+    They need it where the driver has the library by ``sys.path`` only, as in local runs; on
+    a cluster it is shipped with the job.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = frame.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return frame
+
+
 def free_name(frame: DataFrame, wish: str) -> str:
     """``wish``, or with underscores behind it if the frame has such a column."""
     taken = {name.lower() for name in frame.columns}
@@ -47,21 +64,16 @@ def free_name(frame: DataFrame, wish: str) -> str:
 
 
 def running(
-    frame: DataFrame,
-    keys: list[str],
-    order: list[str],
-    amounts: dict[str, Column],
-    rows: int,
-    rows_per_chunk: int = 20_000,
+    frame: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column], rows: int
 ) -> DataFrame:
     """Adds, per key, the sum of each amount over all rows before this one.
 
-    The order is a stable hash order, not a sort: rows are dealt into chunks by a hash of
-    ``order``, chunk totals are added up first, and only chunks of about ``rows_per_chunk``
-    rows are sorted in one task, so that a key may hold any share of the rows. ``order``
-    must tell rows apart that are not interchangeable.
+    The order is a fixed hash order, not a sort: rows are dealt into chunks by a hash of
+    ``order``, chunk totals are added up first, and only chunks (thousands of rows, or the
+    square root of ``rows``) are sorted in one task, so a key may hold any share of the rows.
+    Keys must not be null, and rows that ``order`` does not tell apart must be alike.
     """
-    chunks = max(1, -(-rows // rows_per_chunk))
+    chunks = max(1, rows // max(2_000, isqrt(rows)))
     chunk = F.pmod(F.xxhash64(F.lit("chunk"), *order), F.lit(chunks)).cast("int")
     dealt = frame.withColumn("_chunk", chunk)
     totals = dealt.groupBy(*keys, "_chunk").agg(
@@ -69,8 +81,8 @@ def running(
     )
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(
-        *(F.col(k).alias(f"_key_{k}") for k in keys),
-        F.col("_chunk").alias("_key_chunk"),
+        *keys,
+        "_chunk",
         *(F.coalesce(F.sum(f"_all_{n}").over(before), F.lit(0)).alias(f"_base_{n}") for n in amounts),
     )
     inside = (
@@ -81,11 +93,7 @@ def running(
     local = dealt.withColumns(
         {f"_here_{n}": F.coalesce(F.sum(a).over(inside), F.lit(0)) for n, a in amounts.items()}
     )
-    same = F.col("_chunk") == F.col("_key_chunk")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    joined = local.join(bases, same)
-    return joined.select(
+    return local.join(bases, [*keys, "_chunk"]).select(
         *frame.columns,
         *((F.col(f"_base_{n}") + F.col(f"_here_{n}")).cast("long").alias(n) for n in amounts),
     )

@@ -2,10 +2,18 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from precinct.llm.byte_bpe import encode_documents
 from precinct.llm.common import table
+from precinct.llm.mixing import mix, words_taken
 from precinct.llm.quality_rules import BASE, STOP_WORDS, TABLE, quality_rules
+from precinct.llm.sharding import shard_documents
+
+# The tokenizer that production data is encoded with.
+TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +24,31 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op3_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
+    sharded = shard_documents(table(spark, folder, "documents"), shards=16)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_mix_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return words_taken(*mix(table(spark, folder, "documents")))
+
+
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_documents(table(spark, folder, "documents"), TOKENIZER, keep_ids=False)
+
+
 QUERIES: dict[str, Query] = {
+    "op3_best_fit_shards": op3_best_fit_shards,
+    "op6_mix_blocks": op6_mix_blocks,
+    "op8_byte_bpe": op8_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
