@@ -6,15 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precinct.llm import compression_quality, language_id
 from precinct.llm.byte_bpe import encode_documents
-from precinct.llm.common import table
+from precinct.llm.common import held_out, table
 from precinct.llm.mixing import mix, words_taken
+from precinct.llm.pseudonyms import pseudonymise
 from precinct.llm.quality_rules import BASE, STOP_WORDS, TABLE, quality_rules
 from precinct.llm.sharding import shard_documents
 
 # The tokenizer that production data is encoded with.
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+# In production the key comes from a store of secrets; with this one, results can be compared.
+KEY = b"pseudonyms of the registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -24,6 +29,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op1_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    hidden = pseudonymise(table(spark, folder, "documents"), KEY)
+    kinds = F.array_join(F.array_sort(F.map_keys("replaced")), ",")
+    return hidden.select("doc_id", "text", "n_replaced", kinds.alias("kinds"))
+
+
+def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    model = compression_quality.fit(docs, labels, ~held_out("doc_id", 5, 0))
+    scored = compression_quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op3_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
     sharded = shard_documents(table(spark, folder, "documents"), shards=16)
     return sharded.select(
@@ -37,6 +60,15 @@ def op3_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_cross_parsing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    samples = language_id.fit(docs, ~held_out("doc_id", 3, 1))
+    judged = language_id.predict(docs.select("doc_id", "text"), samples)
+    return judged.select(
+        "doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_mix_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return words_taken(*mix(table(spark, folder, "documents")))
 
@@ -46,7 +78,10 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pseudonyms": op1_pseudonyms,
+    "op2_compression_quality": op2_compression_quality,
     "op3_best_fit_shards": op3_best_fit_shards,
+    "op4_cross_parsing": op4_cross_parsing,
     "op6_mix_blocks": op6_mix_blocks,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
