@@ -13,6 +13,7 @@ from precinct.llm.mixing import mix, words_taken
 from precinct.llm.pseudonyms import pseudonymise
 from precinct.llm.quality_rules import BASE, STOP_WORDS, TABLE, quality_rules
 from precinct.llm.sharding import shard_documents
+from precinct.llm.top_k import top_k
 
 # The tokenizer that production data is encoded with.
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,6 +74,11 @@ def op6_mix_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return words_taken(*mix(table(spark, folder, "documents")))
 
 
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(table(spark, folder, "documents"), TOKENIZER, keep_ids=False)
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op3_best_fit_shards": op3_best_fit_shards,
     "op4_cross_parsing": op4_cross_parsing,
     "op6_mix_blocks": op6_mix_blocks,
+    "op7_top_k": op7_top_k,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -90,6 +97,17 @@ QUERIES: dict[str, Query] = {
 _STOPS = sorted({w for listed in STOP_WORDS.values() for w in listed.split()})
 
 ORACLE: dict[str, str] = {
+    "op7_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
+WHERE r <= 5
+""",
     "op10_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce("text", '') AS t FROM documents),
 w AS (SELECT r, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
