@@ -194,7 +194,8 @@ def mix(
         .drop("at")
     )
     schema = "shard int, slot bigint, source_no int, block bigint"
-    spread = importable(divided.repartition("shard", "source_no", "first"))
+    tasks = max(1, sum(slots) // 250_000)
+    spread = importable(divided.repartition(tasks, "shard", "source_no", "first"))
     taken = spread.mapInPandas(slots_to_blocks, schema)
     numbered = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["named"]))
     order = ["doc_id", "text_hash"]
@@ -220,7 +221,8 @@ def document_blocks(known: DataFrame, block_words: int) -> DataFrame:
 
 def words_taken(known: DataFrame, taken: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id size source_size target taken``: the words a mix takes of each document."""
-    times = taken.groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    # Sizes are estimated from the few runs that blocks are drawn by: Spark would broadcast.
+    times = taken.groupBy("source_no", "block").agg(F.count("*").alias("times")).hint("merge")
     shared = document_blocks(known, block_words).join(times, ["source_no", "block"], "left")
     part = F.col("words") * F.coalesce("times", F.lit(0))
     counted = shared.groupBy("source_no", "first", "doc_id", "size", "source_size", "target").agg(
@@ -263,13 +265,14 @@ def mixed_documents(
     that occurs repeatedly gives the parts of all its copies once. Columns of the input with
     the names ``shard`` or ``slot`` are replaced.
     """
-    drawn = taken.join(document_blocks(known, block_words), ["source_no", "block"])
-    parts = drawn.groupBy("doc_id", "text_hash").agg(
+    parts = document_blocks(known, block_words)
+    drawn = taken.hint("merge").join(parts, ["source_no", "block"])
+    cuts = drawn.groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("begin", "words", "shard", "slot")).alias("_parts")
     )
     once = docs.drop("shard", "slot").withColumn("_hash", F.xxhash64(docs[text]))
     once = once.dropDuplicates([doc_id, "_hash"])
-    renamed = parts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_same"), "_parts")
+    renamed = cuts.hint("merge").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_same"), "_parts")
     same = once[doc_id].eqNullSafe(renamed["_id"]) & (once["_hash"] == renamed["_same"])
     joined = once.join(renamed, same).drop("_id", "_same", "_hash")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.drop("_parts").schema]
