@@ -64,16 +64,21 @@ def free_name(frame: DataFrame, wish: str) -> str:
 
 
 def running(
-    frame: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column], rows: int
+    frame: DataFrame,
+    keys: list[str],
+    order: list[str],
+    amounts: dict[str, Column],
+    rows: int,
+    least: int = 2_000,
 ) -> DataFrame:
     """Adds, per key, the sum of each amount over all rows before this one.
 
     The order is a fixed hash order, not a sort: rows are dealt into chunks by a hash of
-    ``order``, chunk totals are added up first, and only chunks (thousands of rows, or the
-    square root of ``rows``) are sorted in one task, so a key may hold any share of the rows.
+    ``order``, chunk totals are added up first, and only chunks (``least`` rows, or the square
+    root of ``rows``) are sorted in one task, so a key may hold any share of the rows.
     Keys must not be null, and rows that ``order`` does not tell apart must be alike.
     """
-    chunks = max(1, rows // max(2_000, isqrt(rows)))
+    chunks = max(1, rows // max(least, isqrt(rows)))
     chunk = F.pmod(F.xxhash64(F.lit("chunk"), *order), F.lit(chunks)).cast("int")
     dealt = frame.withColumn("_chunk", chunk)
     totals = dealt.groupBy(*keys, "_chunk").agg(

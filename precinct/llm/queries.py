@@ -10,6 +10,7 @@ from precinct.llm import compression_quality, language_id
 from precinct.llm.byte_bpe import encode_documents
 from precinct.llm.common import held_out, table
 from precinct.llm.mixing import mix, words_taken
+from precinct.llm.near_join import near_components
 from precinct.llm.pseudonyms import pseudonymise
 from precinct.llm.quality_rules import BASE, STOP_WORDS, TABLE, quality_rules
 from precinct.llm.sharding import shard_documents
@@ -24,6 +25,10 @@ KEY = b"pseudonyms of the registered query"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op9_metric_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_components(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     judged = quality_rules(table(spark, folder, "documents"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op6_mix_blocks": op6_mix_blocks,
     "op7_top_k": op7_top_k,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_metric_join": op9_metric_join,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -27,7 +27,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(2)
+@lru_cache(8)
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -67,9 +67,9 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     n = len(words)
     total = np.zeros(max(0, n - width + 1), np.uint64)
     for i in range(width):
-        total = mixed(total + np.uint64(i + 1)) + words[i : n - width + 1 + i]
+        total = mixed(total + np.uint64(i + 1)) + words[i : i + len(total)]
     own = owner[: len(total)]
-    whole = own == owner[width - 1 :] if len(total) else np.zeros(0, bool)
+    whole = own == owner[width - 1 : width - 1 + len(total)]
     hashes, owners = mixed(total[whole]), own[whole]
     first = np.cumsum(count) - count
     short = np.flatnonzero((count > 0) & (count < width))
