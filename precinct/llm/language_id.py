@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -264,7 +265,7 @@ def predict(
 
 def runs(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
     """Rows of a batch that together have about ``CHUNK`` bytes of text; a row stays whole."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(place)), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0)
     begin = held = 0
     for row, size in enumerate(sizes.to_pylist()):
         if row > begin and held + size > CHUNK:
