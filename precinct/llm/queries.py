@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import compression_quality, language_id
+from precinct.llm import compression_quality, language_id, licenses
 from precinct.llm.byte_bpe import encode_documents
 from precinct.llm.common import held_out, table
 from precinct.llm.mixing import mix, words_taken
@@ -75,6 +75,11 @@ def op4_cross_parsing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return licenses.licenses(docs, licenses.scan(docs, licenses.fit(docs)))
+
+
 def op6_mix_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return words_taken(*mix(table(spark, folder, "documents")))
 
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op2_compression_quality": op2_compression_quality,
     "op3_best_fit_shards": op3_best_fit_shards,
     "op4_cross_parsing": op4_cross_parsing,
+    "op5_license_scan": op5_license_scan,
     "op6_mix_blocks": op6_mix_blocks,
     "op7_top_k": op7_top_k,
     "op8_byte_bpe": op8_byte_bpe,
