@@ -114,13 +114,14 @@ class Model:
         tables, self.roots, self.bits, base = [], [], [], 0
         for own in letters:
             automaton = SuffixAutomaton(self.symbol[own].tolist())
-            states = len(automaton.next)
+            # One state more: behind a letter that the sample has not, all begins anew.
+            states = len(automaton.next) + 1
             table = np.full((states, self.width), RESTART, np.uint32)
             for state, following in enumerate(automaton.next):
                 for symbol, target in following.items():
                     table[state, symbol] = target
             missing = table == RESTART
-            first = np.where(table[0] == RESTART, 0, table[0])
+            first = np.where(table[0] == RESTART, states - 1, table[0])
             table = np.where(missing, first[None, :], table) + np.uint32(base)
             # States are kept as offsets of their row in the joined table.
             tables.append(table * np.uint32(self.width) | np.where(missing, RESTART, np.uint32(0)))

@@ -271,7 +271,8 @@ def mixed_documents(
         F.collect_list(F.struct("begin", "words", "shard", "slot")).alias("_parts")
     )
     once = docs.drop("shard", "slot").withColumn("_hash", F.xxhash64(docs[text]))
-    once = once.dropDuplicates([doc_id, "_hash"])
+    if known.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count():
+        once = once.dropDuplicates([doc_id, "_hash"])
     renamed = cuts.hint("merge").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_same"), "_parts")
     same = once[doc_id].eqNullSafe(renamed["_id"]) & (once["_hash"] == renamed["_same"])
     joined = once.join(renamed, same).drop("_id", "_same", "_hash")

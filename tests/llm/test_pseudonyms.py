@@ -1,0 +1,97 @@
+import datetime
+import re
+
+import pytest
+
+from precinct.llm.pseudonyms import Feistel, luhn, pseudonymise, replace
+from tests.llm.conftest import EDGES
+
+CIPHER = Feistel(b"a key")
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 256, 1000])
+def test_permutations_and_their_inverse(size):
+    got = [CIPHER.permute(i, size, "kind") for i in range(size)]
+    assert sorted(got) == list(range(size))
+    assert [CIPHER.permute(x, size, "kind", back=True) for x in got] == list(range(size))
+
+
+VALID = {
+    "4111 1111 1111 1111": "card",
+    "4845168114407329": "card",
+    "+1 (499) 555-6503": "phone",
+    "555-123-4567": "phone",
+    "+44 20 7946 0958": "world_phone",
+    "123-45-6789": "social",
+    "97.51.17.173": "ipv4",
+    "GB82 WEST 1234 5698 7654 32": "iban",
+    "Some.One+x@Mail7.example.com": "email",
+    'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"': "secret",
+    'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"': "secret",
+    "1980-02-29": "date",
+    "31/12/1999": "date",
+    "02/03/2001": "date",
+    "24.12.2010": "date",
+}
+
+
+@pytest.mark.parametrize("value", VALID)
+def test_values_change_within_their_format_and_come_back(value):
+    fresh, counts = replace(f"so: {value}, then", CIPHER)
+    assert counts == {VALID[value]: 1}
+    assert fresh != f"so: {value}, then"
+    shape = lambda t: re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub("[0-9]", "9", t)))
+    if VALID[value] not in ("secret", "ipv4"):
+        assert shape(fresh) == shape(f"so: {value}, then")
+    assert replace(fresh, CIPHER, back=True)[0] == f"so: {value}, then"
+    assert replace(f"so: {value}, then", Feistel(b"another"))[0] != fresh
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "9807915762804490",  # wrong check digit
+        "1111111111111111",
+        "300.1.1.1",
+        "1.2.3.4.5",
+        "2021-02-30",
+        "31/13/1999",
+        "000-12-3456",
+        "GB00 WEST 1234 5698 7654 32",
+        "a@b",
+        "version 2.0 of 2020",
+        "x" * 50 + "1" * 60,
+    ],
+)
+def test_what_is_not_valid_stays(text):
+    assert replace(text, CIPHER) == (text, {})
+
+
+def test_equal_values_stay_linked_however_written():
+    first, _ = replace("4111-1111-1111-1111", CIPHER)
+    second, _ = replace("card 4111111111111111 here", CIPHER)
+    digits = re.sub(r"\D", "", first)
+    assert digits == re.search(r"\d{16}", second)[0]
+    assert int(digits[-1]) == luhn(digits[:-1])
+    lower, _ = replace("me@here.org", CIPHER)
+    upper, _ = replace("ME@HERE.ORG", CIPHER)
+    assert lower == upper.lower()
+
+
+def test_days_stay_days():
+    for day in range(0, 70_000, 977):
+        date = datetime.date(1900, 1, 1) + datetime.timedelta(day)
+        text = date.strftime("%d/%m/%Y")
+        fresh, counts = replace(text, CIPHER)
+        assert counts == {"date": 1}
+        assert replace(fresh, CIPHER, back=True)[0] == text
+
+
+def test_documents(edges, nothing, make_docs):
+    rows = pseudonymise(edges, b"k").collect()
+    assert [(r["doc_id"], r["text"]) for r in rows] == [(i, t) for i, t, *_ in EDGES]
+    assert all(r["n_replaced"] == 0 for r in rows)
+    docs = make_docs(["a@b.org and 10.0.0.1 and a@b.org"]).selectExpr("*", "5 AS replaced")
+    row = pseudonymise(docs, b"k").first()
+    assert row["n_replaced"] == 3 and row["replaced"] == {"email": 2, "ipv4": 1}
+    assert pseudonymise(nothing, b"k").count() == 0
