@@ -3,9 +3,10 @@
 The distance of two sets, one minus intersection over union, obeys the triangle inequality.
 The join uses it with pivots, sets that all others around them are measured against:
 
-1. Neighbourhoods. Sets that are within the wished distance share a signature. Texts that
-   have nothing to do with each other are all at distance 1 from any pivot and from each
-   other, where no pivot can tell them apart; sharing no signature, they never meet.
+1. Neighbourhoods. Sets within the wished distance share most parts, and of their rarest
+   shared parts at least one. Texts that have nothing to do with each other are all at
+   distance 1 from any pivot and from each other, where no pivot can tell them apart;
+   sharing too few parts, they never meet.
 2. Pivots. Each neighbourhood elects a pivot, the same one for those that overlap. Sets
    within the wished distance of their pivot are linked to it, so that among themselves
    nothing remains to be found. Others must be compared with sets in a window: their
@@ -25,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precinct.llm.common import importable, running
@@ -38,62 +39,105 @@ BLOCK = 1 << 15
 LARGE = 1 << 21
 PIVOTS = 8
 LEVELS = 4
-# Buckets of ids by which texts are found again; the list of them is broadcast.
-BUCKETS = 1 << 18
+# Rounds in which sets are dropped that share too few parts.
+PRUNINGS = 2
+# Bits (as a power of two) of the bitmap of signatures: 8 MB.
+BITS = 26
+# Buckets of values that are looked for; a list of them is broadcast.
+BUCKETS = 1 << 20
 
 
-def described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id n digest signatures`` of the columns ``doc_id data``."""
-    scheme = Scheme(percent)
+def per_text(docs: DataFrame, words: int, name: str, schema: str, build) -> DataFrame:
+    """Runs ``build(ids, hashes, sizes)`` over the shingle sets of ``name data``, in chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or b"" for x in batch.column(1).to_pylist()]
             for begin, part in chunks(texts):
                 hashes, sizes = shingle_sets(part, words)
-                values, owners = scheme.signatures(hashes, sizes)
-                order = np.argsort(owners, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(part)))])
-                both = digests(hashes, sizes).view(np.uint8).reshape(len(part), 16)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(begin, len(part)),
-                        pa.array(sizes.astype(np.int64)),
-                        pa.array([row.tobytes() for row in both], pa.binary()),
-                        pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()), pa.array(values[order].view(np.int64))
-                        ),
-                    ],
-                    ["doc_id", "n", "digest", "signatures"],
-                )
-
-    schema = "doc_id bigint, n bigint, digest binary, signatures array<bigint>"
-    return importable(docs).mapInArrow(run, schema)
-
-
-def sets_of(docs: DataFrame, words: int) -> DataFrame:
-    """``id cells``: the shingle set of each text of the columns ``id data``, sorted."""
+                yield build(batch.column(0).slice(begin, len(part)), hashes, sizes)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x or b"" for x in batch.column(1).to_pylist()]
-            for begin, part in chunks(texts):
-                hashes, sizes = shingle_sets(part, words)
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                cells = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, len(part)), cells], ["id", "cells"]
-                )
+    return importable(docs.select(name, "data")).mapInArrow(run, schema)
+
+
+def described(data: DataFrame, words: int) -> DataFrame:
+    """``doc_id n node``: the size of a document's set, and a number that equal sets share."""
+
+    def build(ids, hashes, sizes):
+        node = digests(hashes, sizes).view(np.int64)
+        columns = [ids, pa.array(sizes.astype(np.int64)), pa.array(node)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node"])
+
+    return per_text(data, words, "doc_id", "doc_id bigint, n bigint, node bigint", build)
+
+
+def signed(data: DataFrame, words: int, percent: int, wanted=None) -> DataFrame:
+    """``signature node class need`` for all parts of all sets (see ``Scheme``).
+
+    ``wanted`` is a broadcast bitmap: signatures that it does not have are left out.
+    """
+    scheme = Scheme(percent)
+
+    def build(ids, hashes, sizes):
+        values, owners, classes, needs = scheme.signatures(hashes, sizes)
+        if wanted is not None:
+            bits = np.frombuffer(wanted.value, np.uint8)
+            place = (values >> np.uint64(64 - BITS)).astype(np.int64)
+            keep = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            values, owners, classes, needs = (x[keep] for x in (values, owners, classes, needs))
+        node = digests(hashes, sizes).view(np.int64)[owners]
+        columns = [values.view(np.int64), node, classes.astype(np.int32), needs.astype(np.int32)]
+        names = ["signature", "node", "class", "need"]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+
+    schema = "signature bigint, node bigint, class int, need int"
+    return per_text(data, words, "doc_id", schema, build)
+
+
+def bitmap(signatures: DataFrame):
+    """A broadcast bitmap with a bit for the first bits of each signature, of a fixed size."""
+    place = F.shiftrightunsigned("signature", 64 - BITS) + 1
+    rows = (
+        signatures.groupBy(F.bitmap_bucket_number(place).alias("number"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()
+    )
+    whole = bytearray(1 << (BITS - 3))
+    for row in rows:
+        begin = (row["number"] - 1) * len(row["bits"])
+        whole[begin : begin + len(row["bits"])] = row["bits"]
+    return signatures.sparkSession.sparkContext.broadcast(bytes(whole))
+
+
+def sets_of(data: DataFrame, words: int) -> DataFrame:
+    """``id cells``: the shingle set of each document, sorted."""
+
+    def build(ids, hashes, sizes):
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        cells = pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))
+        return pa.RecordBatch.from_arrays([ids, cells], ["id", "cells"])
 
-    return importable(docs).mapInArrow(run, "id bigint, cells array<bigint>")
+    return per_text(data, words, "doc_id", "id bigint, cells array<bigint>", build)
+
+
+def around(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``column`` may be in the one column of ``wanted``, found without a shuffle.
+
+    Values are compared by a bucket; the list of buckets is broadcast and has a fixed bound.
+    """
+    def bucket(name):
+        return F.pmod(F.xxhash64(name), F.lit(BUCKETS)).cast("int").alias("_bucket")
+
+    buckets = wanted.select(bucket(wanted.columns[0])).distinct()
+    held = frame.withColumn("_bucket", bucket(column))
+    return held.join(F.broadcast(buckets), "_bucket", "left_semi").drop("_bucket")
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` of ``id pivot`` with ``n`` (size of id), ``m`` (of pivot) and ``common``."""
-    left = sets.select("id", F.col("cells").alias("_a"))
-    right = sets.select(F.col("id").alias("pivot"), F.col("cells").alias("_b"))
+    left = around(sets, "id", pairs.select("id")).select("id", F.col("cells").alias("_a"))
+    right = around(sets, "id", pairs.select("pivot"))
+    right = right.select(F.col("id").alias("pivot"), F.col("cells").alias("_b"))
     common = F.size(F.array_intersect("_a", "_b")).cast("long")
     counted = pairs.join(left, "id").join(right, "pivot").withColumns(
         {
@@ -285,6 +329,64 @@ def compared(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> D
     return importable(rows).groupBy("pair").applyInPandas(leaf(percent, width), "a bigint, b bigint")
 
 
+def meetings(parts: DataFrame) -> DataFrame:
+    """Signatures that more than one set has, with the number of sets and the first of them.
+
+    Rows of copies are equal and count once.
+    """
+    seen = parts.groupBy("signature").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
+    return seen.filter("pivot < last").select("signature")
+
+
+def shared_parts(data: DataFrame, words: int, percent: int) -> DataFrame:
+    """``signature node class need``, of sets that share as many parts as similar sets must.
+
+    Most parts are of one set only. The bitmap of the others leaves them out of the second
+    pass. Sets that lack shared parts go, with them the parts they alone shared with one
+    other set, and so on for a few rounds.
+    """
+    wanted = bitmap(meetings(signed(data, words, percent)))
+    parts = stored(signed(data, words, percent, wanted).distinct(), "parts")
+    for _ in range(PRUNINGS):
+        parts = parts.join(meetings(parts), "signature")
+        enough = parts.groupBy("node", "class").agg(F.count("*").alias("shared"), F.max("need").alias("least"))
+        enough = enough.filter("shared >= least").select("node", "class", "shared")
+        parts = stored(parts.join(enough, ["node", "class"]), "parts")
+        parts, shared = parts.drop("shared"), parts
+    return shared
+
+
+def neighbourhoods(parts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``id pivot crowd``: sets that share a signature, with the first set of that signature.
+
+    Of a set's shared parts the rarest count: so many that at least one of them is among
+    those that it must have in common with a similar set. ``crowd`` tells whether others
+    may share the signature, too.
+    """
+    counted = parts.groupBy("signature").agg(F.count("*").alias("sets"))
+    rarest = Window.partitionBy("node", "class").orderBy("sets", "signature")
+    kept = (
+        parts.join(counted, "signature")
+        .withColumn("place", F.row_number().over(rarest))
+        .filter(F.col("place") <= F.col("shared") - F.col("need") + 1)
+    )
+    rows = stored(kept.select("signature", "node").distinct(), "kept-parts")
+    first = rows.groupBy("signature").agg(
+        F.min("node").alias("pivot"), (F.count("*") > 2).alias("crowd")
+    )
+    pairs = rows.join(first, "signature").filter("node <> pivot")
+    pairs = pairs.groupBy("node", "pivot").agg(F.max("crowd").alias("crowd"))
+    left = classes.select("node", "id", F.col("n").alias("size"))
+    right = classes.select(
+        F.col("node").alias("pivot"), F.col("id").alias("pivot_id"), F.col("n").alias("pivot_size")
+    )
+    named = pairs.join(left, "node").join(right, "pivot")
+    small, large = F.least("size", "pivot_size"), F.greatest("size", "pivot_size")
+    # Two sets of too unequal size cannot be linked, and have no others around them.
+    near = named.filter(F.col("crowd") | (100 * small >= percent * large))
+    return near.select("id", F.col("pivot_id").alias("pivot"), "crowd")
+
+
 def near_components(
     docs: DataFrame,
     words: int = 4,
@@ -309,48 +411,23 @@ def near_components(
     data = docs.select(
         docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("binary").alias("data")
     ).filter("doc_id IS NOT NULL")
-    whole = stored(described(data, words, percent), "described")
-    classes = whole.filter("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.count("*").alias("members")
+    whole = stored(described(data, words), "described")
+    classes = whole.filter("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("id"), F.count("*").alias("members"), F.first("n").alias("n")
     )
     classes = stored(classes, "classes")
-    signed = whole.filter(F.size("signatures") > 0).select("doc_id", "digest", "signatures")
-    firsts = classes.select(F.col("id").alias("doc_id"), F.col("digest").alias("of"))
-    # A repeated id may stand for several sets; rows of the same set are one after the group.
-    own = signed.join(firsts, (signed["doc_id"] == firsts["doc_id"]) & (F.col("digest") == F.col("of")))
-    rows = own.select(signed["doc_id"].alias("id"), F.explode("signatures").alias("signature"))
-    meetings = rows.groupBy("signature").agg(
-        F.count("*").alias("count"),
-        F.min("id").alias("pivot"),
-        F.max("id").alias("last"),
-        F.bit_xor(F.xxhash64("id")).alias("mark"),
-    )
-    meetings = stored(meetings.filter("count > 1 AND pivot < last"), "meetings")
-    couples = meetings.filter("count = 2").select(F.col("last").alias("id"), "pivot").distinct()
-    crowds = meetings.filter("count > 2").groupBy("count", "pivot", "last", "mark")
-    crowds = crowds.agg(F.min("signature").alias("signature")).select("signature", "pivot")
-    members = rows.join(crowds, "signature").filter("id <> pivot").select("id", "pivot").distinct()
-    regions = stored(
-        couples.withColumn("crowd", F.lit(False))
-        .union(members.withColumn("crowd", F.lit(True)))
-        .groupBy("id", "pivot")
-        .agg(F.max("crowd").alias("crowd")),
-        "neighbourhoods",
-    )
-    involved = regions.select("id").union(regions.select(F.col("pivot").alias("id"))).distinct()
-    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
-    buckets = involved.select(bucket.alias("bucket")).distinct()
-    texts = data.select(F.col("doc_id").alias("id"), "data").withColumn("bucket", bucket)
-    nearby = texts.join(F.broadcast(buckets), "bucket", "left_semi").select("id", "data")
-    sets = stored(sets_of(nearby.join(involved, "id", "left_semi"), words), "sets")
+    parts = shared_parts(data, words, percent)
+    regions = stored(neighbourhoods(parts, classes, percent), "regions")
+    involved = regions.select("id").union(regions.select("pivot"))
+    sets = stored(sets_of(around(data, "doc_id", involved), words), "sets")
     far = stored(measured(regions, sets), "measured")
     found = Found()
     found.add(far.filter(linked(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
     width = 1 - percent / 100
-    around = far.filter("crowd").select(
+    crowded = far.filter("crowd").select(
         F.col("pivot").alias("region"), "id", distance().alias("d"), "n", F.lit(True).alias("is_home")
     )
-    left = stored(open_members(around, width), "regions")
+    left = stored(open_members(crowded, width), "regions")
     for level in range(LEVELS):
         left, more = divided(left, sets, percent, level, large, found)
         if not more:
@@ -359,14 +436,12 @@ def near_components(
     names = components(found.all())
     labels = classes.join(names, "id", "left").withColumn("component", F.coalesce("component", "id"))
     many = labels.filter("members > 1 OR component <> id").select(
-        F.col("digest").alias("of"), F.col("id").alias("copies_of"), "component"
-    )
-    joined = whole.select("doc_id", "n", "digest").join(
-        many, (F.col("digest") == F.col("of")) & (F.col("n") > 0), "left"
+        F.col("node").alias("of"), F.col("id").alias("copies_of"), "component"
     )
+    joined = whole.join(many, (F.col("node") == F.col("of")) & (whole["n"] > 0), "left")
     return joined.select(
         "doc_id",
-        F.col("n").alias("n_shingles"),
+        whole["n"].alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("copies_of", "doc_id").alias("copies_of"),
     )

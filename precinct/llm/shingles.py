@@ -3,9 +3,10 @@
 Words and shingles are 64-bit hashes, computed for many texts at once. Two different words or
 shingles get one hash with a chance of about 2 to the power of -64.
 
-Signatures rest on the pigeonhole principle. Hashes are divided into ranges ("parts"). If two
-sets differ in at most k shingles, at most k parts differ. A set gives the first k + 1 of its
-parts, in one order for all sets, so that two such sets have a part in common. k follows from
+Signatures rest on the pigeonhole principle. Hashes are divided into ranges ("parts"), more of
+them than the shingles k in which similar sets can differ, and the hashes of a part make a
+signature. Two similar sets differ in at most k parts and agree in all others: a set needs
+to share all but k of its filled parts with each set that it is similar to. k follows from
 the size of the set alone; the number of parts follows from a class of sizes, and a set near
 the upper end of its class gives parts for the next class too.
 """
@@ -89,13 +90,13 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def digests(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """128 bits that are equal for equal sets: two sums over differently mixed hashes."""
-    out = np.zeros((len(sizes), 2), np.uint64)
+    """A 64-bit number for each set, from its hashes; equal for equal sets."""
+    out = np.zeros(len(sizes), np.uint64)
     full = np.flatnonzero(sizes)
     if len(full):
         at = (np.cumsum(sizes) - sizes)[full]
-        for i, salt in enumerate((0x165667B19E3779F9, 0x27D4EB2F165667C5)):
-            out[full, i] = np.add.reduceat(mixed(hashes ^ np.uint64(salt)), at)
+        sums = np.add.reduceat(mixed(hashes ^ np.uint64(0x165667B19E3779F9)), at)
+        out[full] = mixed(sums ^ sizes[full].astype(np.uint64))
     return out
 
 
@@ -114,23 +115,22 @@ class Scheme:
         """Parts for sets below 2 ** (size_class + 1): more than can differ, with some spare."""
         return int(1.03 * self.differing(np.int64(2 << size_class))) + 9
 
-    def signatures(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures of all sets, and the number of the set of each.
+    def signatures(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each part of all sets: signature, number of the set, its class, and its need.
 
-        A set that can differ in nothing gives none: it is similar to equal sets only.
+        The need is the number of parts that a similar set has in common with it. A set
+        that can differ in nothing gives no parts: it is similar to equal sets only.
         """
         start = np.cumsum(sizes) - sizes
         usable = np.flatnonzero(self.differing(sizes) > 0)
         own = np.floor(np.log2(np.maximum(sizes[usable], 1))).astype(np.int64)
         upper = sizes[usable] * 100 >= self.percent * (2 << own)
-        found, owners = [], []
+        none = np.empty(0, np.int64)
+        found = [(none.astype(np.uint64), none, none, none)]
         for size_class in np.unique(np.concatenate([own, own[upper] + 1])).tolist():
             some = usable[(own == size_class) | (upper & (own + 1 == size_class))]
-            values, sets = self.in_class(hashes, sizes, start, some, size_class)
-            found.append(values)
-            owners.append(sets)
-        none = np.empty(0, np.uint64)
-        return np.concatenate([*found, none]), np.concatenate([*owners, none.astype(np.int64)])
+            found.append(self.in_class(hashes, sizes, start, some, size_class))
+        return tuple(np.concatenate(columns) for columns in zip(*found))
 
     def in_class(self, hashes, sizes, start, some, size_class: int):
         n = sizes[some]
@@ -147,16 +147,13 @@ class Scheme:
         salt = part[first] + (np.uint64(size_class) << np.uint64(32))
         value = mixed(value ^ mixed(salt))
         row = rows[first]
-        order = np.lexsort((value, row))
-        value, row = value[order], row[order]
-        filled = np.bincount(row, minlength=len(some))
-        place = np.arange(len(row)) - np.repeat(np.cumsum(filled) - filled, filled)
-        allowed = self.differing(n)
-        keep = place <= allowed[row]
+        need = np.bincount(row, minlength=len(some)) - self.differing(n)
         # Sets with too few filled parts may agree in empty parts only: they all meet.
-        lacking = np.flatnonzero(filled <= allowed)
+        lacking = np.flatnonzero(need <= 0)
         meet = mixed(np.full(len(lacking), (size_class << 40) + 1, np.uint64))
-        return np.concatenate([value[keep], meet]), some[np.concatenate([row[keep], lacking])]
+        row = np.concatenate([row, lacking])
+        classes = np.full(len(row), size_class)
+        return np.concatenate([value, meet]), some[row], classes, np.maximum(need, 0)[row]
 
 
 def chunks(texts: list[bytes], most: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
