@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import replay  # noqa: E402
 from oracle import ORACLE  # noqa: E402
 from precinct.functions import geo  # noqa: E402
 from precinct.operators import etl, records, reports  # noqa: E402
@@ -23,7 +24,7 @@ from precinct.operators.hotspots import (  # noqa: E402
 )
 from precinct.operators.patterns import historical_patterns, match_patterns  # noqa: E402
 from precinct.operators.temporal import temporal_patterns  # noqa: E402
-from precinct.plans import batch, replay, stream  # noqa: E402
+from precinct.plans import batch, stream  # noqa: E402
 from precinct.plans.scratch import new_folder, stored  # noqa: E402
 from precinct.session import configure  # noqa: E402
 from precinct.sinks import documents, files as file_sinks, messages as message_sinks  # noqa: E402
@@ -91,6 +92,16 @@ def src_csv_raw(spark, folder):
     return etl.select_renamed(files.raw_csv(spark, _raw_csv_folder(spark, folder)))
 
 
+def src_csv_column_orders(spark, folder):
+    """Raw CSV text in two folders, whose files have their columns in different order."""
+    raw = tables.raw_orders(spark, folder)
+    even = F.col("ID").cast("bigint") % 2 == 0
+    paths = [new_folder(spark, "raw"), new_folder(spark, "raw")]
+    file_sinks.write_curated(raw.filter(even), paths[0], "csv")
+    file_sinks.write_curated(raw.filter(~even).select(*reversed(raw.columns)), paths[1], "csv")
+    return etl.select_renamed(files.raw_csv(spark, paths))
+
+
 def src_curated(spark, folder):
     path = new_folder(spark, "curated")
     file_sinks.write_curated(tables.curated_orders(spark, folder), path, partition_by=["year"])
@@ -131,7 +142,17 @@ def sink_foreachbatch(spark, folder):
     checkpoints = new_folder(spark, "checkpoints")
     runner.drain([runner.start(enriched, "sink_foreachbatch", twice, checkpoints, every=None)])
     stored_rows = spark.read.parquet(out)
-    return stored_rows.drop("_inserted_at", "batch_id", "description", "case_number")
+    return stored_rows.drop("_inserted_at", "batch_id")
+
+
+def pattern_documents(spark, folder):
+    """Every pattern match as a document, with the number of documents of its identity."""
+    matched = match_patterns(_incidents(spark, folder), _stored_patterns(spark, folder))
+    identity = stream.COLLECTIONS["stream_pattern_analysis"]
+    named = documents.with_identity(matched, identity).select("_id", *identity)
+    return named.groupBy("_id").agg(
+        *(F.first(name).alias(name) for name in identity), F.count("*").alias("documents")
+    ).drop("_id")
 
 
 # ---------------------------------------------------------------- preparation
@@ -191,8 +212,15 @@ def _rounded(*names):
     return lambda frame: frame.withColumns({n: F.round(n, 6) for n in names})
 
 
+def _counts_as_text(frame):
+    entries = F.array_sort(F.map_entries("crime_types"))
+    text = F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return frame.withColumn("crime_types", F.array_join(text, ","))
+
+
 _FINISH = {
     "t1": lambda frame: _types_as_text(_without_clock(frame)),
+    "t1_counts": lambda frame: _counts_as_text(_without_clock(frame)),
     "t2": lambda frame: frame,
     "t3": lambda frame: frame,
     "t4": _rounded("geographic_distance"),
@@ -201,15 +229,12 @@ _FINISH = {
 
 
 def t1_hotspots(spark, folder):
-    return _FINISH["t1"](hotspots(_incidents(spark, folder)))
+    return _FINISH["t1"](hotspots(_incidents(spark, folder), types="list"))
 
 
 def t1_hotspots_counts(spark, folder):
     """The form for dense cells: a count per type instead of a list."""
-    dense = _without_clock(hotspots(_incidents(spark, folder), types="counts"))
-    entries = F.array_sort(F.map_entries("crime_types"))
-    text = F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return dense.withColumn("crime_types", F.array_join(text, ","))
+    return _FINISH["t1_counts"](hotspots(_incidents(spark, folder)))
 
 
 def t2_pattern(spark, folder):
@@ -222,15 +247,21 @@ def t2_pattern_keyed(spark, folder):
 
 
 def t2_pattern_shuffled(spark, folder):
-    """The way taken when the patterns are too many to broadcast."""
+    """The way taken when the patterns are too many to broadcast, with a key spread by salts."""
     patterns = _stored_patterns(spark, folder)
-    return match_patterns(_incidents(spark, folder), patterns, broadcast=False)
+    return match_patterns(_incidents(spark, folder), patterns, salts=4, strategy="merge")
 
 
 def t3_violence(spark, folder):
     return violence_escalation(_incidents(spark, folder))
 
 
+def t3_violence_untimed(spark, folder):
+    """A tenth of the incidents came without an arrival time: they are in no window."""
+    known = F.when(F.col("crime_id") % 10 != 0, F.col("event_time"))
+    return violence_escalation(_incidents(spark, folder).withColumn("event_time", known))
+
+
 def t4_domestic(spark, folder):
     return _FINISH["t4"](domestic_correlation(_incidents(spark, folder)))
 
@@ -270,6 +301,24 @@ def _streamed(key: str, transform) -> Query:
     return run
 
 
+def t4_hot_cell_stream(spark, folder):
+    """A third of the incidents happens in one cell, which salts spread over the state."""
+    source = new_folder(spark, "messages")
+    hot = F.col("crime_id") % 3 == 0
+    crowded = tables.events(spark, folder).withColumns(
+        {
+            "latitude": F.when(hot, 41.5).otherwise(F.col("latitude")),
+            "longitude": F.when(hot, -87.75).otherwise(F.col("longitude")),
+        }
+    )
+    raw = tables.as_raw(crowded, "crime_date", "event_time")
+    replay.write_slices(records.to_messages(raw, "event_time"), source)
+    result = replay.run_to_end(
+        spark, source, lambda rows: {"t4": domestic_correlation(records.incidents(rows))}
+    )
+    return _FINISH["t4"](result["t4"])
+
+
 def t2_pattern_stream(spark, folder):
     patterns = _stored_patterns(spark, folder)
     return _streamed("t2", lambda rows: match_patterns(rows, patterns))(spark, folder)
@@ -287,22 +336,48 @@ def late_data(spark, folder):
     return result["late_data"]
 
 
+# What identifies a row of each collection, and three of its numbers.
+_START_ALL = {
+    "stream_crime_hotspots": (
+        ["window_start", "geo_grid"], ["crime_count", "avg_lat", "avg_lon"]
+    ),
+    "stream_violence_escalation": (
+        ["period_start", "geo_zone"], ["violent_incidents", "zone_lat", "arrest_effectiveness"]
+    ),
+    "stream_domestic_correlation": (
+        ["d_crime_id", "nd_crime_id"],
+        ["time_diff_minutes", "geographic_distance", "correlation_lat"],
+    ),
+    "stream_pattern_analysis": (
+        ["crime_id", "pattern_location"], ["historical_frequency", "anomaly_score", "crime_id"]
+    ),
+    "stream_temporal_patterns": (
+        ["analysis_start", "primary_type", "hour_of_day", "is_weekend"],
+        ["incident_count", "arrest_rate", "geographic_dispersion"],
+    ),
+}
+
+
 def start_all(spark, folder):
-    """Rows per collection after running all five queries side by side."""
+    """All rows of the five collections: messages are parsed once, five queries run on them."""
     source = _published(spark, folder)
     patterns = _stored_patterns(spark, folder)
-    collections = replay.run_to_end(
-        spark, source, lambda rows: stream.transformations(rows, patterns)
-    )
-    counts = [
-        frame.agg(F.count("*").alias("documents")).select(
-            F.lit(name).alias("collection"), "documents"
+    own = replay.streaming_session(spark)
+    incidents, checkpoints = new_folder(spark, "incidents"), new_folder(spark, "checkpoints")
+    messages = file_messages(own, source, files_per_trigger=8)
+    parsing, schema = stream.store_incidents(messages, incidents, checkpoints, every=None)
+    runner.drain([parsing])
+    enriched = stream.stored_incidents(own, incidents, schema)
+    found = replay.collections_of(spark, stream.transformations(enriched, patterns))
+    combined = None
+    for name, (identity, numbers) in _START_ALL.items():
+        parts = [F.coalesce(F.col(x).cast("string"), F.lit("")) for x in identity]
+        rows = found[name].select(
+            F.lit(name).alias("collection"),
+            F.concat_ws("|", *parts).alias("identity"),
+            *(F.round(F.col(x).cast("double"), 6).alias(f"n{i}") for i, x in enumerate(numbers)),
         )
-        for name, frame in collections.items()
-    ]
-    combined = counts[0]
-    for each in counts[1:]:
-        combined = combined.unionByName(each)
+        combined = rows if combined is None else combined.unionByName(rows)
     return combined
 
 
@@ -313,6 +388,16 @@ def _report(build) -> Query:
     return lambda spark, folder: build(tables.curated_orders(spark, folder))
 
 
+def _ordered(build) -> Query:
+    """The report with the position of each row in its order."""
+
+    def run(spark, folder):
+        report = build(tables.curated_orders(spark, folder))
+        return report.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+    return run
+
+
 def _published_report(name: str) -> Query:
     """The report as published: added up from the stored summary."""
 
@@ -333,15 +418,28 @@ _QUERIES: dict[str, Query] = {
     "b08_domestic_arrests": _report(reports.domestic_arrests),
     "b09_top_type_season": _report(reports.leading_type_per_season),
     "b10_geo_distribution": _report(reports.geographic_distribution),
+    "b01_by_weekday_ordered": _ordered(reports.by_weekday),
+    "b05_violent_trend_ordered": _ordered(reports.violent_trend),
+    "b06_location_type_ordered": _ordered(reports.by_location_and_type),
+    "b10_geo_distribution_ordered": _ordered(reports.geographic_distribution),
+    "b01_by_weekday_published": _published_report("crimes_by_day_of_week"),
+    "b02_top_type_year_published": _published_report("most_common_crime_by_year"),
+    "b03_by_location_published": _published_report("crimes_by_location"),
+    "b04_type_arrest_published": _published_report("crimes_vs_arrests"),
+    "b05_violent_trend_published": _published_report("violent_crimes_trend"),
     "b06_location_type_published": _published_report("dangerous_locations_by_crime_type"),
+    "b07_by_month_published": _published_report("crimes_by_month"),
+    "b08_domestic_arrests_published": _published_report("domestic_incidents_arrests"),
     "b09_top_type_season_published": _published_report("crimes_by_season"),
     "src_csv_raw": src_csv_raw,
+    "src_csv_column_orders": src_csv_column_orders,
     "src_curated": src_curated,
     "src_inline": src_inline,
     "src_stream_envelope": src_stream_envelope,
     "sink_curated_roundtrip": sink_curated_roundtrip,
     "sink_foreachbatch": sink_foreachbatch,
     "publish_json": publish_json,
+    "pattern_documents": pattern_documents,
     "etl_select_rename": _etl(etl.select_renamed),
     "etl_typed": _etl(*_TYPED),
     "etl_calendar": _etl(*_TYPED, etl.with_calendar),
@@ -359,15 +457,23 @@ _QUERIES: dict[str, Query] = {
     "t2_pattern_keyed": t2_pattern_keyed,
     "t2_pattern_shuffled": t2_pattern_shuffled,
     "t3_violence": t3_violence,
+    "t3_violence_untimed": t3_violence_untimed,
     "t4_domestic": t4_domestic,
     "t4_domestic_salted": t4_domestic_salted,
     "t5_temporal": t5_temporal,
     "t1_hotspots_stream": _streamed(
-        "t1", lambda rows: runner.Result(hotspot_counts(rows), hotspots_from_counts)
+        "t1",
+        lambda rows: runner.Result(
+            hotspot_counts(rows), lambda counts: hotspots_from_counts(counts, types="list")
+        ),
+    ),
+    "t1_hotspots_counts_stream": _streamed(
+        "t1_counts", lambda rows: runner.Result(hotspot_counts(rows), hotspots_from_counts)
     ),
     "t2_pattern_stream": t2_pattern_stream,
     "t3_violence_stream": _streamed("t3", violence_escalation),
     "t4_domestic_stream": _streamed("t4", domestic_correlation),
+    "t4_hot_cell_stream": t4_hot_cell_stream,
     "t5_temporal_stream": _streamed("t5", temporal_patterns),
     "late_data": late_data,
     "start_all": start_all,

@@ -152,14 +152,14 @@ GROUP BY ws, geo_grid HAVING count(*) >= 2"""
 
 
 def _t2(base: str, source: str, per_location: bool = True) -> str:
-    place = ", location_description" if per_location else ""
+    place = "location_description" if per_location else "CAST(NULL AS VARCHAR)"
     return f"""WITH {base}, hist AS (
-    SELECT primary_type{place}, hour(crime_date) AS h, dayofweek(crime_date) + 1 AS d,
+    SELECT primary_type, {place} AS pattern_location, hour(crime_date) AS h, dayofweek(crime_date) + 1 AS d,
            count(*) AS historical_frequency
     FROM ev GROUP BY ALL
 )
 SELECT s.crime_id, s.crime_date, s.primary_type, s.location_description,
-       hist.historical_frequency IS NOT NULL AS pattern_match,
+       hist.pattern_location, hist.historical_frequency IS NOT NULL AS pattern_match,
        CAST(CASE WHEN hist.historical_frequency IS NULL THEN 1 ELSE 0 END AS DOUBLE)
            AS anomaly_score,
        hist.historical_frequency, s.event_time
@@ -223,6 +223,15 @@ def _total(keys: str, where: str = "TRUE", name: str = "total_crimes") -> str:
 SELECT {keys}, count(*) AS {name} FROM cur WHERE {where} GROUP BY {keys}"""
 
 
+_VIOLENT_TREND = _total(
+    "year", "primary_type IN ('HOMICIDE', 'ASSAULT', 'BATTERY', 'ROBBERY')", "violent_crimes"
+)
+
+
+def _positions(sql: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS position FROM ({sql})"
+
+
 def _top(group: str) -> str:
     return f"""WITH {_CURATED}, tot AS (
     SELECT {group}, primary_type, count(*) AS total_crimes FROM cur GROUP BY ALL
@@ -260,8 +269,32 @@ msg AS (
 )"""
 
 
-def _count(name: str, sql: str) -> str:
-    return f"SELECT '{name}' AS collection, count(*) AS documents FROM ({sql})"
+# Columns that identify a result of each collection, as text, and three numbers of it.
+_COMPARED = {
+    "stream_crime_hotspots": (
+        ["window_start", "geo_grid"], ["crime_count", "avg_lat", "avg_lon"]
+    ),
+    "stream_violence_escalation": (
+        ["period_start", "geo_zone"], ["violent_incidents", "zone_lat", "arrest_effectiveness"]
+    ),
+    "stream_domestic_correlation": (
+        ["d_crime_id", "nd_crime_id"],
+        ["time_diff_minutes", "geographic_distance", "correlation_lat"],
+    ),
+    "stream_pattern_analysis": (
+        ["crime_id", "pattern_location"], ["historical_frequency", "anomaly_score", "crime_id"]
+    ),
+    "stream_temporal_patterns": (
+        ["analysis_start", "primary_type", "hour_of_day", "is_weekend"],
+        ["incident_count", "arrest_rate", "geographic_dispersion"],
+    ),
+}
+
+
+def _comparable(name: str, sql: str, identity: list[str], numbers: list[str]) -> str:
+    text = ", ".join(f"coalesce(CAST({x} AS VARCHAR), '')" for x in identity)
+    values = ", ".join(f"round(CAST({x} AS DOUBLE), 6) AS n{i}" for i, x in enumerate(numbers))
+    return f"SELECT '{name}' AS collection, concat_ws('|', {text}) AS identity, {values} FROM ({sql})"
 
 
 _STREAMS = {
@@ -277,24 +310,40 @@ ORACLE: dict[str, str] = {
     "b02_top_type_year": _top("year"),
     "b03_by_location": _total("location_description"),
     "b04_type_arrest": _total("primary_type, arrest"),
-    "b05_violent_trend": _total(
-        "year",
-        "primary_type IN ('HOMICIDE', 'ASSAULT', 'BATTERY', 'ROBBERY')",
-        "violent_crimes",
-    ),
+    "b05_violent_trend": _VIOLENT_TREND,
     "b06_location_type": _total("location_description, primary_type"),
     "b07_by_month": _total("month"),
     "b08_domestic_arrests": _total("arrest", "domestic"),
     "b09_top_type_season": _top("season"),
     "b10_geo_distribution": _total("year, latitude, longitude"),
+    "b01_by_weekday_ordered": _positions(
+        _total("day_of_week"), "total_crimes DESC, day_of_week"
+    ),
+    "b05_violent_trend_ordered": _positions(_VIOLENT_TREND, "year"),
+    "b06_location_type_ordered": _positions(
+        _total("location_description, primary_type"),
+        "total_crimes DESC, location_description NULLS FIRST, primary_type",
+    ),
+    "b10_geo_distribution_ordered": _positions(
+        _total("year, latitude, longitude"), "year, total_crimes DESC, latitude, longitude"
+    ),
+    "b01_by_weekday_published": _total("day_of_week"),
+    "b02_top_type_year_published": _top("year"),
+    "b03_by_location_published": _total("location_description"),
+    "b04_type_arrest_published": _total("primary_type, arrest"),
+    "b05_violent_trend_published": _VIOLENT_TREND,
     "b06_location_type_published": _total("location_description, primary_type"),
+    "b07_by_month_published": _total("month"),
+    "b08_domestic_arrests_published": _total("arrest", "domestic"),
     "b09_top_type_season_published": _top("season"),
     "src_csv_raw": f"WITH {_RAW} SELECT * FROM raw",
+    "src_csv_column_orders": f"WITH {_RAW} SELECT * FROM raw",
     "src_curated": f"WITH {_CURATED} SELECT * FROM cur",
-    "src_inline": f"""WITH {_EVENTS}, hist(primary_type, h, d, historical_frequency) AS (
-    VALUES ('THEFT', 10, 5, 1), ('BATTERY', 10, 5, 1)
+    "src_inline": f"""WITH {_EVENTS}, hist(primary_type, h, d, place, historical_frequency) AS (
+    VALUES ('THEFT', 10, 5, 'STREET', 1), ('BATTERY', 10, 5, 'RESIDENCE', 1)
 )
 SELECT s.crime_id, s.crime_date, s.primary_type, s.location_description,
+       hist.place AS pattern_location,
        hist.h IS NOT NULL AS pattern_match,
        CAST(CASE WHEN hist.h IS NULL THEN 1 ELSE 0 END AS DOUBLE) AS anomaly_score,
        CAST(hist.historical_frequency AS BIGINT) AS historical_frequency, s.event_time
@@ -304,8 +353,7 @@ FROM inc s LEFT JOIN hist ON s.primary_type = hist.primary_type
     "publish_json": f"WITH {_SENT}, {_MESSAGE} SELECT * FROM msg",
     "sink_curated_roundtrip": _ETL_ALL,
     "sink_foreachbatch": f"""WITH {_SENT}
-SELECT crime_id, crime_date, primary_type, location_description, arrest, domestic,
-       latitude, longitude, event_time, {_FLAGS}, 'session-1' AS _session_id FROM sent""",
+SELECT {_RECORD}, {_FLAGS}, 'session-1' AS _session_id FROM sent""",
     "etl_select_rename": f"WITH {_RAW} SELECT * FROM raw",
     "etl_typed": f"WITH {_RAW} SELECT * FROM typ",
     "etl_calendar": f"WITH {_RAW} SELECT {_WITH_CALENDAR} FROM typ",
@@ -332,6 +380,20 @@ FROM ev GROUP BY ALL""",
     "t2_pattern_keyed": _t2(_EVENTS, "inc", per_location=False),
     "t2_pattern_shuffled": _t2(_EVENTS, "inc"),
     "t3_violence": _t3(_EVENTS, "inc"),
+    "t3_violence_untimed": _t3(
+        _EVENTS + ", timed AS (SELECT * FROM inc WHERE crime_id % 10 <> 0)", "timed"
+    ),
+    "t4_hot_cell_stream": _t4(
+        _SENT
+        + """, crowded AS (SELECT * REPLACE (
+            CASE WHEN crime_id % 3 = 0 THEN CAST(41.5 AS DOUBLE) ELSE latitude END AS latitude,
+            CASE WHEN crime_id % 3 = 0 THEN CAST(-87.75 AS DOUBLE) ELSE longitude END AS longitude)
+            FROM sent)""",
+        "crowded",
+    ),
+    "pattern_documents": f"""SELECT crime_id, event_time, pattern_location, 1 AS documents
+FROM ({_t2(_EVENTS, "inc")})""",
+    "t1_hotspots_counts_stream": _t1(_SENT, "sent", counts=True, streamed=True),
     "t4_domestic": _t4(_EVENTS, "inc"),
     "t4_domestic_salted": _t4(_EVENTS, "inc"),
     "t5_temporal": _t5(_EVENTS, "inc"),
@@ -341,5 +403,7 @@ FROM ev GROUP BY ALL""",
     "t4_domestic_stream": _STREAMS["stream_domestic_correlation"],
     "t5_temporal_stream": _STREAMS["stream_temporal_patterns"],
     "late_data": _STREAMS["stream_violence_escalation"],
-    "start_all": "\nUNION ALL\n".join(_count(name, sql) for name, sql in _STREAMS.items()),
+    "start_all": "\nUNION ALL\n".join(
+        _comparable(name, _STREAMS[name], *columns) for name, columns in _COMPARED.items()
+    ),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from precinct.operators.records import to_messages
 from precinct.plans import batch, stream
+from precinct.plans.scratch import stored
 from precinct.session import build_session
 from precinct.sinks import documents, files as file_sinks, jdbc, messages
 from precinct.sources import files, streams
@@ -28,6 +29,8 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--jdbc-url")
     job.add_argument("--jdbc-driver")
     job.add_argument("--jdbc-user", default="")
+    job.add_argument("--jdbc-connections", type=int, help="tasks that write at a time")
+    job.add_argument("--incidents-table", default="incidents")
     job.add_argument("--show", action="store_true")
 
     job = jobs.add_parser("patterns", help="curated table to the historical patterns")
@@ -47,22 +50,41 @@ def _arguments() -> argparse.Namespace:
 
     job = jobs.add_parser("stream", help="messages to the five collections")
     job.add_argument("--patterns", required=True)
-    job.add_argument("--out", required=True)
+    job.add_argument("--out", required=True, help="folder for incidents and collections")
     job.add_argument("--checkpoints", required=True)
+    job.add_argument("--store", help="format of a document store's connector, instead of files")
+    job.add_argument(
+        "--store-option",
+        action="append",
+        default=[],
+        help="NAME=VALUE for the connector; {collection} stands for the collection's name",
+    )
     job.add_argument("--servers")
     job.add_argument("--topic")
     job.add_argument("--messages", help="folder that stands for the topic")
     job.add_argument("--session-id", default="default")
     job.add_argument("--console", action="store_true", help="also print the hotspots")
-    job.add_argument("--correlation-salts", type=int, default=1)
+    job.add_argument("--correlation-salts", type=int)
+    job.add_argument(
+        "--list-types",
+        action="store_true",
+        help="hotspots list the type of each incident, which must fit into one row",
+    )
     job.add_argument("--once", action="store_true", help="take what is available and end")
     return parser.parse_args()
 
 
 def _reports(spark, args) -> None:
     curated = files.curated(spark, args.curated)
+    targets = [args.show, args.out, args.jdbc_url]
+    if not any(targets):
+        raise SystemExit("reports: give --out, --jdbc-url or --show")
+    if args.jdbc_url and not args.jdbc_connections:
+        raise SystemExit("reports: --jdbc-url needs --jdbc-connections")
 
     def write(frame, table):
+        if sum(map(bool, targets)) > 1 and table != args.incidents_table:
+            frame = stored(frame, "report")
         if args.show:
             file_sinks.preview(frame)
         if args.out:
@@ -70,11 +92,16 @@ def _reports(spark, args) -> None:
         if args.jdbc_url:
             password = os.environ.get("JDBC_PASSWORD", "")
             options = jdbc.jdbc_options(
-                args.jdbc_url, table, args.jdbc_user, password, args.jdbc_driver
+                args.jdbc_url,
+                table,
+                args.jdbc_user,
+                password,
+                args.jdbc_driver,
+                args.jdbc_connections,
             )
             jdbc.write_jdbc(frame, options)
 
-    batch.publish_reports(curated, write)
+    batch.publish_reports(curated, write, args.incidents_table)
 
 
 def _publish(spark, args) -> None:
@@ -85,18 +112,33 @@ def _publish(spark, args) -> None:
         messages.publish_files(records, args.out)
 
 
+def _collection(name: str, args) -> documents.BatchWriter:
+    """Where the results of a collection go: files, or a document store."""
+    if not args.store:
+        return documents.file_collection(f"{args.out}/{name}", args.session_id)
+    options = dict(option.split("=", 1) for option in args.store_option)
+    named = {key: value.replace("{collection}", name) for key, value in options.items()}
+    identity = stream.COLLECTIONS[name]
+    return documents.store_collection(args.store, named, identity, args.session_id)
+
+
 def _stream(spark, args) -> None:
     if args.topic:
         source = streams.kafka_messages(spark, args.servers, args.topic)
     else:
         source = streams.file_messages(spark, args.messages)
     every = None if args.once else runner.DOCUMENT_TRIGGER
+    incidents = f"{args.out}/incidents"
+    parsing, schema = stream.store_incidents(source, incidents, args.checkpoints, every)
+    if args.once:
+        runner.drain([parsing])
     results = stream.transformations(
-        source, spark.read.parquet(args.patterns), args.correlation_salts
+        stream.stored_incidents(spark, incidents, schema),
+        batch.current_patterns(spark, args.patterns),
+        args.correlation_salts,
+        "list" if args.list_types else "counts",
     )
-    writers = {
-        name: documents.file_collection(f"{args.out}/{name}", args.session_id) for name in results
-    }
+    writers = {name: _collection(name, args) for name in results}
     if args.console:
         name = "stream_crime_hotspots"
         writers[name] = documents.to_all(writers[name], documents.console())
@@ -104,7 +146,7 @@ def _stream(spark, args) -> None:
     if args.once:
         runner.drain(queries.values())
     else:
-        runner.watch(spark, queries.values())
+        runner.watch(spark, [parsing, *queries.values()])
 
 
 def main() -> None:

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from precinct.functions import geo
 from precinct.schema import CORRELATION_MINUTES
 
+# State partitions that a busy (cell, slot) of a stream is spread over.
+STREAM_SALTS = 8
+
 _CARRIED = {
     "crime_id": "crime_id",
     "primary_type": "primary_type",
@@ -35,7 +38,7 @@ def domestic_correlation(
     minutes: int = CORRELATION_MINUTES,
     decimals: int = 2,
     slot_minutes: int | None = None,
-    salts: int = 1,
+    salts: int | None = None,
 ) -> DataFrame:
     """Pairs (domestic, other) with ``other <= domestic <= other + minutes``.
 
@@ -46,10 +49,13 @@ def domestic_correlation(
     are ever compared. The exact time bounds remain part of the join condition;
     on streams they bound the state.
 
-    ``salts`` splits each (cell, slot) of the other side further, for streams
-    with a cell too busy for one task; batches leave that to the skew handling
+    ``salts`` splits each (cell, slot) of the other side further. Streams do so
+    by default, as all rows of a cell and slot would share a state partition
+    there; size it by the busiest cell. Batches leave that to the skew handling
     of adaptive execution.
     """
+    if salts is None:
+        salts = STREAM_SALTS if incidents.isStreaming else 1
     slot = 60 * (slot_minutes or max(minutes // 3, 1))
     domestic = _side(incidents, F.col("domestic"), "d", event_time, decimals)
     others = _side(incidents, ~F.col("domestic"), "nd", event_time, decimals)

@@ -18,15 +18,16 @@ def hotspots(
     slide: int = 1,
     decimals: int = 2,
     min_count: int = 2,
-    types: str = "list",
+    types: str = "counts",
 ) -> DataFrame:
     """Cells with at least ``min_count`` located incidents in a window.
 
     Shuffle and state hold one counter per (window, cell, type), never a list
-    that grows with the cell. ``types="list"`` writes the counters out as the
-    sorted list of all types in the final projection; ``types="counts"`` keeps
-    them as a map from type to count, for cells too dense to list. The counters
-    also give the number of types exactly, without a sketch per group.
+    that grows with the cell. ``types="counts"`` gives them as a map from type to
+    count; ``types="list"`` writes them out as the sorted list of all types,
+    which has an element for each incident of the cell: it is for cells that one
+    row can list. The counters also give the number of types exactly, without a
+    sketch per group.
     """
     located = _located(incidents, event_time, decimals)
     cells = sliding_entries(located, event_time, length, slide, _CELL, _KIND, _sums())
@@ -45,7 +46,7 @@ def hotspot_counts(
     return sliding_totals(located, event_time, length, slide, [*_CELL, _KIND], _sums())
 
 
-def hotspots_from_counts(counts: DataFrame, min_count: int = 2, types: str = "list") -> DataFrame:
+def hotspots_from_counts(counts: DataFrame, min_count: int = 2, types: str = "counts") -> DataFrame:
     """Hotspots from all counters of their windows.
 
     A stream puts out the counters of a window together, in the micro-batch that
@@ -101,7 +102,9 @@ def _type_list() -> Column:
     named = F.filter("entries", lambda e: e["primary_type"].isNotNull())
     repeated = F.transform(
         F.array_sort(F.transform(named, lambda e: F.struct(e["primary_type"], e["n"]))),
-        lambda e: F.array_repeat(e["primary_type"], e["n"].cast("int")),
+        lambda e: F.transform(
+            F.sequence(F.lit(1).cast("bigint"), e["n"]), lambda _: e["primary_type"]
+        ),
     )
     return F.flatten(repeated)
 

@@ -5,36 +5,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup row here is a handful of scalars (under 100 bytes), so the largest
-# table that is broadcast takes some tens of megabytes per executor.
-MAX_BROADCAST_ROWS = 250_000
-
-
-def fits_broadcast(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts the lookup (a scan without columns when it is a stored table)."""
-    return lookup.count() <= max_rows
-
 
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     row_id: Sequence[str],
-    broadcast: bool | None = None,
-    salts: int = 16,
+    salts: int = 1,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Every fact with all its lookup rows; facts without one are kept.
 
-    A lookup whose checked size is small is broadcast and facts are not
-    shuffled. A larger one is copied ``salts`` times and joined by shuffle on the
-    keys plus a salt from ``row_id``, so that a key held by a large share of all
-    facts is spread over ``salts`` tasks.
+    Spark chooses the kind of join by the size of the lookup, unless ``strategy``
+    names one. In batches, adaptive execution splits a key that holds many
+    facts. (It can do so only for a side that is shuffled for the join, so the
+    lookup should not come out of a grouping by the keys, but be stored.) On
+    streams it does not: there ``salts`` spreads the facts of a key over so many
+    tasks, and the lookup is copied as often.
     """
-    if broadcast is None:
-        broadcast = fits_broadcast(lookup)
-    if broadcast:
-        return facts.join(F.broadcast(lookup), list(keys), "left")
-    salt = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
-    salted = facts.withColumn("salt", salt)
-    copies = lookup.withColumn("salt", F.explode(F.lit(list(range(salts)))))
-    return salted.join(copies, [*keys, "salt"], "left").drop("salt")
+    on = list(keys)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
+        facts = facts.withColumn("_salt", salt)
+        lookup = lookup.withColumn("_salt", F.explode(F.lit(list(range(salts)))))
+        on.append("_salt")
+    if strategy:
+        lookup = lookup.hint(strategy)
+    return facts.join(lookup, on, "left").drop("_salt")

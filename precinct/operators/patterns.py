@@ -34,12 +34,15 @@ def match_patterns(
     incidents: DataFrame,
     patterns: DataFrame,
     event_time: str = "event_time",
-    broadcast: bool | None = None,
+    salts: int = 1,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Every incident with the patterns of its type at its arrival hour and weekday.
 
-    ``patterns`` should be a stored table: its size is checked before it is
-    broadcast (see ``lookup_join``), and a stream reads it in every micro-batch.
+    ``pattern_location`` tells the patterns of an incident apart; it is null for
+    patterns of any location. ``salts`` and ``strategy`` are those of
+    ``lookup_join``. ``patterns`` should be a stored table: Spark then
+    knows its size, and a stream reads it in every micro-batch.
     """
     keyed = incidents.select(
         "crime_id",
@@ -50,16 +53,21 @@ def match_patterns(
         F.hour(event_time).alias("hour_pattern"),
         F.dayofweek(event_time).alias("dow_pattern"),
     )
-    lookup = patterns.select(*PATTERN_KEYS, "historical_frequency")
-    matched = lookup_join(
-        keyed, lookup, PATTERN_KEYS, row_id=("crime_id", "event_time"), broadcast=broadcast
+    place = F.lit(None).cast("string")
+    if "location_description" in patterns.columns:
+        place = F.col("location_description")
+    lookup = patterns.select(
+        *PATTERN_KEYS, place.alias("pattern_location"), "historical_frequency"
     )
+    row_id = ("crime_id", "event_time")
+    matched = lookup_join(keyed, lookup, PATTERN_KEYS, row_id, salts, strategy)
     found = F.col("historical_frequency").isNotNull()
     return matched.select(
         "crime_id",
         "crime_date",
         "primary_type",
         "location_description",
+        "pattern_location",
         found.alias("pattern_match"),
         F.when(found, 0.0).otherwise(1.0).alias("anomaly_score"),
         "historical_frequency",

@@ -22,11 +22,15 @@ def _stream_windows(event_time: str, length: int, slide: int) -> Column:
 
 
 def _panes(rows, event_time, length, slide, keys, sums) -> DataFrame:
-    """Sums per (``pane``, keys); a pane is numbered from the epoch."""
+    """Sums per (``pane``, keys); a pane is numbered from the epoch.
+
+    Rows without a time belong to no window, as on a stream.
+    """
     if length % slide:
         raise ValueError("the slide must divide the window length")
     number = F.floor(F.unix_timestamp(event_time) / (slide * 60)).alias("pane")
-    return rows.groupBy(number, *keys).agg(*_named(sums))
+    timed = rows.filter(F.col(event_time).isNotNull())
+    return timed.groupBy(number, *keys).agg(*_named(sums))
 
 
 def _named(sums: Mapping[str, Column]) -> list[Column]:

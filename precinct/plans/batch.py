@@ -9,8 +9,7 @@ from precinct.plans.scratch import stored
 from precinct.sinks.files import write_curated
 from precinct.sources import files
 
-# --- fixed value: table name of the published incidents ---
-INCIDENTS_TABLE = "crimes_processed"
+VERSION = "version-"
 
 
 def build_curated(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
@@ -31,15 +30,45 @@ def build_reports(curated: DataFrame) -> dict[str, DataFrame]:
     return built
 
 
-def publish_reports(curated: DataFrame, write: Callable[[DataFrame, str], None]) -> None:
+def publish_reports(
+    curated: DataFrame, write: Callable[[DataFrame, str], None], incidents_table: str = "incidents"
+) -> None:
     """Hand every report, and the incidents themselves, to ``write(frame, table)``."""
     for name, report in build_reports(curated).items():
         write(report, name)
-    write(curated, INCIDENTS_TABLE)
+    write(curated, incidents_table)
 
 
 def build_patterns(curated: DataFrame, path: str, per_location: bool = True) -> DataFrame:
-    """Store the historical patterns that the stream is matched against."""
+    """Store the historical patterns that the stream is matched against.
+
+    Each call writes a new version next to the older ones, which stay for the
+    jobs that read them; a stream goes over to the newest when it is restarted.
+    """
     found = patterns.historical_patterns(curated, "date", per_location)
-    found.write.mode("overwrite").parquet(path)
-    return curated.sparkSession.read.schema(found.schema).parquet(path)
+    number = max(versions(curated.sparkSession, path), default=0) + 1
+    found.write.parquet(f"{path}/{VERSION}{number:09d}")
+    return current_patterns(curated.sparkSession, path)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions below ``path`` that are complete, the oldest first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    paths = [entry.getPath() for entry in system.listStatus(folder)]
+    return sorted(
+        int(each.getName().removeprefix(VERSION))
+        for each in paths
+        if each.getName().startswith(VERSION) and system.exists(hadoop.Path(each, "_SUCCESS"))
+    )
+
+
+def current_patterns(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of the patterns."""
+    number = max(versions(spark, path), default=None)
+    if number is None:
+        raise ValueError(f"no patterns in {path}")
+    return spark.read.parquet(f"{path}/{VERSION}{number:09d}")

@@ -1,6 +1,8 @@
-"""The streaming job: five transformations over one message source."""
+"""The streaming job: messages are parsed once, five transformations read the result."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from precinct.operators.correlation import domestic_correlation
 from precinct.operators.escalation import violence_escalation
@@ -8,29 +10,55 @@ from precinct.operators.hotspots import hotspot_counts, hotspots_from_counts
 from precinct.operators.patterns import match_patterns
 from precinct.operators.records import incidents
 from precinct.operators.temporal import temporal_patterns
-from precinct.streaming.runner import Result
+from precinct.schema import WATERMARK_DELAY
+from precinct.streaming.runner import Result, start_files
 
 # --- fixed values: collection names, with the columns that identify a result ---
 COLLECTIONS = {
     "stream_crime_hotspots": ["window_start", "geo_grid"],
     "stream_violence_escalation": ["period_start", "geo_zone"],
     "stream_domestic_correlation": ["d_crime_id", "nd_crime_id"],
-    "stream_pattern_analysis": ["crime_id", "event_time"],
+    "stream_pattern_analysis": ["crime_id", "event_time", "pattern_location"],
     "stream_temporal_patterns": ["analysis_start", "primary_type", "hour_of_day", "is_weekend"],
 }
 
 
+def store_incidents(
+    messages: DataFrame, path: str, checkpoints: str, every: str | None
+) -> tuple[StreamingQuery, StructType]:
+    """Start the query that parses messages into files of incidents; also their schema."""
+    parsed = incidents(messages)
+    return start_files(parsed, "stream_incidents", path, checkpoints, every), parsed.schema
+
+
+def stored_incidents(
+    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None
+) -> DataFrame:
+    """The stored incidents as a stream, with the watermark on their arrival time."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path).withWatermark("event_time", WATERMARK_DELAY)
+
+
 def transformations(
-    messages: DataFrame, patterns: DataFrame, correlation_salts: int = 1
+    enriched: DataFrame,
+    patterns: DataFrame,
+    correlation_salts: int | None = None,
+    types: str = "counts",
 ) -> dict[str, DataFrame | Result]:
-    """Streaming results by collection name.
+    """Streaming results of a stream of incidents by collection name.
 
     ``correlation_salts`` splits the correlation state of a cell and time slot,
-    where one cell gets more incidents than one task can hold.
+    where one cell gets more incidents than one task can hold. ``types`` is the
+    form in which hotspots give their types (see ``hotspots``).
     """
-    enriched = incidents(messages)
+
+    def dense(counts: DataFrame) -> DataFrame:
+        return hotspots_from_counts(counts, types=types)
+
     return {
-        "stream_crime_hotspots": Result(hotspot_counts(enriched), hotspots_from_counts),
+        "stream_crime_hotspots": Result(hotspot_counts(enriched), dense),
         "stream_violence_escalation": violence_escalation(enriched),
         "stream_domestic_correlation": domestic_correlation(enriched, salts=correlation_salts),
         "stream_pattern_analysis": match_patterns(enriched, patterns),

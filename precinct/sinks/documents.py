@@ -39,6 +39,12 @@ def file_collection(path: str, session_id: str, fmt: str = "parquet") -> BatchWr
     return write
 
 
+def with_identity(frame: DataFrame, id_columns: list[str]) -> DataFrame:
+    """Adds ``_id``, a digest of the columns that identify a result."""
+    identity = F.to_json(F.struct(*id_columns), {"ignoreNullFields": "false"})
+    return frame.withColumn("_id", F.sha2(identity, 256))
+
+
 def store_collection(
     fmt: str, options: dict[str, str], id_columns: list[str], session_id: str
 ) -> BatchWriter:
@@ -49,8 +55,7 @@ def store_collection(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        identity = F.sha2(F.to_json(F.struct(*id_columns), {"ignoreNullFields": "false"}), 256)
-        documents = as_documents(batch, session_id).withColumn("_id", identity)
+        documents = with_identity(as_documents(batch, session_id), id_columns)
         documents.write.format(fmt).options(**options).mode("append").save()
 
     return write

@@ -9,7 +9,7 @@ def jdbc_options(
     user: str,
     password: str,
     driver: str,
-    connections: int = 8,
+    connections: int,
     batch_size: int = 10_000,
     **extra: str,
 ) -> dict[str, str]:
@@ -29,5 +29,10 @@ def jdbc_options(
 
 
 def write_jdbc(frame: DataFrame, options: dict[str, str]) -> None:
-    """Replace the table; errors are raised to the caller."""
-    frame.write.format("jdbc").options(**options).mode("overwrite").save()
+    """Replace the table; errors are raised to the caller.
+
+    Rows are dealt to the connections by a shuffle, so that what comes before
+    the write runs in as many tasks as it needs.
+    """
+    dealt = frame.repartition(int(options["numPartitions"]))
+    dealt.write.format("jdbc").options(**options).mode("overwrite").save()

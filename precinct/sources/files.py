@@ -6,13 +6,19 @@ from precinct.schema import CURATED
 
 
 def raw_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",") -> DataFrame:
-    """Raw records with a header line, all text.
+    """Raw records with a header line, all text; quoted fields may contain the delimiter.
 
-    Columns are found by header name, so files may carry more columns than are
-    used; only the header of one file is read to plan the scan. Quoted fields
-    may contain the delimiter.
+    Each path (a file, or a folder of files with one header) is planned from its
+    own header and columns are put together by name, so paths may differ in the
+    order of their columns. Headers are checked when files are read: a file
+    whose header differs from that of its path ends the job.
     """
-    return spark.read.options(header=True, sep=delimiter, escape='"').csv(path)
+    paths = [path] if isinstance(path, str) else path
+    reader = spark.read.options(header=True, sep=delimiter, escape='"', enforceSchema=False)
+    whole = reader.csv(paths[0])
+    for each in paths[1:]:
+        whole = whole.unionByName(reader.csv(each))
+    return whole
 
 
 def curated(spark: SparkSession, path: str) -> DataFrame:

@@ -5,23 +5,14 @@ from pyspark.sql import functions as F
 
 from precinct.schema import ENVELOPE
 
-# --- fixed values: client settings of the topic source ---
-KAFKA_OPTIONS = {
-    "startingOffsets": "earliest",
-    "failOnDataLoss": "false",
-    "includeHeaders": "true",
-    "kafka.request.timeout.ms": "120000",
-    "kafka.session.timeout.ms": "60000",
-    "kafka.max.poll.interval.ms": "300000",
-    "kafka.fetch.max.wait.ms": "10000",
-    "kafka.connections.max.idle.ms": "540000",
-    "kafka.metadata.max.age.ms": "30000",
-}
+# All messages from the first on; if some are gone before they were read, the query fails.
+KAFKA_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
 
 
 def kafka_options(servers: str, topic: str, **overrides: str) -> dict[str, str]:
     """Options of the topic source; use ``maxOffsetsPerTrigger`` and
-    ``minPartitions`` to size micro-batches and tasks at volume."""
+    ``minPartitions`` to size micro-batches and tasks at volume. Only a caller
+    who accepts lost messages sets ``failOnDataLoss="false"``."""
     return {**KAFKA_OPTIONS, "kafka.bootstrap.servers": servers, "subscribe": topic, **overrides}
 
 

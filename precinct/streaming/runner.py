@@ -53,6 +53,20 @@ def start(
     return _trigger(writer, every).start()
 
 
+def start_files(
+    rows: DataFrame, name: str, path: str, checkpoints: str, every: str | None = DOCUMENT_TRIGGER
+) -> StreamingQuery:
+    """Append new rows to a folder of Parquet files, each exactly once."""
+    writer = (
+        rows.writeStream.queryName(name)
+        .outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", f"{checkpoints}/{name}")
+    )
+    return _trigger(writer, every).start()
+
+
 def start_console(
     results: DataFrame, name: str, checkpoints: str, every: str | None = CONSOLE_TRIGGER
 ) -> StreamingQuery:
@@ -91,10 +105,18 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 def watch(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Wait until any query ends, then stop all; the error of a failed one is raised."""
+    """Wait until any query ends, then stop all; the error of a failed one is raised.
+
+    Only the given queries count, not others of the session that ended before.
+    """
     queries = list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            spark.streams.resetTerminated()
+            spark.streams.awaitAnyTermination(timeout=10)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         stop_all(queries)
 

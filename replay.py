@@ -1,11 +1,12 @@
-"""Replaying stored messages as a stream, in order of arrival."""
+"""Replaying stored messages as a stream, in order of arrival, for queries and tests."""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.plans.scratch import new_folder
+from precinct.plans.scratch import new_folder, stored
+from precinct.session import configure
 from precinct.sinks.documents import file_collection
 from precinct.sinks.messages import publish_files
 from precinct.sources.streams import file_messages
@@ -16,13 +17,17 @@ def write_slices(messages: DataFrame, path: str, slices: int = 4, files: int = 8
     """Publish messages as ``slices`` consecutive arrival ranges of ``files`` files each.
 
     Returns the bounds of the ranges. A stream that reads ``files`` files per
-    trigger gets one slice per micro-batch.
+    trigger gets one slice per micro-batch. Without messages the folder is empty.
     """
     moment = F.unix_micros("timestamp")
-    low, high = messages.agg(F.min(moment), F.max(moment)).first()
+    sent = stored(messages.repartitionByRange(slices * files, "timestamp"), "sent")
+    low, high = sent.agg(F.min(moment), F.max(moment)).first()
+    if low is None:
+        publish_files(sent, path)
+        return []
     bounds = [low + (high + 1 - low) * i // slices for i in range(slices + 1)]
     for begin, end in zip(bounds, bounds[1:]):
-        publish_slice(messages, path, begin, end, files)
+        publish_slice(sent, path, begin, end, files)
     return bounds
 
 
@@ -31,33 +36,44 @@ def publish_slice(messages: DataFrame, path: str, begin: int, end: int, files: i
     publish_files(messages.filter((moment >= begin) & (moment < end)).repartition(files), path)
 
 
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for streams, with a partition for each of the machine's slots.
+
+    A query keeps the number of partitions of its first batch, and each of them
+    is a state store.
+    """
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    return own
+
+
 def run_to_end(
     spark: SparkSession,
     source: str,
     build: Callable[[DataFrame], dict[str, DataFrame | Result]],
     files: int = 8,
 ) -> dict[str, DataFrame]:
-    """Run every result of ``build`` over the published messages until they are used up.
+    """Run every result of ``build`` over the published messages until they are used up."""
+    messages = file_messages(streaming_session(spark), source, files_per_trigger=files)
+    return collections_of(spark, build(messages))
+
+
+def collections_of(
+    spark: SparkSession, results: dict[str, DataFrame | Result]
+) -> dict[str, DataFrame]:
+    """Run all results at the same time, each with its own checkpoint, to the end.
 
-    All queries run at the same time, each with its own checkpoint; returns the
-    stored collections without the metadata columns.
+    Returns the stored collections without the metadata columns; one that got no
+    batch is empty.
     """
     base = new_folder(spark, "stream")
-    results = build(file_messages(spark, source, files_per_trigger=files))
     writers = {name: file_collection(f"{base}/{name}", "replay") for name in results}
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    # A query keeps the partition count of its first batch: do not open more
-    # state stores than the cluster has task slots to use.
-    slots = 2 * spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", min(int(previous), slots))
-    try:
-        queries = start_all(results, writers, f"{base}/checkpoints", every=None)
-        drain(queries.values())
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    return {
-        name: spark.read.schema(result.schema)
-        .parquet(f"{base}/{name}")
-        .select(result.schema.fieldNames())
-        for name, result in results.items()
-    }
+    drain(start_all(results, writers, f"{base}/checkpoints", every=None).values())
+    found = {}
+    for name, result in results.items():
+        spark.createDataFrame([], result.schema).write.mode("ignore").parquet(
+            f"{base}/{name}/batch_id=-1"
+        )
+        stored_rows = spark.read.schema(result.schema).parquet(f"{base}/{name}")
+        found[name] = stored_rows.select(result.schema.fieldNames())
+    return found

@@ -3,6 +3,8 @@
 from types import SimpleNamespace
 
 import pytest
+
+import __spark_entry__ as entry
 from precinct.operators import records, reports
 from precinct.operators.correlation import domestic_correlation
 from precinct.operators.escalation import violence_escalation
@@ -11,7 +13,7 @@ from precinct.operators.patterns import historical_patterns, match_patterns
 from precinct.operators.temporal import temporal_patterns
 from precinct.plans import batch
 from precinct.plans.scratch import scratch_root, stored
-from precinct.sinks.jdbc import jdbc_options
+from precinct.sinks.jdbc import jdbc_options, write_jdbc
 from precinct.sinks.files import write_curated
 from precinct.sources import files, tables
 from precinct.sources.streams import file_messages
@@ -66,16 +68,68 @@ def test_windows_multiply_panes_not_rows(incidents):
     assert _plan(hotspots(incidents)).count("Exchange") == 2
 
 
-def test_patterns_are_broadcast_only_when_small(incidents):
+def _executed(frame):
+    """The plan that ran, after adaptive execution."""
+    frame.toPandas()
+    return _plan(frame).split("== Initial Plan ==")[0]
+
+
+def test_spark_broadcasts_patterns_by_their_size(spark, incidents):
     patterns = stored(historical_patterns(incidents), "patterns")
-    assert "BroadcastHashJoin" in _plan(match_patterns(incidents, patterns))
+    assert "BroadcastHashJoin" in _executed(match_patterns(incidents, patterns))
     threshold = "spark.sql.autoBroadcastJoinThreshold"
-    before = incidents.sparkSession.conf.get(threshold)
-    incidents.sparkSession.conf.set(threshold, "-1")
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        assert "Broadcast" not in _executed(match_patterns(incidents, patterns))
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_the_query_for_the_shuffled_join_shuffles(spark):
+    plan = _executed(entry._QUERIES["t2_pattern_shuffled"](spark, SMALL))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_key_with_most_incidents_is_split(spark, make_incidents):
+    hot = [{"id": i, "type": "THEFT"} for i in range(6000)]
+    rows = hot + [{"id": 6000 + i, "type": f"T{i % 50}"} for i in range(600)]
+    incidents = make_incidents(rows).repartition(8)
+    patterns = stored(historical_patterns(make_incidents(rows[-700:])), "patterns")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        assert "BroadcastHashJoin" not in _plan(match_patterns(incidents, patterns, broadcast=False))
+        matched = match_patterns(incidents, patterns)
+        assert len(matched.toPandas()) == 6600
+        assert "skew=true" in _plan(matched)
     finally:
-        incidents.sparkSession.conf.set(threshold, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_deviations_come_from_panes(incidents):
+    plan = _plan(temporal_patterns(incidents))
+    assert "Expand" not in plan and plan.count("Exchange") == 2
+
+
+def test_relational_writes_shuffle_before_the_connections(incidents):
+    class Writer:
+        def __getattr__(self, name):
+            return lambda *args, **more: self
+
+    dealt = []
+    frame = SimpleNamespace(repartition=lambda n: dealt.append(n) or SimpleNamespace(write=Writer()))
+    write_jdbc(frame, jdbc_options("jdbc:x", "t", "u", "p", "d", connections=5))
+    assert dealt == [5]
 
 
 def test_each_message_is_parsed_once(spark, tmp_path, capsys):

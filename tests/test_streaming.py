@@ -7,11 +7,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import replay
 from precinct.operators import records
+from precinct.operators.correlation import domestic_correlation
 from precinct.operators.escalation import violence_escalation
 from precinct.operators.hotspots import hotspot_counts, hotspots, hotspots_from_counts
 from precinct.operators.patterns import match_patterns
-from precinct.plans import replay
+from precinct.plans import stream
 from precinct.sinks import documents
 from precinct.sources.streams import file_messages, kafka_options
 from precinct.streaming import runner
@@ -95,11 +97,11 @@ def test_stream_matches_patterns_too_many_to_broadcast(spark, messages, tmp_path
     replay.write_slices(messages, source, slices=2, files=1)
     patterns = entry._stored_patterns(spark, SMALL)
     found = []
-    for way in (True, False):
+    for way in (None, "merge"):
         rows = records.incidents(file_messages(spark, source, files_per_trigger=1))
         out = str(tmp_path / f"out-{way}")
         writer = documents.file_collection(out, "s")
-        matched = match_patterns(rows, patterns, broadcast=way)
+        matched = match_patterns(rows, patterns, salts=3 if way else 1, strategy=way)
         _run(matched, f"patterns-{way}", writer, tmp_path / "c")
         found.append(spark.read.parquet(out).select(matched.columns))
     assert found[0].count() == found[1].count() >= messages.count()
@@ -113,8 +115,10 @@ def test_streamed_hotspots_are_finished_per_batch_or_by_state(spark, messages, t
 
     def both(rows):
         enriched = records.incidents(rows)
-        finished = runner.Result(hotspot_counts(enriched), hotspots_from_counts)
-        return {"by_state": hotspots(enriched), "by_batch": finished}
+        finished = runner.Result(
+            hotspot_counts(enriched), lambda counts: hotspots_from_counts(counts, types="list")
+        )
+        return {"by_state": hotspots(enriched, types="list"), "by_batch": finished}
 
     found = replay.run_to_end(spark, source, both, files=1)
     by_state, by_batch = (frame.drop("analysis_timestamp") for frame in found.values())
@@ -167,7 +171,68 @@ def test_one_failure_stops_all(spark, messages, tmp_path):
     with pytest.raises(StreamingQueryException):
         runner.watch(spark, queries.values())
     assert not any(q.isActive for q in queries.values())
-    spark.streams.resetTerminated()
+
+
+def test_watch_waits_for_its_own_queries(spark, messages, tmp_path):
+    source = str(tmp_path / "in")
+    replay.write_slices(messages, source, slices=1, files=1)
+    rows = file_messages(spark, source)
+    ended = runner.start(rows, "ended", documents.console(1), str(tmp_path / "c"), every=None)
+    ended.awaitTermination()
+    seen = []
+
+    def stops_itself(batch, batch_id):
+        seen.append(batch_id)
+
+    query = runner.start(rows, "own", stops_itself, str(tmp_path / "c"), every=None)
+    runner.watch(spark, [query])
+    assert seen and not query.isActive
+
+
+def test_documents_of_a_store_have_their_own_identity(spark, messages, tmp_path):
+    """Through a file format that stands for the connector; a repeated batch has equal ids."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "store")
+    replay.write_slices(messages, source, slices=2, files=1)
+    patterns = entry._stored_patterns(spark, SMALL)
+    matched = match_patterns(records.incidents(file_messages(spark, source)), patterns)
+    identity = stream.COLLECTIONS["stream_pattern_analysis"]
+    once = documents.store_collection("json", {"path": out}, identity, "s")
+    _run(matched, "store", documents.to_all(once, once), tmp_path / "c")
+    stored_documents = spark.read.json(out)
+    assert stored_documents.count() == 2 * stored_documents.select("_id").distinct().count()
+    assert stored_documents.count() >= 2 * messages.count()
+
+
+def test_streams_without_messages_are_empty(spark, messages, tmp_path):
+    source = str(tmp_path / "in")
+    assert replay.write_slices(messages.limit(0), source) == []
+    found = replay.run_to_end(
+        spark, source, lambda rows: {"none": violence_escalation(records.incidents(rows))}
+    )
+    assert found["none"].count() == 0
+
+
+def test_a_busy_cell_is_spread_over_the_state(spark, tmp_path, make_incidents):
+    rows = [{"id": i, "at": i % 300, "domestic": i % 20 == 0} for i in range(600)]
+    source = str(tmp_path / "in")
+    make_incidents(rows).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    own = replay.streaming_session(spark)
+    own.conf.set("spark.sql.shuffle.partitions", "8")
+    counts = []
+    for salts in (1, None):
+        incidents = stream.stored_incidents(own, source, schema)
+        tasks = []
+
+        def sizes(batch, batch_id):
+            rows = batch.groupBy(F.spark_partition_id()).count().collect()
+            tasks.extend(r[1] for r in rows)
+
+        pairs = domestic_correlation(incidents, salts=salts)
+        _run(pairs, f"cell-{salts}", sizes, tmp_path / "c")
+        counts.append(tasks)
+    assert sum(counts[0]) == sum(counts[1]) > 0
+    assert max(counts[1]) < max(counts[0])
 
 
 def test_console_and_several_sinks(spark, messages, tmp_path, capfd):
@@ -185,3 +250,6 @@ def test_topic_options():
     options = kafka_options("host:1", "topic-a", maxOffsetsPerTrigger="1000")
     assert options["subscribe"] == "topic-a" and options["startingOffsets"] == "earliest"
     assert options["maxOffsetsPerTrigger"] == "1000"
+    # Messages that are gone end the query, unless the caller says otherwise.
+    assert options["failOnDataLoss"] == "true"
+    assert kafka_options("h", "t", failOnDataLoss="false")["failOnDataLoss"] == "false"

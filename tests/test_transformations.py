@@ -67,7 +67,7 @@ def test_hotspots_by_brute_force(make_incidents, hot):
             r["crime_variety"],
             r["avg_lat"],
         )
-        for r in hotspots(frame).collect()
+        for r in hotspots(frame, types="list").collect()
     }
     assert found == expected
     counts = {
@@ -170,6 +170,6 @@ def test_lookup_join_ways_agree(spark):
     facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)], "id long, k string")
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k3", 3)], "k string, v int")
     small = lookup_join(facts, lookup, ["k"], ["id"])
-    large = lookup_join(facts, lookup, ["k"], ["id"], broadcast=False)
+    large = lookup_join(facts, lookup, ["k"], ["id"], salts=5, strategy="merge")
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert small.count() == 40 * 2 + 20
