@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from precinct.operators.records import to_messages
 from precinct.plans import batch, stream
-from precinct.plans.scratch import stored
+from precinct.plans.scratch import release, stored
 from precinct.session import build_session
 from precinct.sinks import documents, files as file_sinks, jdbc, messages
 from precinct.sources import files, streams
@@ -152,6 +152,13 @@ def _stream(spark, args) -> None:
 def main() -> None:
     args = _arguments()
     spark = build_session(f"precinct-{args.job}")
+    try:
+        _run(spark, args)
+    finally:
+        release(spark)
+
+
+def _run(spark, args) -> None:
     if args.job == "etl":
         curated = batch.build_curated(spark, args.raw, args.curated)
         if args.show:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,7 +29,20 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that no other run uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the folders of this application; frames that read them are of no more use.
+
+    For the end of a job that has written its results elsewhere.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        folder = hadoop.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:

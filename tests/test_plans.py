@@ -1,5 +1,6 @@
 """The plans are the ones meant: what is read, shuffled, broadcast."""
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -11,8 +12,8 @@ from precinct.operators.escalation import violence_escalation
 from precinct.operators.hotspots import hotspots
 from precinct.operators.patterns import historical_patterns, match_patterns
 from precinct.operators.temporal import temporal_patterns
-from precinct.plans import batch
-from precinct.plans.scratch import scratch_root, stored
+from precinct.plans import batch, scratch
+from precinct.plans.scratch import release, scratch_root, stored
 from precinct.sinks.jdbc import jdbc_options, write_jdbc
 from precinct.sinks.files import write_curated
 from precinct.sources import files, tables
@@ -146,6 +147,19 @@ def test_shared_folder_comes_from_the_session(spark, incidents):
     assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
 
 
+def test_scratch_folders_are_deleted_on_release(spark, incidents):
+    kept = stored(incidents.select("crime_id"), "kept")
+    folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists()
+    release(SimpleNamespace(_jvm=spark._jvm, _jsc=spark._jsc, sparkContext=SimpleNamespace(applicationId="other")))
+    assert folder.exists()
+    made = list(scratch._made[spark.sparkContext.applicationId])
+    scratch._made[spark.sparkContext.applicationId] = [p for p in made if folder.name in p]
+    release(spark)
+    scratch._made[spark.sparkContext.applicationId] = [p for p in made if folder.name not in p]
+    assert not folder.exists()
+
+
 def test_only_local_sessions_do_without_shared_folder():
     def session(master):
         context = SimpleNamespace(master=master, applicationId=f"app-{master}")

@@ -60,7 +60,7 @@ def test_all_reports_are_published(spark):
     curated = tables.curated_orders(spark, SMALL)
     batch.publish_reports(curated, lambda frame, name: seen.update({name: frame.count()}))
     assert len(seen) == 11 and all(seen.values())
-    assert seen[batch.INCIDENTS_TABLE] == curated.count()
+    assert seen["incidents"] == curated.count()
 
 
 @pytest.mark.parametrize("name", reports.CATEGORY_REPORTS)
