@@ -51,11 +51,12 @@ def per_text(docs: DataFrame, words: int, name: str, schema: str, build) -> Data
     """Runs ``build(ids, hashes, sizes)`` over the shingle sets of ``name data``, in chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x or b"" for x in batch.column(1).to_pylist()]
+        slices = (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512))
+        for rows in slices:
+            texts = [x or b"" for x in rows.column(1).to_pylist()]
             for begin, part in chunks(texts):
                 hashes, sizes = shingle_sets(part, words)
-                yield build(batch.column(0).slice(begin, len(part)), hashes, sizes)
+                yield build(rows.column(0).slice(begin, len(part)), hashes, sizes)
 
     return importable(docs.select(name, "data")).mapInArrow(run, schema)
 
@@ -240,51 +241,75 @@ def leaf(percent: int, width: float):
     """Compares the two blocks of a group; gives the links of a spanning forest."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        ids = part["id"].to_numpy()
         cells = [np.asarray(c, dtype=np.int64) for c in part["cells"]]
-        sizes = np.fromiter(map(len, cells), np.int64, len(cells))
-        d, home = part["d"].to_numpy(), part["is_home"].to_numpy()
-        left = part["side"].to_numpy() <= 0
-        right = part["side"].to_numpy() >= 0
-        _, token = np.unique(np.concatenate(cells), return_inverse=True)
-        owner = np.repeat(np.arange(len(cells)), sizes)
-        order = np.argsort(token, kind="stable")
-        held = owner[order]
-        ends = np.cumsum(np.bincount(token))
-        begins = ends - np.diff(np.concatenate([[0], ends]))
-        starts = np.cumsum(sizes) - sizes
-        parent = np.arange(len(ids))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        # What is linked to the pivot is one component already.
-        ball = np.flatnonzero(d <= width)
-        parent[ball] = ball[0] if len(ball) else 0
-        out = []
-        for x in np.flatnonzero(left).tolist():
-            own = token[starts[x] : starts[x] + sizes[x]]
-            b, n = begins[own], ends[own] - begins[own]
-            spots = np.repeat(b - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            common = np.bincount(held[spots], minlength=len(ids))
-            near = 100 * common >= percent * (sizes + sizes[x] - common)
-            near &= right & (home | home[x]) & (np.abs(d - d[x]) <= width + 1e-9)
-            if d[x] <= width:
-                near &= d > width
-            near[x] = False
-            for y in np.flatnonzero(near).tolist():
-                one, two = root(x), root(y)
-                if one != two:
-                    parent[max(one, two)] = min(one, two)
-                    out.append((ids[x], ids[y]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        side = part["side"].to_numpy()
+        ids, d, home = (part[name].to_numpy() for name in ("id", "d", "is_home"))
+        return forest(ids, cells, d, home, side <= 0, side >= 0, percent, width)
 
     return run
 
 
+def small_region(percent: int, width: float):
+    """Joins a region in one task: its pivot first, then what lies outside, in windows."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        cells = [np.asarray(c, dtype=np.int64) for c in part["cells"]]
+        ids = part["id"].to_numpy()
+        pivot = int(np.flatnonzero(ids == part["region"].to_numpy())[0])
+        common = np.array([len(np.intersect1d(c, cells[pivot], True)) for c in cells])
+        sizes = np.array([len(c) for c in cells])
+        d = 1 - common / (sizes + sizes[pivot] - common)
+        ball = (d <= width) & (ids != ids[pivot])
+        links = pd.DataFrame({"a": ids[ball], "b": ids[pivot]}, dtype="int64")
+        every = np.ones(len(ids), bool)
+        return pd.concat([links, forest(ids, cells, d, every, every, every, percent, width)])
+
+    return run
+
+
+def forest(ids, cells, d, home, left, right, percent: int, width: float) -> pd.DataFrame:
+    """Links of a spanning forest, between ``left`` and ``right`` sets of which one is home.
+
+    Sets within ``width`` of the pivot are one component from the start.
+    """
+    sizes = np.fromiter(map(len, cells), np.int64, len(cells))
+    _, token = np.unique(np.concatenate(cells), return_inverse=True)
+    owner = np.repeat(np.arange(len(cells)), sizes)
+    order = np.argsort(token, kind="stable")
+    held = owner[order]
+    ends = np.cumsum(np.bincount(token))
+    begins = ends - np.diff(np.concatenate([[0], ends]))
+    starts = np.cumsum(sizes) - sizes
+    parent = np.arange(len(ids))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    # What is linked to the pivot is one component already.
+    ball = np.flatnonzero(d <= width)
+    parent[ball] = ball[0] if len(ball) else 0
+    out = []
+    for x in np.flatnonzero(left).tolist():
+        own = token[starts[x] : starts[x] + sizes[x]]
+        b, n = begins[own], ends[own] - begins[own]
+        spots = np.repeat(b - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        common = np.bincount(held[spots], minlength=len(ids))
+        near = 100 * common >= percent * (sizes + sizes[x] - common)
+        near &= right & (home | home[x]) & (np.abs(d - d[x]) <= width + 1e-9)
+        if d[x] <= width:
+            near &= d > width
+        near[x] = False
+        for y in np.flatnonzero(near).tolist():
+            one, two = root(x), root(y)
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                out.append((ids[x], ids[y]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def compared(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """Links ``a b`` inside regions, by rings around the pivot and blocks of bounded size."""
     width = 1 - percent / 100
@@ -341,11 +366,12 @@ def meetings(parts: DataFrame) -> DataFrame:
 def shared_parts(data: DataFrame, words: int, percent: int) -> DataFrame:
     """``signature node class need``, of sets that share as many parts as similar sets must.
 
-    Most parts are of one set only. The bitmap of the others leaves them out of the second
-    pass. Sets that lack shared parts go, with them the parts they alone shared with one
+    Most parts are of one text only. The bitmap of the others leaves them out of the second
+    pass, in which the parts of copies become one. Sets that lack shared parts go, with them the parts they alone shared with one
     other set, and so on for a few rounds.
     """
-    wanted = bitmap(meetings(signed(data, words, percent)))
+    several = signed(data, words, percent).groupBy("signature").count().filter("count > 1")
+    wanted = bitmap(several.select("signature"))
     parts = stored(signed(data, words, percent, wanted).distinct(), "parts")
     for _ in range(PRUNINGS):
         parts = parts.join(meetings(parts), "signature")
@@ -384,7 +410,7 @@ def neighbourhoods(parts: DataFrame, classes: DataFrame, percent: int) -> DataFr
     small, large = F.least("size", "pivot_size"), F.greatest("size", "pivot_size")
     # Two sets of too unequal size cannot be linked, and have no others around them.
     near = named.filter(F.col("crowd") | (100 * small >= percent * large))
-    return near.select("id", F.col("pivot_id").alias("pivot"), "crowd")
+    return near.select("id", F.col("pivot_id").alias("pivot"), "crowd", "size", "pivot_size")
 
 
 def near_components(
@@ -420,10 +446,21 @@ def near_components(
     regions = stored(neighbourhoods(parts, classes, percent), "regions")
     involved = regions.select("id").union(regions.select("pivot"))
     sets = stored(sets_of(around(data, "doc_id", involved), words), "sets")
-    far = stored(measured(regions, sets), "measured")
-    found = Found()
+    found, width = Found(), 1 - percent / 100
+    # A region that is no more than a block is joined in one task, all others step by step.
+    weights = regions.filter("crowd").groupBy(F.col("pivot").alias("region")).agg(
+        (F.sum("size") + F.first("pivot_size")).alias("weight")
+    )
+    fits = stored(weights.filter(F.col("weight") <= block).select("region"), "small-regions")
+    inside = regions.filter("crowd").select(F.col("pivot").alias("region"), "id")
+    inside = inside.join(fits, "region").union(fits.select("region", F.col("region").alias("id")))
+    grouped = importable(inside.join(sets, "id")).groupBy("region")
+    small = grouped.applyInPandas(small_region(percent, width), "a bigint, b bigint")
+    found.add(stored(small, "links"))
+    done = fits.select(F.col("region").alias("pivot"), F.lit(True).alias("crowd"))
+    steps = regions.join(done, ["pivot", "crowd"], "left_anti")
+    far = stored(measured(steps, sets), "measured")
     found.add(far.filter(linked(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
-    width = 1 - percent / 100
     crowded = far.filter("crowd").select(
         F.col("pivot").alias("region"), "id", distance().alias("d"), "n", F.lit(True).alias("is_home")
     )

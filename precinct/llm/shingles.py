@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BASE = 0x9E3779B97F4A7C15 | 1
 ALL = 0xFFFFFFFFFFFFFFFF
 
@@ -101,10 +101,14 @@ def digests(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Scheme:
-    """Signatures for sets of which the intersection is ``percent`` of the union or more."""
+    """Signatures for sets of which the intersection is ``percent`` of the union or more.
 
-    def __init__(self, percent: int) -> None:
-        self.percent = percent
+    A set gives its ``spare`` parts more than can differ, those with the smallest signatures:
+    as many of them are common to similar sets (or all that must be, if they are fewer).
+    """
+
+    def __init__(self, percent: int, spare: int = 12) -> None:
+        self.percent, self.spare = percent, spare
 
     def differing(self, size: np.ndarray) -> np.ndarray:
         """How many shingles of either set can be missing in the other."""
@@ -147,7 +151,14 @@ class Scheme:
         salt = part[first] + (np.uint64(size_class) << np.uint64(32))
         value = mixed(value ^ mixed(salt))
         row = rows[first]
-        need = np.bincount(row, minlength=len(some)) - self.differing(n)
+        order = np.lexsort((value, row))
+        value, row = value[order], row[order]
+        filled = np.bincount(row, minlength=len(some))
+        need = np.minimum(filled - self.differing(n), self.spare)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(filled) - filled, filled)
+        keep = place < (self.differing(n) + np.maximum(need, 0))[row]
+        keep |= (need <= 0)[row]
+        value, row = value[keep], row[keep]
         # Sets with too few filled parts may agree in empty parts only: they all meet.
         lacking = np.flatnonzero(need <= 0)
         meet = mixed(np.full(len(lacking), (size_class << 40) + 1, np.uint64))
