@@ -3,8 +3,9 @@
 Equal texts form a group, which stays in one shard. Groups of a noticeable size are items of
 their own; the many small ones are first bundled by a hash of their text, so that the number
 of items is bounded by a parameter and not by the data. Items sorted by size enter the bin
-with the tightest remaining capacity that still holds them, found in a balanced tree. The
-capacity is the smallest for which the wished number of bins is enough.
+with the tightest remaining capacity that still holds them, found in a balanced tree. A group
+above an equal share has a bin of its own; the capacity of the others is the smallest for
+which the bins that are left are enough.
 
 Null and empty texts are groups too (of size 1 a row), repeated rows are rows of a group, and
 an empty table gives an empty result.
@@ -84,6 +85,21 @@ def pack(sizes: list[int], capacity: int, most_bins: int | None = None) -> list[
 
 
 def pack_into(sizes: list[int], bins: int) -> list[int]:
+    """The bin of each item, none above its share more than packing needs.
+
+    Sizes have to be decreasing. An item above an equal share of what is left gets a bin of
+    its own, which makes the share of the others smaller; these are packed into the bins that
+    are left, at the smallest capacity found for which they suffice.
+    """
+    alone, left = 0, sum(sizes)
+    while alone < len(sizes) and sizes[alone] * (bins - alone) > left:
+        left -= sizes[alone]
+        alone += 1
+    rest = pack_evenly(sizes[alone:], bins - alone)
+    return [*range(alone), *(alone + place for place in rest)]
+
+
+def pack_evenly(sizes: list[int], bins: int) -> list[int]:
     """The bin of each item for the smallest capacity at which ``bins`` bins suffice."""
     if not sizes:
         return []
@@ -123,8 +139,8 @@ def shard_documents(
 ) -> DataFrame:
     """``doc_id size text_crc32 shard slot`` for every document.
 
-    Sizes of shards are near equal: a group above a shard's share makes its shard larger,
-    else they differ by about a bundle. With a ``capacity`` the number of shards is what
+    Sizes of shards are near equal: a group above a shard's share has a shard of its own, the
+    others differ by about a bundle. With a ``capacity`` the number of shards is what
     packing needs at that capacity instead, and a larger group has a shard of its own. At
     most ``2 * shards * items_per_shard`` items come to the driver, however many documents
     there are. Slots count from 0 in each shard.

@@ -44,6 +44,32 @@ def test_smallest_capacity():
     assert pack_into([], 3) == [] and pack_into([4], 3) == [0]
 
 
+def loads_of(sizes, bins):
+    load = [0] * bins
+    for size, place in zip(sizes, pack_into(sizes, bins)):
+        load[place] += size
+    return load
+
+
+def test_items_above_the_share_leave_the_other_bins_even():
+    load = loads_of([1000] + [1] * 2000, 16)
+    assert load[0] == 1000 and max(load[1:]) == 134 and min(load[1:]) >= 120
+    load = loads_of([5000, 900, 300] + [1] * 1000, 12)  # 300 is above the share of what is left
+    assert load[:3] == [5000, 900, 300] and max(load[3:]) == 112 and min(load[3:]) >= 104
+    assert sorted(loads_of([9, 1], 4)) == [0, 0, 1, 9]
+
+
+def test_a_group_of_a_third_of_the_bytes(make_docs):
+    texts = ["the same text " * 8] * 200 + [f"{i:05d}" + "y" * 40 for i in range(1_000)]
+    rows = shard_documents(make_docs(texts), shards=16).collect()
+    check(rows, 16, dict(enumerate(texts)))
+    load = defaultdict(int)
+    for row in rows:
+        load[row["shard"]] += row["size"]
+    rest = sorted(load.values())[:-1]
+    assert len(load) == 16 and max(rest) <= sum(rest) / 15 + 46 and min(rest) >= 0.9 * max(rest)
+
+
 def check(rows, shards, texts):
     by_shard = defaultdict(list)
     of_text = {}
