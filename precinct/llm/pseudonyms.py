@@ -9,11 +9,16 @@ key can turn them back.
 A value is taken as a number below the size of its format. The network permutes the numbers
 below the next power of four; results outside the format go through it again until they lie
 inside. Values that fail validation are not personal data and stay as they are.
+
+Digits or words behind a value can look like a part of it. What fails validation is therefore
+tried again without its last groups, and the search goes on one place behind its begin. So that
+pseudonyms can be turned back, one with which such a failed try would pass is permuted on.
 """
 
 import datetime
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -87,6 +92,19 @@ class Kind:
 
     name: str
     pattern: str
+    # What stands between groups, if there may be fewer groups than the pattern finds.
+    between: re.Pattern | None = None
+
+    def tries(self, found: re.Match) -> Iterator[re.Match]:
+        """What was found, then what is left of it without its last groups, longest first."""
+        yield found
+        if self.between is None:
+            return
+        begin = found.start()
+        for cut in reversed([m.start() for m in self.between.finditer(found[0])]):
+            shorter = found.re.fullmatch(found.string, begin, begin + cut)
+            if shorter:
+                yield shorter
 
     def swap(self, found: re.Match, cipher: Feistel, back: bool) -> str | None:
         """The pseudonym, or None if the value is not valid."""
@@ -98,6 +116,7 @@ class Card(Kind):
 
     name = "card"
     pattern = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
+    between = re.compile("[ -]")
 
     def swap(self, found, cipher, back):
         digits = digits_of(found[0])
@@ -127,6 +146,7 @@ class WorldPhone(Kind):
 
     name = "world_phone"
     pattern = r"(?<![\w.+])\+(?!1\D)(\d{1,3})((?:[ .-]?\(?\d+\)?){2,5})(?!\w)"
+    between = re.compile(r"[ .-]|(?<![ .-])\(")
 
     def swap(self, found, cipher, back):
         body = digits_of(found[2])
@@ -174,6 +194,7 @@ class AccountNumber(Kind):
 
     name = "iban"
     pattern = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
+    between = re.compile(" ")
 
     @staticmethod
     def check(country: str, body: str) -> int:
@@ -304,23 +325,89 @@ def replace(text: str, cipher: Feistel, back: bool = False) -> tuple[str, dict[s
     """The text with pseudonyms, and the number of values of each kind."""
     if not HINT.search(text):
         return text, {}
-    found = []
-    for order, (kind, pattern) in enumerate(patterns()):
-        if kind.name == "email" and "@" not in text:
-            continue
-        for match in pattern.finditer(text):
-            fresh = kind.swap(match, cipher, back)
-            if fresh is not None:
-                found.append((match.start(), order, match.end(), kind.name, fresh))
+    values, failed = first_valid(text, cipher, back)
+    if failed:
+        values = still_found(text, values, failed, cipher, back)
     out, at, counts = [], 0, {}
-    for begin, _, end, name, fresh in sorted(found):
-        if begin >= at:
-            out += [text[at:begin], fresh]
-            at = end
-            counts[name] = counts.get(name, 0) + 1
+    for begin, order, end, fresh in values:
+        out += [text[at:begin], fresh]
+        at = end
+        name = KINDS[order].name
+        counts[name] = counts.get(name, 0) + 1
     return "".join([*out, text[at:]]), counts
 
 
+def first_valid(
+    text: str, cipher: Feistel, back: bool
+) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, int, int]]]:
+    """Values from left to right, and the tries that had to fail for them to be found."""
+
+    def search(order: int, at: int) -> tuple[tuple | None, list[tuple[int, int, int]]]:
+        (kind, pattern), tried = patterns()[order], []
+        match = pattern.search(text, at)
+        while match:
+            for part in kind.tries(match):
+                fresh = kind.swap(part, cipher, back)
+                if fresh is not None:
+                    return (part.start(), order, part.end(), fresh), tried
+                tried.append((part.start(), part.end(), order))
+            match = pattern.search(text, match.start() + 1)
+        return None, tried
+
+    ahead = {}
+    for order, kind in enumerate(KINDS):
+        if kind.name != "email" or "@" in text:
+            ahead[order] = search(order, 0)
+    values, failed, at = [], [], 0
+    while any(value for value, _ in ahead.values()):
+        first = min(value for value, _ in ahead.values() if value)
+        begin, order, end, _ = first
+        values.append(first)
+        for number, (value, tried) in list(ahead.items()):
+            # Failures further on did not decide this; behind its end they may decide the next.
+            failed += [t for t in tried if at <= t[0] and (t[0], number) <= (begin, order)]
+            if value and value[0] < end:
+                ahead[number] = search(number, end)
+        at = end
+    return values, failed
+
+
+def still_found(
+    text: str,
+    values: list[tuple[int, int, int, str]],
+    failed: list[tuple[int, int, int]],
+    cipher: Feistel,
+    back: bool,
+) -> list[tuple[int, int, int, str]]:
+    """The values, permuted on until no try passes that failed in ``text``.
+
+    Values are taken from the left, and from the right on the way back, so that each meets the
+    same neighbours both times.
+    """
+    now, failed = list(text), sorted(failed)
+    longest = max(end - begin for begin, end, _ in failed)
+    fixed = []
+    for begin, order, end, fresh in reversed(values) if back else values:
+        near = failed[bisect_left(failed, (begin - longest,)) : bisect_left(failed, (end,))]
+        near = [f for f in near if f[1] > begin]
+        # Only addresses can change their length; they stay what they are for others.
+        while len(fresh) == end - begin:
+            now[begin:end] = fresh
+            if not any(passes("".join(now[b:e]), kind, cipher) for b, e, kind in near):
+                break
+            kind, pattern = patterns()[order]
+            fresh = kind.swap(pattern.fullmatch(fresh), cipher, back)
+        fixed.append((begin, order, end, fresh))
+    return fixed[::-1] if back else fixed
+
+
+def passes(value: str, order: int, cipher: Feistel) -> bool:
+    """Whether this is a valid value of a kind."""
+    kind, pattern = patterns()[order]
+    match = pattern.fullmatch(value)
+    return match is not None and kind.swap(match, cipher, False) is not None
+
+
 def pseudonymise(
     docs: DataFrame, key: bytes, text: str = "text", back: bool = False
 ) -> DataFrame:

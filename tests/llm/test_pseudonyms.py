@@ -1,4 +1,5 @@
 import datetime
+import random
 import re
 
 import pytest
@@ -78,6 +79,48 @@ def test_equal_values_stay_linked_however_written():
     assert lower == upper.lower()
 
 
+FOLLOWED = {
+    "4111 1111 1111 1111": ("card", ["12/25", "123", "1 2", "06/27 123"]),
+    "4111-1111-1111-1111": ("card", ["12/25", "123"]),
+    "ES91 2100 0418 4502 0005 1332": ("iban", ["BIC", "NOW", "PLEASE PAY 2024", "A"]),
+    "ES9121000418450200051332": ("iban", ["NOW", "BIC CAIXESBB", "12"]),
+    "+44 20 7946 0958": ("world_phone", ["2024-05-06", "2024.05.06", "12345678"]),
+}
+
+
+@pytest.mark.parametrize("value", FOLLOWED)
+def test_values_followed_by_digits_and_words(value):
+    kind, rests = FOLLOWED[value]
+    for rest in rests:
+        text = f"so: {value} {rest} then"
+        fresh, counts = replace(text, CIPHER)
+        assert counts.get(kind) == 1 and value not in fresh, text
+        assert len(fresh) == len(text) and fresh.startswith("so: ")
+        assert replace(fresh, CIPHER, back=True)[0] == text
+
+
+def test_values_behind_digits():
+    text = "room 12 4111 1111 1111 1111 and 2024-02-30 4111 1111 1111 1111"
+    fresh, counts = replace(text, CIPHER)
+    assert counts == {"card": 2} and "4111 1111" not in fresh
+    assert replace(fresh, CIPHER, back=True)[0] == text
+
+
+def test_values_among_digits_come_back():
+    rng = random.Random(3)
+    for _ in range(2_000):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            body = f"{rng.randrange(10**14, 10**15)}"
+            digits = body + str(luhn(body))
+            parts.append(" ".join(digits[i : i + 4] for i in range(0, 16, 4)))
+            parts += [str(rng.randrange(10 ** rng.randint(1, 3))) for _ in range(rng.randint(0, 2))]
+        text = " ".join(parts)
+        fresh, counts = replace(text, CIPHER)
+        assert counts["card"] >= 1
+        assert replace(fresh, CIPHER, back=True)[0] == text
+
+
 def test_days_stay_days():
     for day in range(0, 70_000, 977):
         date = datetime.date(1900, 1, 1) + datetime.timedelta(day)
