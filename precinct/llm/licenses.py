@@ -1,16 +1,19 @@
 """Licence scans: a trained classifier of paragraphs, confirmed by templates.
 
-Paragraphs are lines. A multinomial logistic regression over words and word pairs, sparse by
+Paragraphs are lines, and runs of lines between blank ones, in windows of words, as notices
+are often wrapped. A multinomial logistic regression over words and word pairs, sparse by
 its penalty, is trained on licence notices and on paragraphs that are none. Its scores are
 calibrated on examples it has not seen, and a paragraph belongs to no family unless its
 probability passes a bound under which nearly all others stay. A prediction is confirmed if
 the paragraph has enough of the words and word pairs of one of the family's notices.
 
-Scoring is joins and sums: terms of paragraphs meet the weights, a table of fixed size.
+Scoring is joins and sums: terms of paragraphs meet the weights, a table of fixed size. Left
+out before are only paragraphs whose terms cannot add up to what the bound needs.
 """
 
 import json
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -121,7 +124,7 @@ OTHERS = (
     "He studied at MIT and wrote on modified forms of distribution.",
 )
 
-# A paragraph without any of these cannot be a notice; every notice has one.
+# Words of notices. Lines with one are the hard negatives, of which the model learns more.
 HINTS = (
     r"(?i)licen[cs]|copyright|rights reserved|public domain|spdx|permission|permitted"
     r"|redistribut|warrant|creative commons|cc0|prior written|©"
@@ -131,6 +134,13 @@ HINTS = (
 SAMPLE = 2_000
 # Share of a notice's terms that a paragraph must have.
 CONFIRMED = 0.6
+# Lines of the corpus that have more of a notice may be one, and are not learned as unknown.
+DOUBTFUL = 0.3
+# Words of the longest notice; windows of twice as many begin at each multiple.
+LONGEST = max(len(re.findall("[A-Za-z0-9]+", n)) for own in NOTICES.values() for n in own)
+# Lines that are empty but for marks of a comment end a run.
+BLANK = r"\n(?:[\s/*#;%!-]*\n)+"
+MARKS = r"(?:^|\n)[\s/*#;%!-]*(?:(?:rem|REM|dnl)\s)?"
 
 
 @dataclass(frozen=True)
@@ -142,11 +152,14 @@ class Model:
     bound: float
 
 
+def words_of(line: Column) -> Column:
+    return F.regexp_extract_all(F.lower(line), F.lit("([a-z0-9]+)"))
+
+
 def terms(line: Column) -> Column:
     """Distinct words and pairs of neighbouring words of a paragraph, in lower case."""
-    words = F.regexp_extract_all(F.lower(line), F.lit("([a-z0-9]+)"))
     return F.transform(
-        F.array(words),
+        F.array(words_of(line)),
         lambda w: F.array_distinct(
             F.concat(
                 w,
@@ -187,19 +200,47 @@ def lines_of(docs: DataFrame, keep) -> DataFrame:
     return docs.select("doc_id", F.explode(chosen).alias("line"))
 
 
+def notice_table(spark: SparkSession) -> DataFrame:
+    """``notice family wanted length``: a fixed table."""
+    named = [
+        {"family": f, "notice": n, "length": len(re.findall("[A-Za-z0-9]+", n))}
+        for f, own in NOTICES.items()
+        for n in own
+    ]
+    rows = literal(spark, named, "family: string, notice: string, length: int")
+    return rows.withColumn("wanted", terms(F.col("notice")))
+
+
+def shares(paragraphs: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """``keys notice part`` where rows with ``terms`` have at least this part of a notice."""
+    wanted = notice_table(paragraphs.sparkSession).select(
+        "notice", F.size("wanted").alias("size"), F.explode("wanted").alias("term")
+    )
+    spread = paragraphs.select(*keys, F.explode("terms").alias("term"))
+    met = spread.join(F.broadcast(wanted), "term").groupBy(*keys, "notice")
+    part = met.agg((F.count("*") / F.first("size")).alias("part"))
+    return part.filter(F.col("part") >= least)
+
+
 def fit(docs: DataFrame) -> Model:
-    """Learns families from the notices, and unknown from about ``SAMPLE`` lines of ``docs``.
+    """Learns families from the notices, and unknown from up to ``SAMPLE`` lines of ``docs``.
 
-    The lines come from documents chosen by a hash of their id; lines with words of a notice
-    are left out, as they may be one. What reaches the driver is bounded by ``SAMPLE``.
+    The lines come from documents chosen by a hash of their id: all lines with a word of
+    ``HINTS`` and a quarter of the others. Lines that have much of a notice are left out, as
+    they may be one. What reaches the driver is bounded by ``SAMPLE``.
     """
     spark = docs.sparkSession
     count = max(1, docs.count())
     draw = F.pmod(F.xxhash64(F.lit("licence"), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    some = docs.filter(draw < min(1.0, SAMPLE / 4 / count))
-    plain = lines_of(some, lambda x: (F.octet_length(x) > 0) & ~x.rlike(HINTS)).limit(SAMPLE)
+    some = docs.filter(draw < min(1.0, SAMPLE / count))
+    rare = lambda x: x.rlike(HINTS) | (F.pmod(F.xxhash64(x), F.lit(4)) == 0)
+    drawn = lines_of(some, lambda x: (F.octet_length(x) > 0) & rare(x)).distinct()
+    drawn = drawn.select("line", terms(F.col("line")).alias("terms"))
+    doubtful = shares(drawn, ["line"], DOUBTFUL).select("line").distinct()
+    lines = drawn.select("line").distinct().join(doubtful, "line", "left_anti")
+    plain = lines.orderBy(~F.col("line").rlike(HINTS), F.xxhash64("line")).limit(SAMPLE)
     unknown = plain.select(
-        F.lit(UNKNOWN).alias("family"), "line", (F.abs(F.xxhash64("line")) % 4 == 0).cast("int").alias("part")
+        F.lit(UNKNOWN).alias("family"), "line", (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 0).cast("int").alias("part")
     )
     known = stored(examples(spark).unionByName(unknown).withColumn("terms", terms(F.col("line"))), "examples")
     families = (*sorted(NOTICES), UNKNOWN)
@@ -268,20 +309,38 @@ def margins(paragraphs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     return met.groupBy(*keys).agg(*sums).select(*keys, F.array(*names).alias("margins"))
 
 
-def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id line family probability shared confirmed`` for paragraphs of a known family.
+def needed(model: Model) -> str:
+    """A pattern found in every lower-case paragraph that can pass the bound.
 
-    ``shared`` is the largest part of a notice of the family that the paragraph has. Equal
-    lines of a document are one paragraph, and rows that repeat an id are one document. Null
-    and empty texts have no paragraphs, as has an empty table. Columns other than the id and
-    the text are not used.
+    For each family, the terms that add least can be left out as long as all of them together
+    do not reach what the bound needs; a paragraph that passes has one of the others.
     """
-    spark = docs.sparkSession
-    named = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    hinted = lines_of(named, lambda line: line.rlike(HINTS)).distinct()
-    keyed = hinted.withColumn("paragraph", F.xxhash64("line"))
-    paragraphs = stored(keyed.withColumn("terms", terms(F.col("line"))), "paragraphs")
-    keys = ["doc_id", "paragraph"]
+    last = len(model.families) - 1
+    strong = set()
+    for f in range(last):
+        room = model.temperature * math.log(model.bound / (1 - model.bound))
+        room -= model.offsets[f] - model.offsets[last] + 1e-6
+        if room <= 0:
+            return ""
+        for gain, term in sorted((w[f] - w[last], t) for t, w in model.weights if w[f] > w[last]):
+            room -= gain
+            if room <= 0:
+                strong.add(term)
+    return r"(?<![a-z0-9])(?:" + branches(strong) + r")(?![a-z0-9])" if strong else r"(?!)"
+
+
+def branches(words: set[str]) -> str:
+    """Alternatives by first character, so that few are tried at each place."""
+    out = []
+    for c in sorted({w[:1] for w in words}):
+        rest = {w[1:] for w in words if w[:1] == c}
+        mark = "[^a-z0-9]+" if c == " " else c
+        out.append(f"{mark}(?:{branches(rest)})" if c and rest != {""} else mark)
+    return "|".join(sorted(out, key=lambda x: x == ""))
+
+
+def judged(paragraphs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
+    """``keys family probability`` of rows with ``terms`` that pass the bound."""
     scored = margins(paragraphs, model, keys)
     top = F.array_max("margins")
     parts = F.transform("margins", lambda m: F.exp((m - top) / F.lit(model.temperature)))
@@ -289,26 +348,112 @@ def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
     best = F.array_max(F.slice(parts, 1, len(model.families) - 1))
     place = F.array_position(F.slice(parts, 1, len(model.families) - 1), best).cast("int")
     names = F.array(*(F.lit(f) for f in model.families))
-    predicted = scored.select(
+    return scored.select(
         *keys, F.get(names, place - 1).alias("family"), (best / total).alias("probability")
     ).filter(F.col("probability") >= model.bound)
-    notices = literal(
-        spark,
-        [{"family": f, "notice": n} for f, own in NOTICES.items() for n in own],
-        "family: string, notice: string",
-    ).withColumn("wanted", terms(F.col("notice")))
+
+
+def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id line family probability shared confirmed`` for paragraphs of a known family.
+
+    ``shared`` is the largest part of a notice of the family that the paragraph has. Equal
+    lines of a document are one paragraph, and rows that repeat an id are one document. A run
+    of lines counts once for a family, if none of its lines is a confirmed notice of it by
+    itself; its ``line`` has the words of the window that is most like a notice. Null
+    and empty texts have no paragraphs, as has an empty table. Columns other than the id and
+    the text are not used.
+    """
+    spark = docs.sparkSession
+    pattern = needed(model)
+    passes = lambda x: F.lower(x).rlike(pattern)
+    body = F.coalesce(docs[text], F.lit(""))
+    runs = docs.select(docs[doc_id].alias("doc_id"), F.explode(F.split(body, BLANK)).alias("body"))
+    runs = stored(
+        runs.filter((F.octet_length("body") > 0) & passes(F.col("body")))
+        .distinct()
+        .withColumn("run", F.xxhash64("body")),
+        "runs",
+    )
+    lines = runs.select(
+        "doc_id", "run", F.explode(F.filter(F.split("body", "\n", -1), passes)).alias("line")
+    )
+    keyed = lines.groupBy("doc_id", "line").agg(F.collect_set("run").alias("runs"))
+    keyed = keyed.withColumn("paragraph", F.xxhash64("line"))
+    paragraphs = stored(keyed.withColumn("terms", terms(F.col("line"))), "paragraphs")
+    keys = ["doc_id", "paragraph"]
+    predicted = judged(paragraphs, model, keys)
+    notices = notice_table(spark)
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("paragraph") == F.col("of_paragraph"))
+    named = predicted.toDF("of_doc", "of_paragraph", "family", "probability")
     # Notices are a fixed table.
-    compared = paragraphs.join(predicted, keys).join(F.broadcast(notices), "family")
+    compared = paragraphs.join(named, same).join(F.broadcast(notices), "family")
     part = F.size(F.array_intersect("wanted", "terms")) / F.size("wanted")
-    shared = compared.groupBy(*keys).agg(
-        F.first("line").alias("line"),
-        F.first("family").alias("family"),
-        F.first("probability").alias("probability"),
-        F.max(part).alias("shared"),
+    single = stored(
+        compared.groupBy(*keys).agg(
+            F.first("line").alias("line"),
+            F.first("family").alias("family"),
+            F.first("probability").alias("probability"),
+            F.max(part).alias("shared"),
+            F.first("runs").alias("runs"),
+        ),
+        "lines",
+    )
+    sure = single.filter(F.col("shared") >= CONFIRMED).select(
+        "doc_id", F.explode("runs").alias("run"), "family"
+    )
+    columns = ["doc_id", "line", "family", "probability", "shared"]
+    found = wrapped(runs, model, passes).alias("r").join(
+        sure.distinct().alias("s"),
+        F.expr("r.doc_id <=> s.doc_id AND r.run = s.run AND r.family = s.family"),
+        "left_anti",
+    )
+    found = found.select(*columns).dropDuplicates(["doc_id", "line", "family"])
+    every = single.select(*columns).unionByName(found)
+    return every.withColumn("confirmed", F.col("shared") >= CONFIRMED)
+
+
+def wrapped(runs: DataFrame, model: Model, passes) -> DataFrame:
+    """``doc_id run line family probability shared`` for notices in runs of several lines.
+
+    Windows that have enough of a notice are narrowed to the words most like it, as many as
+    the notice has; the model has to find its family in these.
+    """
+    several = runs.filter(F.col("body").contains("\n"))
+    spread = several.select("doc_id", "run", words_of(F.regexp_replace("body", MARKS, " ")).alias("w"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - LONGEST - 1, F.lit(0)), F.lit(LONGEST))
+    cut = F.transform(starts, lambda i: F.array_join(F.slice("w", i + 1, 2 * LONGEST), " "))
+    windows = spread.select("doc_id", "run", F.explode(F.filter(cut, passes)).alias("window"))
+    windows = windows.distinct().withColumn("place", F.xxhash64("window"))
+    windows = stored(windows.withColumn("terms", terms(F.col("window"))), "windows")
+    near = shares(windows.select("run", "place", "terms").distinct(), ["run", "place"], CONFIRMED)
+    # Equal windows of equal runs are narrowed once.
+    near = near.join(F.broadcast(notice_table(runs.sparkSession)), "notice")
+    bodies = windows.select("run", "place", F.split("window", " ").alias("w")).distinct()
+    last = F.greatest(F.size("w") - F.col("length"), F.lit(0))
+    narrow = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda i: F.array_join(F.slice("w", i + 1, F.col("length")), " "),
+    )
+    tried = near.join(bodies, ["run", "place"]).select(
+        "run", "notice", "family", "wanted", F.explode(narrow).alias("line")
+    )
+    tried = tried.distinct().withColumn("terms", terms(F.col("line")))
+    tried = tried.withColumn(
+        "shared", F.size(F.array_intersect("wanted", "terms")) / F.size("wanted")
+    ).filter(F.col("shared") >= CONFIRMED)
+    best = tried.groupBy("run", "notice").agg(
+        F.max(F.struct("shared", "line", "family")).alias("best")
+    )
+    best = stored(
+        best.select("run", "best.*").distinct().withColumn("terms", terms(F.col("line"))), "narrowed"
     )
-    return shared.select(
-        "doc_id", "line", "family", "probability", "shared", (F.col("shared") >= CONFIRMED).alias("confirmed")
+    lines = best.select("line", "terms").dropDuplicates(["line"])
+    agreed = best.drop("terms").join(judged(lines, model, ["line"]), ["line", "family"])
+    top = agreed.groupBy("run", "family").agg(
+        F.max(F.struct("shared", "line", "probability")).alias("best")
     )
+    owners = runs.select("doc_id", "run").distinct()
+    return owners.join(top, "run").select("doc_id", "run", "family", "best.*")
 
 
 def licenses(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -54,6 +54,53 @@ def test_several_families_in_a_document(model, make_docs):
     assert (row["n_notices"], row["families"]) == (2, "mit,proprietary")
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.
+"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+import os
+"""
+BSD = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+"""
+
+
+def test_wrapped_notices(model, make_docs):
+    long = "\n".join(f"line {i} of a story without end" for i in range(60))
+    docs = make_docs([MIT, GPL, BSD, long + "\n" + GPL + long, long])
+    rows = licenses.licenses(docs, scan(docs, model)).collect()
+    found = {r["doc_id"]: (r["n_notices"], r["families"]) for r in rows}
+    assert found == {0: (1, "mit"), 1: (1, "gpl"), 2: (1, "bsd"), 3: (1, "gpl"), 4: (0, "")}
+
+
+def test_lines_without_hints(model, make_docs):
+    texts = ["This work is available under CC BY-NC 4.0.", "Available under CC BY-SA 4.0."]
+    docs = make_docs(texts)
+    rows = scan(docs, model).filter("confirmed").collect()
+    assert {r["doc_id"]: r["family"] for r in rows} == {0: "cc-by-nc", 1: "cc-by-sa"}
+
+
+def test_what_is_left_out_could_not_pass(model, make_docs, monkeypatch):
+    texts = [n for own in NOTICES.values() for n in own] + list(licenses.OTHERS) + [MIT, GPL, BSD]
+    texts += [" ".join(t.split()[i::3]) for t in texts[:] for i in range(3)]
+    docs = make_docs(texts)
+    some = {tuple(r) for r in scan(docs, model).collect()}
+    monkeypatch.setattr(licenses, "needed", lambda model: "")
+    assert {tuple(r)[:3] for r in scan(docs, model).collect()} == {r[:3] for r in some}
+
+
 def test_edges(model, edges, nothing):
     rows = licenses.licenses(edges, scan(edges, model)).collect()
     assert len(rows) == len(EDGES) and all(r["n_notices"] == 0 for r in rows)
