@@ -14,7 +14,7 @@ out before are only paragraphs whose terms cannot add up to what the bound needs
 import json
 import math
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -150,6 +150,7 @@ class Model:
     offsets: tuple[float, ...]
     temperature: float
     bound: float
+    counts: tuple[tuple[str, int], ...] = ()  # terms with weights in the sampled lines
 
 
 def words_of(line: Column) -> Column:
@@ -268,7 +269,11 @@ def fit(docs: DataFrame) -> Model:
     seen = rows.filter("part = 1").withColumn("doc_id", F.monotonically_increasing_id())
     judged = margins(stored(seen, "held-out"), raw, ["doc_id", "label"]).collect()
     cases = [(int(r["label"]), list(r["margins"])) for r in judged]
-    return calibrated(raw, cases)
+    model = calibrated(raw, cases)
+    table = literal(spark, [{"term": t} for t, _ in weights], "term: string")
+    used = known.filter(F.col("family") == UNKNOWN).select(F.explode("terms").alias("term"))
+    counted = used.join(F.broadcast(table), "term").groupBy("term").count().collect()
+    return replace(model, counts=tuple(sorted((r["term"], r["count"]) for r in counted)))
 
 
 def softmax(margins: list[float], temperature: float) -> list[float]:
@@ -312,19 +317,22 @@ def margins(paragraphs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
 def needed(model: Model) -> str:
     """A pattern found in every lower-case paragraph that can pass the bound.
 
-    For each family, the terms that add least can be left out as long as all of them together
-    do not reach what the bound needs; a paragraph that passes has one of the others.
+    For each family, some terms can be left out as long as all of them together do not reach
+    what the bound needs; a paragraph that passes has one of the others. Left out are the
+    terms that are most frequent for what they add.
     """
-    last = len(model.families) - 1
+    last, counts = len(model.families) - 1, dict(model.counts)
     strong = set()
     for f in range(last):
         room = model.temperature * math.log(model.bound / (1 - model.bound))
         room -= model.offsets[f] - model.offsets[last] + 1e-6
         if room <= 0:
             return ""
-        for gain, term in sorted((w[f] - w[last], t) for t, w in model.weights if w[f] > w[last]):
-            room -= gain
-            if room <= 0:
+        gains = [(w[f] - w[last], t) for t, w in model.weights if w[f] > w[last]]
+        for gain, term in sorted(gains, key=lambda x: (-counts.get(x[1], 0) / x[0], *x)):
+            if gain < room:
+                room -= gain
+            else:
                 strong.add(term)
     return r"(?<![a-z0-9])(?:" + branches(strong) + r")(?![a-z0-9])" if strong else r"(?!)"
 
