@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from precinct.llm import compression_quality, language_id, licenses
 from precinct.llm.byte_bpe import encode_documents
 from precinct.llm.common import held_out, table
+from precinct.llm.decontamination import passages
+from precinct.llm.hard_negatives import hard_negatives
+from precinct.llm.lexical_search import search
 from precinct.llm.mixing import mix, words_taken
 from precinct.llm.near_join import near_components
 from precinct.llm.pseudonyms import pseudonymise
@@ -93,6 +96,32 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(table(spark, folder, "documents"), TOKENIZER, keep_ids=False)
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after the labels of every seventh are moved on."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """For every document, its words inside benchmark passages and the items found."""
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return passages(docs, items, width=10).select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_compression_quality": op2_compression_quality,
@@ -104,10 +133,18 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_metric_join": op9_metric_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_decontamination": op13_decontamination,
 }
 
 _STOPS = sorted({w for listed in STOP_WORDS.values() for w in listed.split()})
 
+# Terms of a text in SQL: A-Z lower-cased, then runs of digits, letters and beyond ASCII.
+_TERMS = r"""regexp_extract_all(translate(coalesce("text", ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLE: dict[str, str] = {
     "op7_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
@@ -148,5 +185,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND n_stops / n_words >= {TABLE[2].least}
     AND CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END <= {TABLE[3].most} AS kept
 FROM j
+""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, v.r AS other, v.vec_id, a.label = v.label AS alike,
+    CAST(list_sum(list_transform(list_zip(a.c, v.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v AS a JOIN v ON a.r <> v.r WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS place
+    FROM s WHERE alike) WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id,
+    s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id, s.other) AS i
+    FROM p JOIN s ON p.r = s.r AND NOT s.alike
+    AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score)
+SELECT anchor_id, positive_id, CAST(i AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE i <= 10
+""",
+    "op12_lexical_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents),
+c AS (SELECT r, doc_id, len(ts) AS n, ts FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM c),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM c) GROUP BY r, t),
+i AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark)),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT t, count(*) AS df FROM f GROUP BY t), total),
+s AS (SELECT item_id, c.r, c.doc_id, CAST(sum(w.w * ((1000000000 * f.tf)
+    // (1000 * f.tf + 8 * (10 + (90 * c.n * total.docs) // total.terms)))) AS BIGINT) AS score
+    FROM i JOIN f USING (t) JOIN w USING (t) JOIN c USING (r), total GROUP BY item_id, c.r, c.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS i FROM s WHERE score > 0)
+SELECT item_id, CAST(i AS INTEGER) AS rank, doc_id, score FROM k WHERE i <= 10
+""",
+    "op13_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ws FROM documents),
+i AS (SELECT item_id, ws, least(10, len(ws)) AS size
+    FROM (SELECT item_id, {_TERMS} AS ws FROM benchmark) WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, size, array_to_string(ws[b:b + size - 1], ' ') AS w
+    FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS b FROM i)),
+spot AS (SELECT r, b, size, array_to_string(ws[b:b + size - 1], ' ') AS w
+    FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS b
+        FROM d JOIN (SELECT DISTINCT size FROM i) ON len(ws) >= size)),
+o AS (SELECT r, b, spot.size, item_id FROM spot JOIN win ON spot.size = win.size AND spot.w = win.w),
+h AS (SELECT r, count(DISTINCT p) AS n_hit
+    FROM (SELECT DISTINCT r, unnest(range(b, b + size)) AS p FROM o) GROUP BY r),
+f AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM o GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+    sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN f USING (r)
 """,
 }
