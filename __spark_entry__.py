@@ -31,6 +31,7 @@ from precinct.sinks import documents, files as file_sinks, messages as message_s
 from precinct.sources import files, tables  # noqa: E402
 from precinct.sources.streams import file_messages  # noqa: E402
 from precinct.streaming import runner  # noqa: E402
+from precinct.streaming.ingest import Busy  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,8 +302,30 @@ def _streamed(key: str, transform) -> Query:
     return run
 
 
+def _ingested(spark, messages, **options):
+    """The ingest run over published ``messages``, and a session to read it as a stream."""
+    own = replay.streaming_session(spark)
+    path = new_folder(spark, "ingested")
+    source = file_messages(own, messages, files_per_trigger=8)
+    checkpoints = new_folder(spark, "checkpoints")
+    parsing, schema = stream.store_incidents(source, path, checkpoints, every=None, **options)
+    runner.drain([parsing])
+    target = stream.ingest(path)
+    return target, stream.stored_incidents(own, target.folder("accepted"), schema, 8)
+
+
+def _correlated(spark, messages, **options):
+    _, incidents = _ingested(spark, messages, **options)
+    found = replay.collections_of(spark, {"t4": domestic_correlation(incidents)})
+    return _FINISH["t4"](found["t4"])
+
+
+def t4_domestic_stream(spark, folder):
+    return _correlated(spark, _published(spark, folder))
+
+
 def t4_hot_cell_stream(spark, folder):
-    """A third of the incidents happens in one cell, which salts spread over the state."""
+    """A third of the incidents happens in one cell, which is salted while the stream runs."""
     source = new_folder(spark, "messages")
     hot = F.col("crime_id") % 3 == 0
     crowded = tables.events(spark, folder).withColumns(
@@ -313,10 +336,43 @@ def t4_hot_cell_stream(spark, folder):
     )
     raw = tables.as_raw(crowded, "crime_date", "event_time")
     replay.write_slices(records.to_messages(raw, "event_time"), source)
-    result = replay.run_to_end(
-        spark, source, lambda rows: {"t4": domestic_correlation(records.incidents(rows))}
+    return _correlated(spark, source, busy=Busy(rows_per_state=8))
+
+
+def ingest_outcomes(spark, folder):
+    """Every message is accepted or rejected, the latter with a reason."""
+    path = new_folder(spark, "messages")
+    replay.write_slices(_damaged_messages(spark, folder), path)
+    target, _ = _ingested(spark, path)
+    accepted = target.read(spark, "accepted").select(
+        F.col("crime_id").cast("string").alias("key"),
+        F.lit("accepted").alias("outcome"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    rejected = target.read(spark, "rejected").select(
+        "key", F.lit("rejected"), F.col("rejected_because")
     )
-    return _FINISH["t4"](result["t4"])
+    return accepted.union(rejected)
+
+
+def rejected_messages(spark, folder):
+    """The text of every message that is no usable record, with its reason."""
+    path = new_folder(spark, "messages")
+    replay.write_slices(_damaged_messages(spark, folder), path)
+    target, _ = _ingested(spark, path)
+    rejected = target.read(spark, "rejected")
+    return rejected.select("key", F.char_length("value").alias("length"), "rejected_because")
+
+
+def late_rows(spark, folder):
+    """The last quarter of an hour arrives once more: the windows that each result misses."""
+    path = new_folder(spark, "messages")
+    sent = _messages(spark, folder)
+    bounds = replay.write_slices(sent, path)
+    replay.publish_slice(sent, path, bounds[-1] - 900_000_001, bounds[-1], files=8)
+    target, _ = _ingested(spark, path)
+    late = target.read(spark, "late").select("crime_id", F.inline("missed"))
+    return late.select("crime_id", "collection", "windows")
 
 
 def t2_pattern_stream(spark, folder):
@@ -359,15 +415,10 @@ _START_ALL = {
 
 
 def start_all(spark, folder):
-    """All rows of the five collections: messages are parsed once, five queries run on them."""
+    """All rows of the five collections: messages are ingested once, five queries run on them."""
     source = _published(spark, folder)
     patterns = _stored_patterns(spark, folder)
-    own = replay.streaming_session(spark)
-    incidents, checkpoints = new_folder(spark, "incidents"), new_folder(spark, "checkpoints")
-    messages = file_messages(own, source, files_per_trigger=8)
-    parsing, schema = stream.store_incidents(messages, incidents, checkpoints, every=None)
-    runner.drain([parsing])
-    enriched = stream.stored_incidents(own, incidents, schema)
+    _, enriched = _ingested(spark, source)
     found = replay.collections_of(spark, stream.transformations(enriched, patterns))
     combined = None
     for name, (identity, numbers) in _START_ALL.items():
@@ -472,10 +523,13 @@ _QUERIES: dict[str, Query] = {
     ),
     "t2_pattern_stream": t2_pattern_stream,
     "t3_violence_stream": _streamed("t3", violence_escalation),
-    "t4_domestic_stream": _streamed("t4", domestic_correlation),
+    "t4_domestic_stream": t4_domestic_stream,
     "t4_hot_cell_stream": t4_hot_cell_stream,
     "t5_temporal_stream": _streamed("t5", temporal_patterns),
     "late_data": late_data,
+    "late_rows": late_rows,
+    "ingest_outcomes": ingest_outcomes,
+    "rejected_messages": rejected_messages,
     "start_all": start_all,
 }
 

@@ -247,6 +247,8 @@ SELECT {_WITH_CALENDAR}, {_SEASON} FROM typ WHERE {_LOCATED}"""
 
 # Messages that the damaged input still delivers (see the query).
 _READABLE = "crime_id % 97 <> 0 AND crime_id % 89 <> 0 AND crime_id % 83 <> 0"
+_REASON = """CASE WHEN crime_id % 97 = 0 THEN 'not a record' WHEN crime_id % 89 = 0 THEN 'no ID'
+            WHEN crime_id % 83 = 0 THEN 'unreadable date' END"""
 _RECORD = """crime_id, 'C' || crime_id AS case_number, crime_date, primary_type,
        'event, no. ' || crime_id AS description, location_description, arrest, domestic,
        latitude, longitude, event_time"""
@@ -403,6 +405,32 @@ FROM ({_t2(_EVENTS, "inc")})""",
     "t4_domestic_stream": _STREAMS["stream_domestic_correlation"],
     "t5_temporal_stream": _STREAMS["stream_temporal_patterns"],
     "late_data": _STREAMS["stream_violence_escalation"],
+    "late_rows": f"""WITH {_SENT},
+ends AS (SELECT max(event_time) AS high, max(event_time) - INTERVAL 10 SECOND AS wm FROM sent),
+again AS (SELECT sent.*, wm FROM sent, ends WHERE event_time >= high - INTERVAL 15 MINUTE),
+kinds(collection, length, slide) AS (
+    VALUES ('stream_crime_hotspots', 5, 1), ('stream_violence_escalation', 10, 2),
+           ('stream_temporal_patterns', 15, 5)
+),
+missed AS (
+    SELECT crime_id, collection, CAST(count(*) AS INTEGER) AS windows
+    FROM (SELECT *, unnest(range(0, length, slide)) AS back FROM again, kinds)
+    WHERE time_bucket(to_minutes(slide), event_time) + to_minutes(length - back) <= wm
+      AND CASE collection WHEN 'stream_crime_hotspots' THEN {_LOCATED}
+                          WHEN 'stream_violence_escalation' THEN is_violent ELSE TRUE END
+    GROUP BY crime_id, collection
+)
+SELECT * FROM missed
+UNION ALL
+SELECT crime_id, 'stream_domestic_correlation', 1 FROM again WHERE {_LOCATED} AND event_time <= wm""",
+    "ingest_outcomes": f"""WITH {_SENT}
+SELECT CAST(crime_id AS VARCHAR) AS key,
+       CASE WHEN {_READABLE} THEN 'accepted' ELSE 'rejected' END AS outcome, {_REASON} AS reason
+FROM sent""",
+    "rejected_messages": f"""WITH {_SENT}, {_MESSAGE}
+SELECT key, CAST(CASE WHEN crime_id % 97 = 0 THEN 40 WHEN crime_id % 89 = 0 THEN len(value)
+            ELSE len(value) + 1 END AS INTEGER) AS length, {_REASON} AS rejected_because
+FROM (SELECT *, CAST(key AS BIGINT) AS crime_id FROM msg) WHERE NOT ({_READABLE})""",
     "start_all": "\nUNION ALL\n".join(
         _comparable(name, _STREAMS[name], *columns) for name, columns in _COMPARED.items()
     ),

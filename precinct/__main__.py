@@ -133,7 +133,7 @@ def _stream(spark, args) -> None:
     if args.once:
         runner.drain([parsing])
     results = stream.transformations(
-        stream.stored_incidents(spark, incidents, schema),
+        stream.stored_incidents(spark, f"{incidents}/accepted", schema),
         batch.current_patterns(spark, args.patterns),
         args.correlation_salts,
         "list" if args.list_types else "counts",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from precinct.functions import geo
 from precinct.functions.levels import ESCALATION_RISK, level
-from precinct.operators.sliding import sliding_totals
+from precinct.operators.sliding import sliding_totals, with_watermark
 from precinct.schema import VIOLENT_TYPES
 
 
@@ -25,6 +25,7 @@ def violence_escalation(
     zone_lat, zone_lon = geo.cell(latitude, longitude, decimals)
     violent = incidents.filter("is_violent").select(
         event_time,
+        *with_watermark(incidents),
         "primary_type",
         "arrest",
         latitude,

@@ -5,7 +5,12 @@ from pyspark.sql import functions as F
 
 from precinct.functions import geo
 from precinct.functions.levels import HOTSPOT_SEVERITY, level
-from precinct.operators.sliding import gathered, sliding_entries, sliding_totals
+from precinct.operators.sliding import (
+    gathered,
+    sliding_entries,
+    sliding_totals,
+    with_watermark,
+)
 
 _CELL = ["cell_lat", "cell_lon"]
 _KIND = "primary_type"
@@ -61,6 +66,7 @@ def _located(incidents: DataFrame, event_time: str, decimals: int) -> DataFrame:
     cell_lat, cell_lon = geo.cell(latitude, longitude, decimals)
     return incidents.filter(geo.has_coordinates(latitude, longitude)).select(
         event_time,
+        *with_watermark(incidents),
         _KIND,
         latitude,
         longitude,

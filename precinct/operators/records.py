@@ -43,18 +43,43 @@ def parse(messages: DataFrame) -> DataFrame:
     )
 
 
+def _typed() -> dict[str, Column]:
+    return {
+        "crime_id": text.parse_long(F.col("crime_id")),
+        "crime_date": text.parse_timestamp(F.col("crime_date")),
+        "arrest": text.parse_boolean(F.col("arrest")),
+        "domestic": text.parse_boolean(F.col("domestic")),
+        "latitude": text.parse_double(F.col("latitude")),
+        "longitude": text.parse_double(F.col("longitude")),
+    }
+
+
 def extract(parsed: DataFrame) -> DataFrame:
     """Typed columns; drops records whose ID or occurrence time does not parse."""
-    return parsed.withColumns(
-        {
-            "crime_id": text.parse_long(F.col("crime_id")),
-            "crime_date": text.parse_timestamp(F.col("crime_date")),
-            "arrest": text.parse_boolean(F.col("arrest")),
-            "domestic": text.parse_boolean(F.col("domestic")),
-            "latitude": text.parse_double(F.col("latitude")),
-            "longitude": text.parse_double(F.col("longitude")),
-        }
-    ).filter(F.col("crime_id").isNotNull() & F.col("crime_date").isNotNull())
+    typed = parsed.withColumns(_typed())
+    return typed.filter(F.col("crime_id").isNotNull() & F.col("crime_date").isNotNull())
+
+
+def judged(messages: DataFrame) -> DataFrame:
+    """All messages with typed columns and ``rejected_because``, null for what ``extract`` keeps.
+
+    The key and the text of the message stay beside them. Like ``parse``, it reads each text once.
+    """
+    fields = F.json_tuple(F.col("value").cast("string"), *RAW_TO_CURATED)
+    names = ["crime_date" if name == "date" else name for name in RAW_TO_CURATED.values()]
+    read = messages.select("key", "value", fields.alias(*names), F.col("timestamp").alias("event_time"))
+    typed = _typed()
+    nothing = F.lit(True)
+    for name in names:
+        nothing &= F.col(name).isNull()
+    reason = (
+        F.when(nothing, "not a record")
+        .when(F.col("crime_id").isNull(), "no ID")
+        .when(typed["crime_id"].isNull(), "unreadable ID")
+        .when(F.col("crime_date").isNull(), "no date")
+        .when(typed["crime_date"].isNull(), "unreadable date")
+    )
+    return read.withColumns({**typed, "rejected_because": reason})
 
 
 def enrich(incidents: DataFrame) -> DataFrame:

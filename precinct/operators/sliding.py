@@ -17,8 +17,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _stream_windows(event_time: str, length: int, slide: int) -> Column:
-    return F.window(event_time, f"{length} minutes", f"{slide} minutes").alias("window")
+def stream_windows(rows: DataFrame, event_time: str, length: int, slide: int) -> DataFrame:
+    """Rows once for each ``window`` they are in.
+
+    Ingested rows carry a ``watermark``; windows that had ended by then miss them.
+    """
+    window = F.window(event_time, f"{length} minutes", f"{slide} minutes")
+    rows = rows.withColumn("window", window)
+    if "watermark" not in rows.columns:
+        return rows
+    open_then = F.col("window.end") > F.col("watermark")
+    return rows.filter(F.col("watermark").isNull() | open_then)
+
+
+def with_watermark(rows: DataFrame) -> list[str]:
+    """The column with the watermark of ingested rows, if they have one."""
+    return [name for name in rows.columns if name == "watermark"]
+
+
+def missed_windows(event_time: Column, watermark: Column, length: int, slide: int) -> Column:
+    """How many windows of a row had ended by ``watermark``; null without one of the two."""
+    base = F.floor(F.unix_timestamp(event_time) / (slide * 60)) * (slide * 60)
+    # Its windows end 1, 2, ... ``length / slide`` slides after that.
+    ended = F.floor((F.unix_timestamp(watermark) - base) / (slide * 60))
+    bounded = F.greatest(F.lit(0), F.least(F.lit(length // slide), ended))
+    return F.when(ended.isNotNull(), bounded.cast("int"))
 
 
 def _panes(rows, event_time, length, slide, keys, sums) -> DataFrame:
@@ -56,8 +79,8 @@ def sliding_totals(
 ) -> DataFrame:
     """One row of counts and sums per (``window``, keys)."""
     if rows.isStreaming:
-        window = _stream_windows(event_time, length, slide)
-        return rows.groupBy(window, *keys).agg(*_named(sums))
+        inside = stream_windows(rows, event_time, length, slide)
+        return inside.groupBy("window", *keys).agg(*_named(sums))
     panes = _panes(rows, event_time, length, slide, keys, sums)
     back = F.explode(F.lit(list(range(length // slide)))).alias("back")
     return (

@@ -53,20 +53,6 @@ def start(
     return _trigger(writer, every).start()
 
 
-def start_files(
-    rows: DataFrame, name: str, path: str, checkpoints: str, every: str | None = DOCUMENT_TRIGGER
-) -> StreamingQuery:
-    """Append new rows to a folder of Parquet files, each exactly once."""
-    writer = (
-        rows.writeStream.queryName(name)
-        .outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", f"{checkpoints}/{name}")
-    )
-    return _trigger(writer, every).start()
-
-
 def start_console(
     results: DataFrame, name: str, checkpoints: str, every: str | None = CONSOLE_TRIGGER
 ) -> StreamingQuery:
