@@ -277,6 +277,11 @@ def t5_temporal(spark, folder):
     return _FINISH["t5"](temporal_patterns(_incidents(spark, folder)))
 
 
+def t5_temporal_sketch(spark, folder):
+    """The form for large vocabularies of places, with equal rows in batches and streams."""
+    return _FINISH["t5"](temporal_patterns(_incidents(spark, folder), places="sketch"))
+
+
 def patterns_history(spark, folder):
     return historical_patterns(tables.events(spark, folder))
 
@@ -512,6 +517,7 @@ _QUERIES: dict[str, Query] = {
     "t4_domestic": t4_domestic,
     "t4_domestic_salted": t4_domestic_salted,
     "t5_temporal": t5_temporal,
+    "t5_temporal_sketch": t5_temporal_sketch,
     "t1_hotspots_stream": _streamed(
         "t1",
         lambda rows: runner.Result(
@@ -526,6 +532,9 @@ _QUERIES: dict[str, Query] = {
     "t4_domestic_stream": t4_domestic_stream,
     "t4_hot_cell_stream": t4_hot_cell_stream,
     "t5_temporal_stream": _streamed("t5", temporal_patterns),
+    "t5_temporal_sketch_stream": _streamed(
+        "t5", lambda rows: temporal_patterns(rows, places="sketch")
+    ),
     "late_data": late_data,
     "late_rows": late_rows,
     "ingest_outcomes": ingest_outcomes,

@@ -399,6 +399,8 @@ FROM ({_t2(_EVENTS, "inc")})""",
     "t4_domestic": _t4(_EVENTS, "inc"),
     "t4_domestic_salted": _t4(_EVENTS, "inc"),
     "t5_temporal": _t5(_EVENTS, "inc"),
+    "t5_temporal_sketch": _t5(_EVENTS, "inc"),
+    "t5_temporal_sketch_stream": _STREAMS["stream_temporal_patterns"],
     "t1_hotspots_stream": _STREAMS["stream_crime_hotspots"],
     "t2_pattern_stream": _STREAMS["stream_pattern_analysis"],
     "t3_violence_stream": _STREAMS["stream_violence_escalation"],

@@ -104,13 +104,14 @@ def sliding_entries(
     length: int,
     slide: int,
     keys: Sequence[str],
-    category: str,
+    category: str | None,
     sums: Mapping[str, Column],
     chunk: int | None = None,
 ) -> DataFrame:
     """One row per (``window``, keys) with ``entries``: the counts and sums per category.
 
     A category may have several entries, one per pane; the caller adds them up.
+    Without a category (batches only) there is one entry per pane.
     Only counters are ever collected, never rows.
 
     Batch: the panes of a key are brought together in chunks of ``chunk``
@@ -129,13 +130,14 @@ def sliding_entries(
 
     span = length // slide
     chunk = chunk or 4 * span
-    panes = _panes(rows, event_time, length, slide, [*keys, category], sums)
+    within = [category] if category else []
+    panes = _panes(rows, event_time, length, slide, [*keys, *within], sums)
     pane = F.col("pane")
     chunks = F.sequence(F.floor((pane - (span - 1)) / chunk), F.floor(pane / chunk))
     collected = (
         panes.select("*", F.explode(chunks).alias("chunk"))
         .groupBy(*keys, "chunk")
-        .agg(F.collect_list(F.struct("pane", category, *sums)).alias("collected"))
+        .agg(F.collect_list(F.struct("pane", *within, *sums)).alias("collected"))
     )
 
     def window_from(first: Column) -> Column:
