@@ -28,6 +28,7 @@ from precinct.plans import batch, stream  # noqa: E402
 from precinct.plans.scratch import new_folder, stored  # noqa: E402
 from precinct.session import configure  # noqa: E402
 from precinct.sinks import documents, files as file_sinks, messages as message_sinks  # noqa: E402
+from precinct.sinks.collection import Collection  # noqa: E402
 from precinct.sources import files, tables  # noqa: E402
 from precinct.sources.streams import file_messages  # noqa: E402
 from precinct.streaming import runner  # noqa: E402
@@ -146,6 +147,18 @@ def sink_foreachbatch(spark, folder):
     return stored_rows.drop("_inserted_at", "batch_id")
 
 
+def sink_packed(spark, folder):
+    """Sixteen micro-batches, each written twice, in a collection that packs four at a time."""
+    source = new_folder(spark, "messages")
+    replay.write_slices(_messages(spark, folder), source, slices=16, files=1)
+    target = Collection(new_folder(spark, "collection"), "session-1", pack=4)
+    enriched = records.incidents(file_messages(spark, source, files_per_trigger=1))
+    twice = documents.to_all(target.write, target.write)
+    checkpoints = new_folder(spark, "checkpoints")
+    runner.drain([runner.start(enriched, "sink_packed", twice, checkpoints, every=None)])
+    return target.read(spark).drop("_inserted_at")
+
+
 def pattern_documents(spark, folder):
     """Every pattern match as a document, with the number of documents of its identity."""
     matched = match_patterns(_incidents(spark, folder), _stored_patterns(spark, folder))
@@ -494,6 +507,7 @@ _QUERIES: dict[str, Query] = {
     "src_stream_envelope": src_stream_envelope,
     "sink_curated_roundtrip": sink_curated_roundtrip,
     "sink_foreachbatch": sink_foreachbatch,
+    "sink_packed": sink_packed,
     "publish_json": publish_json,
     "pattern_documents": pattern_documents,
     "etl_select_rename": _etl(etl.select_renamed),

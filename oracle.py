@@ -355,6 +355,8 @@ FROM inc s LEFT JOIN hist ON s.primary_type = hist.primary_type
     "publish_json": f"WITH {_SENT}, {_MESSAGE} SELECT * FROM msg",
     "sink_curated_roundtrip": _ETL_ALL,
     "sink_foreachbatch": f"""WITH {_SENT}
+SELECT {_RECORD}, {_FLAGS}, 'session-1' AS _session_id FROM sent""",
+    "sink_packed": f"""WITH {_SENT}
 SELECT {_RECORD}, {_FLAGS}, 'session-1' AS _session_id FROM sent""",
     "etl_select_rename": f"WITH {_RAW} SELECT * FROM raw",
     "etl_typed": f"WITH {_RAW} SELECT * FROM typ",

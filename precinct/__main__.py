@@ -10,6 +10,7 @@ from precinct.plans import batch, stream
 from precinct.plans.scratch import release, stored
 from precinct.session import build_session
 from precinct.sinks import documents, files as file_sinks, jdbc, messages
+from precinct.sinks.collection import Collection
 from precinct.sources import files, streams
 from precinct.streaming import runner
 
@@ -65,6 +66,11 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--session-id", default="default")
     job.add_argument("--console", action="store_true", help="also print the hotspots")
     job.add_argument("--correlation-salts", type=int)
+    job.add_argument(
+        "--pack",
+        type=int,
+        help="keep collections with a commit log and pack so many folders into one",
+    )
     job.add_argument(
         "--list-types",
         action="store_true",
@@ -114,6 +120,8 @@ def _publish(spark, args) -> None:
 
 def _collection(name: str, args) -> documents.BatchWriter:
     """Where the results of a collection go: files, or a document store."""
+    if args.pack and not args.store:
+        return Collection(f"{args.out}/{name}", args.session_id, args.pack).write
     if not args.store:
         return documents.file_collection(f"{args.out}/{name}", args.session_id)
     options = dict(option.split("=", 1) for option in args.store_option)

@@ -67,3 +67,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> bool:
         return True
     system.delete(file, False)
     return False
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    system, folder = _open(spark, path)
+    return system.getContentSummary(folder).getLength()
