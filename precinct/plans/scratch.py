@@ -5,7 +5,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from precinct.plans import folders
+
 _SETTING = "spark.checkpoint.dir"
+# Shuffle files of a finished execution are deleted, not kept until the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_roots: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
@@ -39,19 +43,33 @@ def release(spark: SparkSession) -> None:
 
     For the end of a job that has written its results elsewhere.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
     for path in _made.pop(spark.sparkContext.applicationId, []):
-        folder = hadoop.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folders.remove(spark, path)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written out and read back.
 
     It is computed once, survives the loss of executors, and later plans know
-    its real size.
+    its real size. What was shuffled for it is deleted when it is written.
     """
     spark = frame.sparkSession
     path = new_folder(spark, label)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    read = spark.read.schema(frame.schema).parquet(path)
+    read.scratch_folder = path
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of stored frames that nothing will read any more."""
+    for frame in frames:
+        folders.remove(frame.sparkSession, frame.scratch_folder)
