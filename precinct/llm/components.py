@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from precinct.plans.scratch import stored
+from precinct.plans.scratch import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,6 +25,7 @@ def components(links: DataFrame) -> DataFrame:
             "id", F.least("component", "least").alias("via"), F.col("component").alias("old")
         )
         of = names.select(F.col("id").alias("via"), F.col("component").alias("further"))
+        before = names
         moved = stored(
             closer.join(of, "via").select(
                 "id",
@@ -34,5 +35,8 @@ def components(links: DataFrame) -> DataFrame:
             "names",
         )
         names = moved.select("id", "component")
+        names.scratch_folder = moved.scratch_folder
+        discard(before)
         if not moved.filter("changed").limit(1).count():
+            discard(edges)
             return names

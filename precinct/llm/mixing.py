@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import WORD, importable, running, word_count
+from precinct.llm.common import WORD, free_name, importable, running, word_count
 from precinct.plans.scratch import stored
 
 # Most sources: a recipe has a row for each, which the driver reads.
@@ -51,11 +52,14 @@ def targets(sizes: list[int], weights: list[float], most_repeats: float) -> list
         full |= above
 
 
-def whole_blocks(wanted: list[float], block_words: int, blocks: list[int], most: float):
-    """Blocks to draw of each source: its target in blocks, rounded, within the repeats."""
+def whole_blocks(wanted: list[float], sizes: list[int], blocks: list[int], most: float) -> list[int]:
+    """Blocks to draw of each source: its target as a share of its words, in blocks, rounded.
+
+    A source at its limit gives each block as often as it may, also its short last one.
+    """
     return [
-        min(int(most * n), max(int(x / block_words + 0.5), int(x > 0)))
-        for x, n in zip(wanted, blocks)
+        min(int(most * n), max(int(x * n / size + 0.5), int(x > 0))) if size else 0
+        for x, size, n in zip(wanted, sizes, blocks)
     ]
 
 
@@ -171,7 +175,7 @@ def mix(
     if sum(sizes):
         wanted = targets(sizes, [w for *_, w in recipe], most_repeats)
     blocks = [-(-size // block_words) for size in sizes]
-    slots = whole_blocks(wanted, block_words, blocks, most_repeats)
+    slots = whole_blocks(wanted, sizes, blocks, most_repeats)
     shards = min(MOST_SHARDS, -(-sum(slots) // shard_blocks))
     drawn = [
         (shard, i, first, n, blocks[i], seed * 1_000_003 + i)
@@ -234,20 +238,35 @@ def words_taken(known: DataFrame, taken: DataFrame, block_words: int = BLOCK_WOR
     return counted.select(names).unionByName(empty.select(names))
 
 
-def cut(parts: Iterator[pd.DataFrame], text: str) -> Iterator[pd.DataFrame]:
-    """A row for each of a document's drawn parts, with the part as its text."""
+def cutter(text: int, parts: int):
+    """A row for each drawn part of a document, with the part as its text.
+
+    ``text`` and ``parts`` are the places of these columns; all others are taken as they are.
+    """
     word = re.compile(WORD)
-    for part in parts:
-        out = []
-        for row in part.to_dict("records"):
-            body = row[text] or ""
-            spans = [m.span() for m in word.finditer(body)]
-            for drawn in row.pop("_parts"):
-                begin, end = drawn["begin"], drawn["begin"] + drawn["words"]
-                piece = body[spans[begin][0] : spans[end - 1][1]]
-                out.append(row | {text: piece, "shard": drawn["shard"], "slot": drawn["slot"]})
-        if out:
-            yield pd.DataFrame(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, pieces, shards, slots = [], [], [], []
+            for row, (body, drawn) in enumerate(zip(batch.column(text), batch.column(parts))):
+                body = body.as_py() or ""
+                spans = [m.span() for m in word.finditer(body)]
+                for part in drawn.as_py():
+                    begin, end = part["begin"], part["begin"] + part["words"]
+                    rows.append(row)
+                    pieces.append(body[spans[begin][0] : spans[end - 1][1]])
+                    shards.append(part["shard"])
+                    slots.append(part["slot"])
+            index = pa.array(rows, pa.int64())
+            columns = {
+                name: pa.array(pieces, pa.string()) if at == text else batch.column(at).take(index)
+                for at, name in enumerate(batch.schema.names)
+                if at != parts
+            }
+            columns |= {"shard": pa.array(shards, pa.int32()), "slot": pa.array(slots, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return run
 
 
 def mixed_documents(
@@ -257,25 +276,37 @@ def mixed_documents(
     block_words: int = BLOCK_WORDS,
     doc_id: str = "doc_id",
     text: str = "text",
+    source: str = "source",
 ) -> DataFrame:
     """The mix itself: columns of ``docs``, and ``shard slot``, for each part of a drawn block.
 
     The text is the part of the document that lies in the block, with the white space in it
     as it was; the parts with the same shard, slot and source are a block. A row of ``docs``
-    that occurs repeatedly gives the parts of all its copies once. Columns of the input with
-    the names ``shard`` or ``slot`` are replaced.
+    that occurs repeatedly gives the parts of all its copies once; rows of different sources
+    are never copies. Columns of the input with the names ``shard`` or ``slot`` are replaced.
     """
-    parts = document_blocks(known, block_words)
-    drawn = taken.hint("merge").join(parts, ["source_no", "block"])
-    cuts = drawn.groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("begin", "words", "shard", "slot")).alias("_parts")
+    drawn = taken.hint("merge").join(document_blocks(known, block_words), ["source_no", "block"])
+    keys = ["doc_id", "text_hash", "source"]
+    cuts = drawn.groupBy(*keys).agg(
+        F.collect_list(F.struct("begin", "words", "shard", "slot")).alias("parts")
+    )
+    once = docs.drop("shard", "slot")
+    own = {name: free_name(once, f"_{name}") for name in ("hash", "parts", "id", "same", "from")}
+    once = once.withColumn(own["hash"], F.xxhash64(docs[text]))
+    if known.groupBy(*keys).count().filter("count > 1").limit(1).count():
+        once = once.dropDuplicates([doc_id, own["hash"], source])
+    renamed = cuts.hint("merge").select(
+        F.col("doc_id").alias(own["id"]),
+        F.col("text_hash").alias(own["same"]),
+        F.col("source").alias(own["from"]),
+        F.col("parts").alias(own["parts"]),
+    )
+    same = (
+        once[doc_id].eqNullSafe(renamed[own["id"]])
+        & (once[own["hash"]] == renamed[own["same"]])
+        & once[source].eqNullSafe(renamed[own["from"]])
     )
-    once = docs.drop("shard", "slot").withColumn("_hash", F.xxhash64(docs[text]))
-    if known.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count():
-        once = once.dropDuplicates([doc_id, "_hash"])
-    renamed = cuts.hint("merge").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_same"), "_parts")
-    same = once[doc_id].eqNullSafe(renamed["_id"]) & (once["_hash"] == renamed["_same"])
-    joined = once.join(renamed, same).drop("_id", "_same", "_hash")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.drop("_parts").schema]
-    schema = ", ".join([*fields, "shard int", "slot bigint"])
-    return importable(joined).mapInPandas(lambda rows: cut(rows, text), schema)
+    joined = once.join(renamed, same).drop(own["id"], own["same"], own["from"], own["hash"])
+    schema = joined.drop(own["parts"]).schema.add("shard", "integer").add("slot", "long")
+    place = {name: at for at, name in enumerate(joined.columns)}
+    return importable(joined).mapInArrow(cutter(place[text], place[own["parts"]]), schema)

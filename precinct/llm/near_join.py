@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import importable, running
+from precinct.llm.common import free_name, importable, running
 from precinct.llm.components import components
 from precinct.llm.shingles import Scheme, chunks, digests, shingle_sets
-from precinct.plans.scratch import stored
+from precinct.plans.scratch import discard, stored
 
 # Shingles in a block, and in a region from which on it elects more pivots.
 BLOCK = 1 << 15
@@ -41,8 +41,10 @@ PIVOTS = 8
 LEVELS = 4
 # Rounds in which sets are dropped that share too few parts.
 PRUNINGS = 2
-# Bits (as a power of two) of the bitmap of signatures: 8 MB.
-BITS = 26
+# Bits of the bitmap of signatures: so many for each, and as a power of two at most (32 MB).
+# A smaller share of them only means that more signatures are shuffled in vain.
+BITS_EACH = 32
+MOST_BITS = 28
 # Buckets of values that are looked for; a list of them is broadcast.
 BUCKETS = 1 << 20
 
@@ -78,12 +80,13 @@ def signed(data: DataFrame, words: int, percent: int, wanted=None) -> DataFrame:
     ``wanted`` is a broadcast bitmap: signatures that it does not have are left out.
     """
     scheme = Scheme(percent)
+    by_bitmap = wanted is not None
 
     def build(ids, hashes, sizes):
         values, owners, classes, needs = scheme.signatures(hashes, sizes)
-        if wanted is not None:
+        if by_bitmap:
             bits = np.frombuffer(wanted.value, np.uint8)
-            place = (values >> np.uint64(64 - BITS)).astype(np.int64)
+            place = (values >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)).astype(np.int64)
             keep = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             values, owners, classes, needs = (x[keep] for x in (values, owners, classes, needs))
         node = digests(hashes, sizes).view(np.int64)[owners]
@@ -96,14 +99,16 @@ def signed(data: DataFrame, words: int, percent: int, wanted=None) -> DataFrame:
 
 
 def bitmap(signatures: DataFrame):
-    """A broadcast bitmap with a bit for the first bits of each signature, of a fixed size."""
-    place = F.shiftrightunsigned("signature", 64 - BITS) + 1
+    """A broadcast bitmap with a bit for the first bits of each signature, sized by their number."""
+    wished = max(1, BITS_EACH * signatures.count()).bit_length()
+    power = min(MOST_BITS, max(16, wished))
+    place = F.shiftrightunsigned("signature", 64 - power) + 1
     rows = (
         signatures.groupBy(F.bitmap_bucket_number(place).alias("number"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
         .collect()
     )
-    whole = bytearray(1 << (BITS - 3))
+    whole = bytearray(1 << (power - 3))
     for row in rows:
         begin = (row["number"] - 1) * len(row["bits"])
         whole[begin : begin + len(row["bits"])] = row["bits"]
@@ -371,14 +376,17 @@ def shared_parts(data: DataFrame, words: int, percent: int) -> DataFrame:
     other set, and so on for a few rounds.
     """
     several = signed(data, words, percent).groupBy("signature").count().filter("count > 1")
-    wanted = bitmap(several.select("signature"))
-    parts = stored(signed(data, words, percent, wanted).distinct(), "parts")
+    repeated = stored(several.select("signature"), "repeated")
+    wanted = bitmap(repeated)
+    discard(repeated)
+    shared = stored(signed(data, words, percent, wanted).distinct(), "parts")
     for _ in range(PRUNINGS):
+        before, parts = shared, shared.select("signature", "node", "class", "need")
         parts = parts.join(meetings(parts), "signature")
         enough = parts.groupBy("node", "class").agg(F.count("*").alias("shared"), F.max("need").alias("least"))
         enough = enough.filter("shared >= least").select("node", "class", "shared")
-        parts = stored(parts.join(enough, ["node", "class"]), "parts")
-        parts, shared = parts.drop("shared"), parts
+        shared = stored(parts.join(enough, ["node", "class"]), "parts")
+        discard(before)
     return shared
 
 
@@ -413,6 +421,23 @@ def neighbourhoods(parts: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return near.select("id", F.col("pivot_id").alias("pivot"), "crowd", "size", "pivot_size")
 
 
+def keyed(docs: DataFrame, doc_id: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a ``key`` of their own for each row, and whether that is the id.
+
+    Where ids are null or repeated, rows are stored with a number.
+    """
+    name, ids = free_name(docs, "key"), docs.select(docs[doc_id].cast("long").alias("id"))
+    rows, given, different = ids.agg(
+        F.count(F.lit(1)), F.count("id"), F.count_distinct("id")
+    ).first()
+    if rows == given == different:
+        frame = docs.withColumn(name, docs[doc_id].cast("long"))
+    else:
+        frame = stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    frame.key = name
+    return frame, rows == given == different
+
+
 def near_components(
     docs: DataFrame,
     words: int = 4,
@@ -430,13 +455,52 @@ def near_components(
     smallest id reachable by links; ``copies_of`` the smallest id with the same set.
 
     Null texts and texts without words have empty sets and are linked with nothing. Ids are
-    integers; rows with a null id are left out. Ids should be unique: rows that repeat one
-    stay rows, and each gets the component of its own text. An empty table gives an empty
-    result. Other columns of the input are not used.
+    integers. Rows with a null or repeated id are documents of their own: each gets the
+    component of its own text, and the id of the component is the smallest one of its rows,
+    null where none has one. An empty table gives an empty result. Other columns are not used.
     """
-    data = docs.select(
-        docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("binary").alias("data")
-    ).filter("doc_id IS NOT NULL")
+    frame, by_id = keyed(docs, doc_id)
+    data = frame.select(F.col(frame.key).alias("doc_id"), frame[text].cast("binary").alias("data"))
+    found = grouped(data, words, percent, large, block)
+    if by_id:
+        return found
+    named = frame.select(F.col(frame.key).alias("key"), frame[doc_id].cast("long").alias("name"))
+    rows = stored(found.join(named, F.col("doc_id") == F.col("key")), "named")
+
+    def least(group: str, alias: str) -> DataFrame:
+        return rows.groupBy(F.col(group).alias(f"of_{alias}")).agg(F.min("name").alias(alias))
+
+    labels, firsts = least("component_id", "label"), least("copies_of", "first")
+    joined = rows.join(labels, F.col("component_id") == F.col("of_label")).join(
+        firsts, F.col("copies_of") == F.col("of_first")
+    )
+    return joined.select(
+        F.col("name").alias("doc_id"),
+        "n_shingles",
+        F.col("label").alias("component_id"),
+        F.col("first").alias("copies_of"),
+    )
+
+
+def without_near_copies(
+    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` for each component of ``near_components``, with all its columns.
+
+    Where all ids differ it is the row with the smallest; repeated rows, and rows without an
+    id, are documents like others, of which one stays.
+    """
+    frame, _ = keyed(docs, doc_id)
+    data = frame.select(F.col(frame.key).alias("doc_id"), frame[text].cast("binary").alias("data"))
+    found = grouped(data, words, percent)
+    firsts = found.filter("doc_id = component_id").select(F.col("doc_id").alias(frame.key))
+    return frame.join(firsts, frame.key, "left_semi").select(docs.columns)
+
+
+def grouped(
+    data: DataFrame, words: int, percent: int, large: int = LARGE, block: int = BLOCK
+) -> DataFrame:
+    """``near_components`` of rows ``doc_id data`` whose ids differ."""
     whole = stored(described(data, words), "described")
     classes = whole.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("id"), F.count("*").alias("members"), F.first("n").alias("n")
@@ -444,6 +508,7 @@ def near_components(
     classes = stored(classes, "classes")
     parts = shared_parts(data, words, percent)
     regions = stored(neighbourhoods(parts, classes, percent), "regions")
+    discard(parts)
     involved = regions.select("id").union(regions.select("pivot"))
     sets = stored(sets_of(around(data, "doc_id", involved), words), "sets")
     found, width = Found(), 1 - percent / 100

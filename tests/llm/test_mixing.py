@@ -72,6 +72,33 @@ def test_words_taken_follow_the_targets(make_docs):
     )
 
 
+def test_small_sources_reach_their_targets(make_docs):
+    """Sources of 1 to 1,000 words, against targets worked out one by one."""
+    sizes = [1, 2, 5, 17, 50, 100, 127, 128, 129, 200, 255, 256, 257, 400, 640, 999, 1000, 30_000]
+    texts = [" ".join(f"s{i}w{k}" for k in range(n)) for i, n in enumerate(sizes)]
+    names = [f"s{i:02d}" for i in range(len(sizes))]
+    docs = make_docs(texts, source=names)
+    rows = mixing.words_taken(*mixing.mix(docs)).collect()
+    # Shares by weight; what is beyond three times a source's words goes to the others.
+    left, open_sources, target = float(sum(sizes)), set(range(len(sizes))), {}
+    while True:
+        weight = sum(i % 3 + 1 for i in open_sources)
+        full = [i for i in open_sources if left * (i % 3 + 1) / weight > 3 * sizes[i]]
+        if not full:
+            break
+        target |= {i: 3 * sizes[i] for i in full}
+        left -= sum(3 * sizes[i] for i in full)
+        open_sources -= set(full)
+    target |= {i: left * (i % 3 + 1) / weight for i in open_sources}
+    for row in rows:
+        want = target[row["doc_id"]]
+        assert row["target"] == pytest.approx(want)
+        assert abs(row["taken"] - want) <= max(mixing.BLOCK_WORDS, 0.02 * want)
+        assert row["taken"] <= 3 * row["size"]
+        if want == 3 * row["size"]:
+            assert row["taken"] == want
+
+
 def test_the_mix_is_made_of_blocks(make_docs):
     texts, sources, docs = mixed_docs(make_docs)
     known, taken = mixing.mix(docs, block_words=32)

@@ -128,12 +128,38 @@ def test_other_widths_and_thresholds(make_docs):
     assert got(found) == brute(dict(enumerate(texts)), 5, 80)
 
 
+def got_of_rows(frame):
+    rows = ((r["doc_id"], r["n_shingles"], r["component_id"]) for r in frame.collect())
+    return sorted(rows, key=repr)
+
+
+def brute_of_rows(rows, width, percent):
+    """Components of rows whose ids may be null or repeated, by their smallest id."""
+    found = brute({n: t for n, (_, t) in enumerate(rows)}, width, percent)
+    names = {}
+    for n, _, component in found:
+        if rows[n][0] is not None:
+            names[component] = min(rows[n][0], names.get(component, rows[n][0]))
+    return sorted(((rows[n][0], size, names.get(c)) for n, size, c in found), key=repr)
+
+
+def test_ids_that_are_null_or_repeated(spark):
+    """An id that two texts share is no link between them."""
+    one = " ".join(f"a{i}" for i in range(60))
+    two = " ".join(f"b{i}" for i in range(60))
+    rows = [
+        (0, one), (1, one + " x"), (1, two), (5, two + " y"), (None, one + " z"),
+        (None, "c d e f g h"), (9, "c d e f g h"), (None, ""), (7, None), (7, "only here"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = got_of_rows(near_components(frame.repartition(3)))
+    assert found == brute_of_rows(rows, 4, 85)
+    assert {(i, c) for i, _, c in found} >= {(0, 0), (1, 0), (1, 1), (5, 1), (None, 0), (None, 9)}
+
+
 def test_edges(edges, nothing, spark):
-    rows = got(near_components(edges.selectExpr("*", "1 AS n", "2 AS id", "3 AS pivot")))
-    texts = {i: t for i, t, *_ in EDGES if i is not None}
-    want = brute(texts, 4, 85)
-    want.append(next(x for x in want if x[0] == 5))  # the repeated row
-    assert rows == sorted(want)
+    rows = got_of_rows(near_components(edges.selectExpr("*", "1 AS n", "2 AS id", "3 AS pivot", "4 AS key")))
+    assert rows == brute_of_rows([(i, t) for i, t, *_ in EDGES], 4, 85)
     assert near_components(nothing).count() == 0
 
 
