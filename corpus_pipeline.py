@@ -13,7 +13,7 @@ from precinct.llm import language_id
 from precinct.llm.byte_bpe import encode_documents
 from precinct.llm.common import held_out, table
 from precinct.llm.mixing import mix, mixed_documents
-from precinct.llm.near_join import near_components
+from precinct.llm.near_join import without_near_copies
 from precinct.llm.pseudonyms import pseudonymise
 from precinct.plans.scratch import stored
 
@@ -38,12 +38,10 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keeps one document of each group of near copies, the one with the smallest id.
 
     Documents are near copies if they share 80 % of their five-word shingles or more. Rows
-    that repeat the id of a document that stays do so too, as do rows without an id.
+    with a null or repeated id are documents like others: of equal ones, one stays, and an id
+    that two different texts have is no link between them.
     """
-    grouped = near_components(docs, words=5, percent=80)
-    firsts = grouped.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").select(COLUMNS)
-    return kept.unionByName(docs.filter("doc_id IS NULL").select(COLUMNS))
+    return without_near_copies(docs.select(COLUMNS), words=5, percent=80)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
