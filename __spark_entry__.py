@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import replay  # noqa: E402
 from oracle import ORACLE  # noqa: E402
 from precinct.functions import geo  # noqa: E402
-from precinct.operators import etl, records, reports  # noqa: E402
+from precinct.operators import etl, layout, records, reports  # noqa: E402
 from precinct.operators.correlation import domestic_correlation  # noqa: E402
 from precinct.operators.escalation import violence_escalation  # noqa: E402
 from precinct.operators.hotspots import (  # noqa: E402
@@ -22,9 +22,10 @@ from precinct.operators.hotspots import (  # noqa: E402
     hotspots,
     hotspots_from_counts,
 )
+from precinct.operators.order import with_position  # noqa: E402
 from precinct.operators.patterns import historical_patterns, match_patterns  # noqa: E402
 from precinct.operators.temporal import temporal_patterns  # noqa: E402
-from precinct.plans import batch, stream  # noqa: E402
+from precinct.plans import batch, incremental, stream  # noqa: E402
 from precinct.plans.scratch import new_folder, stored  # noqa: E402
 from precinct.session import configure  # noqa: E402
 from precinct.sinks import documents, files as file_sinks, messages as message_sinks  # noqa: E402
@@ -398,6 +399,28 @@ def t2_pattern_stream(spark, folder):
     return _streamed("t2", lambda rows: match_patterns(rows, patterns))(spark, folder)
 
 
+def t2_renewed_stream(spark, folder):
+    """Patterns of half the history at first; all of it is built after the second micro-batch."""
+    path = new_folder(spark, "patterns")
+    history = tables.events(spark, folder).withColumnRenamed("crime_date", "date")
+    batch.build_patterns(history.filter("crime_id % 2 = 0"), path)
+    out, checkpoints = new_folder(spark, "collection"), new_folder(spark, "checkpoints")
+    once = documents.file_collection(out, "replay")
+
+    def write(rows, batch_id):
+        once(rows, batch_id)
+        if batch_id == 1:
+            batch.build_patterns(history, path)
+
+    own = replay.streaming_session(spark)
+    messages = file_messages(own, _published(spark, folder), files_per_trigger=8)
+    found = stream.matched(
+        records.incidents(messages), lambda session: batch.current_patterns(session, path)
+    )
+    runner.drain([runner.start(found, "t2_renewed", write, checkpoints, every=None)])
+    return spark.read.schema(found.schema).parquet(out).select(found.schema.fieldNames())
+
+
 def late_data(spark, folder):
     """The first slice of messages arrives once more at the end: all of it is too late."""
     path = new_folder(spark, "messages")
@@ -461,8 +484,7 @@ def _ordered(build) -> Query:
     """The report with the position of each row in its order."""
 
     def run(spark, folder):
-        report = build(tables.curated_orders(spark, folder))
-        return report.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+        return with_position(build(tables.curated_orders(spark, folder)))
 
     return run
 
@@ -476,6 +498,30 @@ def _published_report(name: str) -> Query:
     return run
 
 
+def _incremental_report(name: str) -> Query:
+    """The report after the last year was appended to a table whose totals are kept by year."""
+
+    def run(spark, folder):
+        path, kept = new_folder(spark, "curated"), new_folder(spark, "totals")
+        curated = tables.curated_orders(spark, folder)
+        last = curated.agg(F.max("year")).first()[0]
+        file_sinks.write_curated(curated.filter(F.col("year") < last), path, partition_by=["year"])
+        incremental.refresh(spark, path, kept)
+        newest = curated.filter(F.col("year") == last).drop("year")
+        newest.write.parquet(f"{path}/year={last}")
+        return incremental.build_reports(spark, path, kept)[name]
+
+    return run
+
+
+def box_incidents(spark, folder):
+    """Incidents of a small area in three months, from a table laid out for that."""
+    path = new_folder(spark, "laid-out")
+    batch.store_laid_out(tables.curated_orders(spark, folder), path, rows_per_file=2_000)
+    box = layout.Box(41.4, 41.7, -87.8, -87.6, 3, 5)
+    return layout.inside(files.curated(spark, path), box)
+
+
 _QUERIES: dict[str, Query] = {
     "b01_by_weekday": _report(reports.by_weekday),
     "b02_top_type_year": _report(reports.leading_type_per_year),
@@ -500,6 +546,10 @@ _QUERIES: dict[str, Query] = {
     "b07_by_month_published": _published_report("crimes_by_month"),
     "b08_domestic_arrests_published": _published_report("domestic_incidents_arrests"),
     "b09_top_type_season_published": _published_report("crimes_by_season"),
+    "b02_top_type_year_incremental": _incremental_report("most_common_crime_by_year"),
+    "b06_location_type_incremental": _incremental_report("dangerous_locations_by_crime_type"),
+    "b10_geo_distribution_incremental": _incremental_report(reports.GEOGRAPHIC_REPORT),
+    "box_incidents": box_incidents,
     "src_csv_raw": src_csv_raw,
     "src_csv_column_orders": src_csv_column_orders,
     "src_curated": src_curated,
@@ -542,6 +592,7 @@ _QUERIES: dict[str, Query] = {
         "t1_counts", lambda rows: runner.Result(hotspot_counts(rows), hotspots_from_counts)
     ),
     "t2_pattern_stream": t2_pattern_stream,
+    "t2_renewed_stream": t2_renewed_stream,
     "t3_violence_stream": _streamed("t3", violence_escalation),
     "t4_domestic_stream": t4_domestic_stream,
     "t4_hot_cell_stream": t4_hot_cell_stream,

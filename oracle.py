@@ -151,12 +151,12 @@ WHERE {closed}
 GROUP BY ws, geo_grid HAVING count(*) >= 2"""
 
 
-def _t2(base: str, source: str, per_location: bool = True) -> str:
+def _t2(base: str, source: str, per_location: bool = True, history: str = "ev") -> str:
     place = "location_description" if per_location else "CAST(NULL AS VARCHAR)"
     return f"""WITH {base}, hist AS (
     SELECT primary_type, {place} AS pattern_location, hour(crime_date) AS h, dayofweek(crime_date) + 1 AS d,
            count(*) AS historical_frequency
-    FROM ev GROUP BY ALL
+    FROM {history} GROUP BY ALL
 )
 SELECT s.crime_id, s.crime_date, s.primary_type, s.location_description,
        hist.pattern_location, hist.historical_frequency IS NOT NULL AS pattern_match,
@@ -307,6 +307,15 @@ _STREAMS = {
     "stream_temporal_patterns": _t5(_SENT, "sent", streamed=True),
 }
 
+# The first and last two of four slices of what is sent, and every second record of the history.
+_HALVES = """, middle AS (
+    SELECT epoch_us(min(event_time))
+           + (epoch_us(max(event_time)) + 1 - epoch_us(min(event_time))) * 2 // 4 AS moment FROM sent
+),
+early AS (SELECT sent.* FROM sent, middle WHERE epoch_us(event_time) < middle.moment),
+later AS (SELECT sent.* FROM sent, middle WHERE epoch_us(event_time) >= middle.moment),
+half AS (SELECT * FROM ev WHERE crime_id % 2 = 0)"""
+
 ORACLE: dict[str, str] = {
     "b01_by_weekday": _total("day_of_week"),
     "b02_top_type_year": _top("year"),
@@ -338,6 +347,12 @@ ORACLE: dict[str, str] = {
     "b07_by_month_published": _total("month"),
     "b08_domestic_arrests_published": _total("arrest", "domestic"),
     "b09_top_type_season_published": _top("season"),
+    "b02_top_type_year_incremental": _top("year"),
+    "b06_location_type_incremental": _total("location_description, primary_type"),
+    "b10_geo_distribution_incremental": _total("year, latitude, longitude"),
+    "box_incidents": f"""WITH {_CURATED}
+SELECT * FROM cur WHERE latitude BETWEEN 41.4 AND 41.7 AND longitude BETWEEN -87.8 AND -87.6
+     AND month BETWEEN 3 AND 5""",
     "src_csv_raw": f"WITH {_RAW} SELECT * FROM raw",
     "src_csv_column_orders": f"WITH {_RAW} SELECT * FROM raw",
     "src_curated": f"WITH {_CURATED} SELECT * FROM cur",
@@ -405,6 +420,8 @@ FROM ({_t2(_EVENTS, "inc")})""",
     "t5_temporal_sketch_stream": _STREAMS["stream_temporal_patterns"],
     "t1_hotspots_stream": _STREAMS["stream_crime_hotspots"],
     "t2_pattern_stream": _STREAMS["stream_pattern_analysis"],
+    "t2_renewed_stream": f"""SELECT * FROM ({_t2(_SENT + _HALVES, "early", history="half")})
+UNION ALL SELECT * FROM ({_t2(_SENT + _HALVES, "later")})""",
     "t3_violence_stream": _STREAMS["stream_violence_escalation"],
     "t4_domestic_stream": _STREAMS["stream_domestic_correlation"],
     "t5_temporal_stream": _STREAMS["stream_temporal_patterns"],

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from precinct.operators.records import to_messages
-from precinct.plans import batch, stream
+from precinct.plans import batch, incremental, stream
 from precinct.plans.scratch import release, stored
 from precinct.session import build_session
 from precinct.sinks import documents, files as file_sinks, jdbc, messages
@@ -23,10 +23,16 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--raw", required=True)
     job.add_argument("--curated", required=True)
     job.add_argument("--show", action="store_true")
+    job.add_argument(
+        "--lay-out", action="store_true", help="sort along a curve over place and month"
+    )
 
     job = jobs.add_parser("reports", help="curated table to the report tables")
     job.add_argument("--curated", required=True)
     job.add_argument("--out", help="folder for Parquet reports")
+    job.add_argument(
+        "--totals", help="folder of totals by year: only years that changed are added up again"
+    )
     job.add_argument("--jdbc-url")
     job.add_argument("--jdbc-driver")
     job.add_argument("--jdbc-user", default="")
@@ -107,7 +113,10 @@ def _reports(spark, args) -> None:
             )
             jdbc.write_jdbc(frame, options)
 
-    batch.publish_reports(curated, write, args.incidents_table)
+    built = None
+    if args.totals:
+        built = incremental.build_reports(spark, args.curated, args.totals)
+    batch.publish_reports(curated, write, args.incidents_table, built)
 
 
 def _publish(spark, args) -> None:
@@ -142,7 +151,7 @@ def _stream(spark, args) -> None:
         runner.drain([parsing])
     results = stream.transformations(
         stream.stored_incidents(spark, f"{incidents}/accepted", schema),
-        batch.current_patterns(spark, args.patterns),
+        lambda session: batch.current_patterns(session, args.patterns),
         args.correlation_salts,
         "list" if args.list_types else "counts",
     )
@@ -150,6 +159,7 @@ def _stream(spark, args) -> None:
     if args.console:
         name = "stream_crime_hotspots"
         writers[name] = documents.to_all(writers[name], documents.console())
+    batch.current_patterns(spark, args.patterns)  # fails here if there are none
     queries = runner.start_all(results, writers, args.checkpoints, every)
     if args.once:
         runner.drain(queries.values())
@@ -168,7 +178,7 @@ def main() -> None:
 
 def _run(spark, args) -> None:
     if args.job == "etl":
-        curated = batch.build_curated(spark, args.raw, args.curated)
+        curated = batch.build_curated(spark, args.raw, args.curated, args.lay_out)
         if args.show:
             file_sinks.preview(curated)
     elif args.job == "reports":

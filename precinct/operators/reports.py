@@ -9,7 +9,7 @@ with the group key, so order is total and no sort key can hold most rows.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from precinct.schema import VIOLENT_TYPES
@@ -41,11 +41,14 @@ def _totals(source: DataFrame, *keys: str, name: str = "total_crimes") -> DataFr
 
 
 def _leading(totals: DataFrame, group: str) -> DataFrame:
-    """Largest total per group; equal totals go to the first type by name."""
-    order = Window.partitionBy(group).orderBy(F.desc("total_crimes"), "primary_type")
-    return (
-        totals.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == 1).orderBy(group)
-    )
+    """Largest total per group; equal totals go to the first type by name.
+
+    An aggregate that is combined before the shuffle: no group is sorted.
+    """
+    order = F.struct((-F.col("total_crimes")).alias("less"), F.col("primary_type").alias("type"))
+    best = F.min_by(F.struct("primary_type", "total_crimes"), order).alias("best")
+    found = totals.groupBy(group).agg(best).select(group, "best.*", F.lit(1).alias("rank"))
+    return found.orderBy(group)
 
 
 def by_weekday(source: DataFrame) -> DataFrame:
@@ -89,8 +92,13 @@ def leading_type_per_season(source: DataFrame) -> DataFrame:
     return _leading(_totals(source, "season", "primary_type"), "season")
 
 
-def geographic_distribution(curated: DataFrame) -> DataFrame:
-    return _totals(curated, "year", "latitude", "longitude").orderBy(
+def place_totals(curated: DataFrame) -> DataFrame:
+    """Row count per year and place, for the geographic report."""
+    return _totals(curated, "year", "latitude", "longitude", name=ROWS)
+
+
+def geographic_distribution(source: DataFrame) -> DataFrame:
+    return _totals(source, "year", "latitude", "longitude").orderBy(
         "year", F.desc("total_crimes"), "latitude", "longitude"
     )
 

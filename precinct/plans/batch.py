@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from precinct.operators import etl, patterns, reports
+from precinct.operators import etl, layout, patterns, reports
 from precinct.plans.scratch import stored
 from precinct.sinks.files import write_curated
 from precinct.sources import files
@@ -12,12 +12,30 @@ from precinct.sources import files
 VERSION = "version-"
 
 
-def build_curated(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
-    """Curate raw CSV files into Parquet partitioned by year; one pass."""
-    write_curated(etl.curate(files.raw_csv(spark, raw_path)), curated_path, partition_by=["year"])
+def build_curated(
+    spark: SparkSession, raw_path: str, curated_path: str, lay_out: bool = False
+) -> DataFrame:
+    """Curate raw CSV files into Parquet partitioned by year; one pass.
+
+    ``lay_out`` sorts each year along a curve over place and month, for queries
+    of small areas; that takes a pass more, for the ranges of the columns.
+    """
+    curated = etl.curate(files.raw_csv(spark, raw_path))
+    if lay_out:
+        store_laid_out(curated, curated_path)
+    else:
+        write_curated(curated, curated_path, partition_by=["year"])
     return files.curated(spark, curated_path)
 
 
+def store_laid_out(
+    curated: DataFrame, path: str, rows_per_file: int | None = None, **options: str
+) -> None:
+    """Write curated incidents by year, laid out along the curve; ``options`` are the writer's."""
+    writer = layout.laid_out(curated, rows_per_file).write.mode("overwrite").options(**options)
+    writer.partitionBy("year").parquet(path)
+
+
 def build_reports(curated: DataFrame) -> dict[str, DataFrame]:
     """All ten reports; the incidents are scanned twice, however many reports are read.
 
@@ -31,10 +49,16 @@ def build_reports(curated: DataFrame) -> dict[str, DataFrame]:
 
 
 def publish_reports(
-    curated: DataFrame, write: Callable[[DataFrame, str], None], incidents_table: str = "incidents"
+    curated: DataFrame,
+    write: Callable[[DataFrame, str], None],
+    incidents_table: str = "incidents",
+    built: dict[str, DataFrame] | None = None,
 ) -> None:
-    """Hand every report, and the incidents themselves, to ``write(frame, table)``."""
-    for name, report in build_reports(curated).items():
+    """Hand every report, and the incidents themselves, to ``write(frame, table)``.
+
+    ``built`` are the reports, if they are there already.
+    """
+    for name, report in (built or build_reports(curated)).items():
         write(report, name)
     write(curated, incidents_table)
 

@@ -73,3 +73,10 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder."""
     system, folder = _open(spark, path)
     return system.getContentSummary(folder).getLength()
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, bytes and time of each visible file of a folder, in order."""
+    system, folder = _open(spark, path)
+    found = [(e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in system.listStatus(folder)]
+    return sorted(entry for entry in found if entry[0][0] not in "._")

@@ -77,14 +77,26 @@ def stored_incidents(
     return reader.parquet(path).withWatermark("event_time", WATERMARK_DELAY)
 
 
+def matched(
+    enriched: DataFrame, patterns: DataFrame | Callable[[SparkSession], DataFrame]
+) -> DataFrame | Result:
+    """Incidents matched with one table of patterns, or with the current one of each micro-batch."""
+    if isinstance(patterns, DataFrame):
+        return match_patterns(enriched, patterns)
+    return Result(enriched, lambda batch: match_patterns(batch, patterns(batch.sparkSession)))
+
+
 def transformations(
     enriched: DataFrame,
-    patterns: DataFrame,
+    patterns: DataFrame | Callable[[SparkSession], DataFrame],
     correlation_salts: int | None = None,
     types: str = "counts",
 ) -> dict[str, DataFrame | Result]:
     """Streaming results of a stream of incidents by collection name.
 
+    ``patterns`` is a stored table, or a function that finds the current one: it
+    is asked in every micro-batch, so that a rebuild is used from the next one on.
+
     ``correlation_salts`` splits the correlation state of every cell and time slot
     alike, instead of the busy cells that the ingest found. ``types`` is the
     form in which hotspots give their types (see ``hotspots``).
@@ -97,6 +109,6 @@ def transformations(
         "stream_crime_hotspots": Result(hotspot_counts(enriched), dense),
         "stream_violence_escalation": violence_escalation(enriched),
         "stream_domestic_correlation": domestic_correlation(enriched, salts=correlation_salts),
-        "stream_pattern_analysis": match_patterns(enriched, patterns),
+        "stream_pattern_analysis": matched(enriched, patterns),
         "stream_temporal_patterns": temporal_patterns(enriched),
     }

@@ -13,7 +13,7 @@ from precinct.operators.correlation import domestic_correlation
 from precinct.operators.escalation import violence_escalation
 from precinct.operators.hotspots import hotspot_counts, hotspots, hotspots_from_counts
 from precinct.operators.patterns import match_patterns
-from precinct.plans import stream
+from precinct.plans import batch, stream
 from precinct.sinks import documents
 from precinct.sources.streams import file_messages, kafka_options
 from precinct.streaming import runner
@@ -253,3 +253,24 @@ def test_topic_options():
     # Messages that are gone end the query, unless the caller says otherwise.
     assert options["failOnDataLoss"] == "true"
     assert kafka_options("h", "t", failOnDataLoss="false")["failOnDataLoss"] == "false"
+
+
+def test_patterns_are_renewed_while_the_stream_runs(spark, messages, tmp_path):
+    """A rebuild between two micro-batches is used by the second, without a restart."""
+    source, out, path = (str(tmp_path / name) for name in ("in", "out", "patterns"))
+    replay.write_slices(messages, source, slices=2, files=1)
+    history = entry.tables.events(spark, SMALL).withColumnRenamed("crime_date", "date")
+    batch.build_patterns(history.limit(0), path)
+    once = documents.file_collection(out, "s")
+
+    def write(rows, batch_id):
+        once(rows, batch_id)
+        if batch_id == 0:
+            batch.build_patterns(history, path)
+
+    rows = records.incidents(file_messages(spark, source, files_per_trigger=1))
+    found = stream.matched(rows, lambda session: batch.current_patterns(session, path))
+    _run(found, "renewed", write, tmp_path / "c")
+    by_batch = spark.read.parquet(out).groupBy("batch_id").agg(F.count_if("pattern_match").alias("n"))
+    matched = {r["batch_id"]: r["n"] for r in by_batch.collect()}
+    assert matched[0] == 0 and matched[1] > 0
