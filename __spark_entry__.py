@@ -433,41 +433,23 @@ def late_data(spark, folder):
     return result["late_data"]
 
 
-# What identifies a row of each collection, and three of its numbers.
-_START_ALL = {
-    "stream_crime_hotspots": (
-        ["window_start", "geo_grid"], ["crime_count", "avg_lat", "avg_lon"]
-    ),
-    "stream_violence_escalation": (
-        ["period_start", "geo_zone"], ["violent_incidents", "zone_lat", "arrest_effectiveness"]
-    ),
-    "stream_domestic_correlation": (
-        ["d_crime_id", "nd_crime_id"],
-        ["time_diff_minutes", "geographic_distance", "correlation_lat"],
-    ),
-    "stream_pattern_analysis": (
-        ["crime_id", "pattern_location"], ["historical_frequency", "anomaly_score", "crime_id"]
-    ),
-    "stream_temporal_patterns": (
-        ["analysis_start", "primary_type", "hour_of_day", "is_weekend"],
-        ["incident_count", "arrest_rate", "geographic_dispersion"],
-    ),
-}
-
-
 def start_all(spark, folder):
-    """All rows of the five collections: messages are ingested once, five queries run on them."""
+    """All columns of all rows of the five collections: messages are ingested once, five queries run on them."""
     source = _published(spark, folder)
     patterns = _stored_patterns(spark, folder)
     _, enriched = _ingested(spark, source)
     found = replay.collections_of(spark, stream.transformations(enriched, patterns))
+    found["stream_crime_hotspots"] = _FINISH["t1_counts"](found["stream_crime_hotspots"])
     combined = None
-    for name, (identity, numbers) in _START_ALL.items():
-        parts = [F.coalesce(F.col(x).cast("string"), F.lit("")) for x in identity]
+    for name in stream.COLLECTIONS:
+        kinds = dict(sorted(found[name].dtypes))
+        parts = [n for n, kind in kinds.items() if kind != "double"]
+        numbers = [F.round(n, 6) for n, kind in kinds.items() if kind == "double"]
+        numbers += [F.lit(None).cast("double")] * (4 - len(numbers))
         rows = found[name].select(
             F.lit(name).alias("collection"),
-            F.concat_ws("|", *parts).alias("identity"),
-            *(F.round(F.col(x).cast("double"), 6).alias(f"n{i}") for i, x in enumerate(numbers)),
+            F.concat_ws("|", *(F.coalesce(F.col(n).cast("string"), F.lit("")) for n in parts)).alias("values"),
+            *(number.alias(f"n{i}") for i, number in enumerate(numbers)),
         )
         combined = rows if combined is None else combined.unionByName(rows)
     return combined
@@ -612,8 +594,7 @@ try:  # the operators for corpora are optional: a library without them is whole
     import corpus_pipeline
     from precinct.llm import queries as corpus
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "precinct.llm"):
-        raise
+    print(f"without operators for training corpora: no module {missing.name}", file=sys.stderr)
     corpus = corpus_pipeline = None
 
 

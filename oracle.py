@@ -271,32 +271,42 @@ msg AS (
 )"""
 
 
-# Columns that identify a result of each collection, as text, and three numbers of it.
+# Columns of each collection in name order: what is compared as text, and as numbers.
 _COMPARED = {
     "stream_crime_hotspots": (
-        ["window_start", "geo_grid"], ["crime_count", "avg_lat", "avg_lon"]
+        ["crime_count", "crime_types", "crime_variety", "geo_grid", "hotspot_severity",
+         "window_end", "window_start"],
+        ["avg_lat", "avg_lon"],
     ),
     "stream_violence_escalation": (
-        ["period_start", "geo_zone"], ["violent_incidents", "zone_lat", "arrest_effectiveness"]
+        ["arrests_made", "assaults", "escalation_risk", "geo_zone", "homicides", "period_end",
+         "period_start", "violence_types", "violent_incidents"],
+        ["arrest_effectiveness", "zone_lat", "zone_lon"],
     ),
     "stream_domestic_correlation": (
-        ["d_crime_id", "nd_crime_id"],
-        ["time_diff_minutes", "geographic_distance", "correlation_lat"],
+        ["d_crime_id", "d_location", "d_primary_type", "geo_grid", "nd_crime_id", "nd_location",
+         "nd_primary_type"],
+        ["correlation_lat", "correlation_lon", "geographic_distance", "time_diff_minutes"],
     ),
     "stream_pattern_analysis": (
-        ["crime_id", "pattern_location"], ["historical_frequency", "anomaly_score", "crime_id"]
+        ["crime_date", "crime_id", "event_time", "historical_frequency", "location_description",
+         "pattern_location", "pattern_match", "primary_type"],
+        ["anomaly_score"],
     ),
     "stream_temporal_patterns": (
-        ["analysis_start", "primary_type", "hour_of_day", "is_weekend"],
-        ["incident_count", "arrest_rate", "geographic_dispersion"],
+        ["analysis_end", "analysis_start", "crime_intensity", "hour_of_day", "incident_count",
+         "is_weekend", "location_diversity", "primary_type", "time_category"],
+        ["arrest_rate", "geographic_dispersion"],
     ),
 }
 
 
-def _comparable(name: str, sql: str, identity: list[str], numbers: list[str]) -> str:
-    text = ", ".join(f"coalesce(CAST({x} AS VARCHAR), '')" for x in identity)
-    values = ", ".join(f"round(CAST({x} AS DOUBLE), 6) AS n{i}" for i, x in enumerate(numbers))
-    return f"SELECT '{name}' AS collection, concat_ws('|', {text}) AS identity, {values} FROM ({sql})"
+def _comparable(name: str, sql: str, texts: list[str], numbers: list[str]) -> str:
+    text = ", ".join(f"coalesce(CAST({x} AS VARCHAR), '')" for x in texts)
+    values = [f"round(CAST({x} AS DOUBLE), 6)" for x in numbers]
+    values += ["CAST(NULL AS DOUBLE)"] * (4 - len(values))
+    named = ", ".join(f"{value} AS n{i}" for i, value in enumerate(values))
+    return f"SELECT '{name}' AS collection, concat_ws('|', {text}) AS values, {named} FROM ({sql})"
 
 
 _STREAMS = {
@@ -307,6 +317,9 @@ _STREAMS = {
     "stream_temporal_patterns": _t5(_SENT, "sent", streamed=True),
 }
 
+# The job gives the types of a hotspot as counts.
+_COLLECTIONS = _STREAMS | {"stream_crime_hotspots": _t1(_SENT, "sent", counts=True, streamed=True)}
+
 # The first and last two of four slices of what is sent, and every second record of the history.
 _HALVES = """, middle AS (
     SELECT epoch_us(min(event_time))
@@ -453,6 +466,6 @@ SELECT key, CAST(CASE WHEN crime_id % 97 = 0 THEN 40 WHEN crime_id % 89 = 0 THEN
             ELSE len(value) + 1 END AS INTEGER) AS length, {_REASON} AS rejected_because
 FROM (SELECT *, CAST(key AS BIGINT) AS crime_id FROM msg) WHERE NOT ({_READABLE})""",
     "start_all": "\nUNION ALL\n".join(
-        _comparable(name, _STREAMS[name], *columns) for name, columns in _COMPARED.items()
+        _comparable(name, _COLLECTIONS[name], *columns) for name, columns in _COMPARED.items()
     ),
 }
