@@ -30,7 +30,7 @@ BLOCK = 512
 COORDINATES_FROM = 0.75
 COORDINATES = 4
 
-PACKED = "ids binary, cells binary, bounds binary, width int"
+PACKED = "ids binary, cells binary, bounds binary, width int, edge double"
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -51,13 +51,24 @@ def whole_numbers(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> D
 
 
 def pack(part: pd.DataFrame, bound: np.ndarray) -> dict:
-    """Rows as one value: ids, a matrix padded with zeros to the widest, and a bound each."""
+    """Rows as one value: ids, a matrix padded with zeros to the widest, and a bound each.
+
+    ``edge`` is the greatest length of vectors, and of queries the least length that a vector
+    needs to reach the bound of any of them.
+    """
     width = max((len(c) for c in part["cells"]), default=0)
     cells = np.zeros((len(part), width), np.int64)
     for row, own in zip(cells, part["cells"]):
         row[: len(own)] = own
     ids = part["vec_id"].to_numpy(np.int64)
-    return {"ids": ids.tobytes(), "cells": cells.tobytes(), "bounds": bound.tobytes(), "width": width}
+    if "bound" in part.columns:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            needed = np.where(bound > 0, bound / part["length"].to_numpy(np.float64), 0.0)
+        edge = float(needed.min(initial=np.inf))
+    else:
+        edge = float(bound.max(initial=0.0))
+    values = {"ids": ids, "cells": cells, "bounds": bound}
+    return {n: x.tobytes() for n, x in values.items()} | {"width": width, "edge": edge}
 
 
 def packer(rows: int, bound: str):
@@ -173,46 +184,56 @@ def search(queries, groups, k: int) -> Best:
     return best
 
 
-def searcher(k: int):
-    names = ["ids", "cells", "bounds", "width"]
+def found_rows(best: Best) -> pa.RecordBatch:
+    columns = (best.ids[best.rows], best.names, best.scores)
+    arrays = [pa.array(c, pa.int64()) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
+
+
+NAMES = ["ids", "cells", "bounds", "width"]
+
+
+def searcher(k: int, vectors=None):
+    """Blocks of queries with a group of vectors each, or all with the broadcast ``vectors``."""
+    broadcast = vectors is not None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 value = {n: c[row].as_py() for n, c in zip(batch.schema.names, batch.columns)}
-                best = search(
-                    unpacked(*(value[f"q_{n}"] for n in names)),
-                    unpacked(*(value[f"v_{n}"] for n in names)),
-                    k,
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(best.ids[best.rows], pa.int64()),
-                        pa.array(best.names, pa.int64()),
-                        pa.array(best.scores, pa.int64()),
-                    ],
-                    ["query_id", "vec_id", "score"],
-                )
+                queries = unpacked(*(value[f"q_{n}"] for n in NAMES))
+                groups = [vectors.value] if broadcast else [[value[f"v_{n}"] for n in NAMES]]
+                for group in groups:
+                    yield found_rows(search(queries, unpacked(*group), k))
 
     return run
 
 
-def met(queries: DataFrame, groups: DataFrame, many: int, k: int) -> DataFrame:
-    """The best of each query in each group of 0 .. many - 1, to all of which blocks are sent."""
-    sent = queries.select(
-        *(F.col(n).alias(f"q_{n}") for n in queries.columns),
-        F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("group"),
-    )
-    own = groups.select(
-        *(F.col(n).alias(f"v_{n}") for n in groups.columns if n != "group"), "group"
-    )
-    pairs = own.join(sent, "group").drop("group")
-    return importable(pairs).mapInArrow(searcher(k), FOUND)
+def named(frame: DataFrame, prefix: str, key: str) -> DataFrame:
+    return frame.select(key, *(F.col(n).alias(f"{prefix}_{n}") for n in NAMES))
+
+
+def met(queries: DataFrame, groups: DataFrame, k: int) -> DataFrame:
+    """The best of each query in every group that has vectors long enough.
+
+    Which block meets which group is settled by two numbers, spread over as many buckets as
+    there are groups; only then is anything sent.
+    """
+    many = max(1, groups.count())
+    bucket = F.pmod(F.xxhash64("group"), F.lit(many))
+    lengths = groups.select("group", "edge", bucket.alias("bucket"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(many - 1).cast("bigint")))
+    spread = queries.select("block", F.col("edge").alias("needed"), every.alias("bucket"))
+    near = F.col("edge") * (1 + 1e-9) >= F.col("needed")
+    pairs = spread.join(lengths, "bucket").filter(near).select("block", "group")
+    sent = pairs.join(named(queries, "q", "block"), "block").join(named(groups, "v", "group"), "group")
+    return importable(sent.drop("block", "group")).mapInArrow(searcher(k), FOUND)
 
 
 def blocks(queries: DataFrame) -> DataFrame:
-    """Queries with a ``bound`` in blocks; rows are dealt by a hash of their id."""
-    return importable(queries).mapInPandas(packer(BLOCK, "bound"), PACKED)
+    """Queries with a ``bound`` in numbered blocks; rows are dealt by a hash of their id."""
+    packed = importable(queries).mapInPandas(packer(BLOCK, "bound"), PACKED)
+    return stored(packed.withColumn("block", F.monotonically_increasing_id()), "query-blocks")
 
 
 def top_k(
@@ -241,22 +262,19 @@ def top_k(
     ordered = cells.repartitionByRange(many, F.desc("length"), "vec_id")
     ordered = ordered.sortWithinPartitions(F.desc("length"), "vec_id")
     packed = importable(ordered).mapInPandas(packer(size, "length"), PACKED)
-    groups = stored(packed.withColumn("group", F.spark_partition_id()), "buckets")
-    many = 1 + groups.agg(F.max("group")).first()[0]
-    # First bounds: each query against the longest vectors.
-    longest = cells.orderBy(F.desc("length"), "vec_id").limit(BUCKET).coalesce(1)
-    longest = importable(longest.sortWithinPartitions(F.desc("length"), "vec_id"))
-    first = longest.mapInPandas(packer(BUCKET, "length"), PACKED).withColumn("group", F.lit(0))
+    groups = stored(packed.withColumn("group", F.monotonically_increasing_id()), "buckets")
+    # First bounds: each query against the longest vectors, a fixed number.
+    longest = cells.orderBy(F.desc("length"), "vec_id").limit(BUCKET).toPandas()
+    longest = pack(longest, longest["length"].to_numpy(np.float64))
+    sent = vectors.sparkSession.sparkContext.broadcast([longest[n] for n in NAMES])
     spread = asked.repartition(max(1, -(-count // (size * 4))), "vec_id")
     unbound = blocks(spread.withColumn("bound", F.lit(float("-inf"))))
-    found = met(unbound, first, 1, k)
+    found = importable(named(unbound, "q", "block")).mapInArrow(searcher(k, sent), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     bounds = found.groupBy(F.col("query_id").alias("vec_id")).agg(
         F.when(F.count("*") >= k, F.min("score").cast("double")).alias("bound")
     )
     bound = F.coalesce("bound", F.lit(float("-inf")))
     known = spread.join(bounds, "vec_id", "left").withColumn("bound", bound)
-    ranked = met(blocks(known), groups, many, k).withColumn(
-        "rank", F.row_number().over(best)
-    )
+    ranked = met(blocks(known), groups, k).withColumn("rank", F.row_number().over(best))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -96,3 +96,28 @@ def test_repeated_rows_count_once(spark):
 def test_large_numbers_stay_exact(spark):
     rows = [(i, [float(2**20 + i), float(2**19 - 3 * i)], 0) for i in range(12)]
     check(spark, rows, 4)
+
+
+def test_no_cross_join_and_pruned_pairs(spark, small_blocks):
+    """Long and short vectors: most groups are too short for the bounds and are not sent."""
+    rng = np.random.default_rng(6)
+    rows = [
+        (i, (rng.normal(size=8) * (100.0 if i < 40 else 0.1)).tolist(), 0) for i in range(600)
+    ]
+    check(spark, rows, 50)
+    vectors = spark.createDataFrame(rows, SCHEMA)
+    frame = search.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+    cells = search.stored(search.whole_numbers(vectors, "vec_id", "embedding", 256), "vectors")
+    ordered = cells.repartitionByRange(20, search.F.desc("length"), "vec_id")
+    packed = ordered.sortWithinPartitions(search.F.desc("length")).mapInPandas(
+        search.packer(32, "length"), search.PACKED
+    )
+    groups = search.stored(packed.withColumn("group", search.F.monotonically_increasing_id()), "g")
+    known = cells.filter("vec_id % 50 = 0 AND vec_id < 40").withColumn("bound", search.F.col("length") * 200.0)
+    blocks = search.blocks(known)
+    needed = blocks.select("edge").collect()
+    edges = [r["edge"] for r in groups.select("edge").collect()]
+    assert 0 < sum(e >= min(n["edge"] for n in needed) for e in edges) < len(edges) / 2
