@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import importable
+from precinct.llm.common import importable, running
 from precinct.llm.top_k import products
 from precinct.plans.scratch import stored
 
@@ -94,16 +94,16 @@ def numbered(
     )
 
 
-def packer(most: int, with_tree: bool):
-    """Runs of at most ``most`` rows of a partition, each as one value."""
+def packer(with_tree: bool):
+    """The rows of a pack as one value."""
 
-    def pack(part: pd.DataFrame) -> dict:
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
         cells = np.zeros((len(part), max(map(len, part["cells"]))), np.int64)
         for row, own in zip(cells, part["cells"]):
             row[: len(own)] = own
         labels = part["label"].to_numpy(np.int64)
         tree = spanning_tree(cells) if with_tree else (np.empty(0),) * 3
-        return {
+        value = {
             "rows": part["row"].to_numpy(np.int64).tobytes(),
             "ids": part["vec_id"].to_numpy(np.int64).tobytes(),
             "labels": labels.tobytes(),
@@ -113,28 +113,27 @@ def packer(most: int, with_tree: bool):
             "label_set": np.unique(labels),
             "longest": float(np.linalg.norm(cells.astype(np.float64), axis=1).max()),
         }
+        return pd.DataFrame([value])
 
-    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame()
-        for part in parts:
-            held = pd.concat([held, part])
-            while len(held) >= most:
-                yield pd.DataFrame([pack(held.iloc[:most])])
-                held = held.iloc[most:]
-        if len(held):
-            yield pd.DataFrame([pack(held)])
-
-    return run
+    return pack
 
 
 def packs(rows: DataFrame, most: int, name: str, with_tree: bool) -> DataFrame:
-    """Rows in packs of like labels, stored, with a number ``name``."""
-    many = max(1, -(-rows.count() // most))
-    sorted_rows = rows.select("row", "vec_id", "label", "cells").repartitionByRange(
-        many, "label", "vec_id", "row"
-    )
-    sorted_rows = importable(sorted_rows.sortWithinPartitions("label", "vec_id", "row"))
-    packed = sorted_rows.mapInPandas(packer(most, with_tree), PACKED)
+    """Rows in packs of at most ``most``, stored, with a number ``name``.
+
+    Rows of a label are counted off into packs, however many there are and however they are
+    dealt to tasks; labels with fewer rows share packs.
+    """
+    counts = stored(rows.groupBy("label").agg(F.count("*").alias("many")), "labels")
+    total, small = counts.agg(F.sum("many"), F.sum(F.when(F.col("many") < most, F.col("many")))).first()
+    shared = F.pmod(F.xxhash64("label"), F.lit(max(1, -(-(small or 0) // most))))
+    home = F.when(F.col("many") < most, F.struct(F.lit(True).alias("shared"), shared.alias("of")))
+    home = home.otherwise(F.struct(F.lit(False).alias("shared"), F.col("label").alias("of")))
+    homed = rows.join(counts, "label").withColumn("home", home)
+    columns = ["row", "vec_id", "label", "cells", "home"]
+    counted = running(homed.select(columns), ["home"], ["row"], {"place": F.lit(1)}, total or 0)
+    packed = importable(counted.withColumn("pack", F.floor(F.col("place") / most)))
+    packed = packed.groupBy("home", "pack").applyInPandas(packer(with_tree), PACKED)
     return stored(packed.withColumn(name, F.monotonically_increasing_id()), name)
 
 

@@ -68,6 +68,17 @@ def test_one_label_holds_most(spark, small_packs):
     check(spark, rows, 10)
 
 
+def test_packs_are_bounded_however_rows_are_dealt(spark):
+    rows = [(i, i, 0 if i % 3 else i % 40, [i, 1]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "row bigint, vec_id bigint, label bigint, cells array<bigint>")
+    for parts in (1, 50):
+        made = mining.packs(frame.repartition(parts, "row"), 64, "block", True).collect()
+        sizes = [len(r["members"]) for r in made]
+        assert sum(sizes) == 900 and max(sizes) <= 64
+        assert len(made) <= 2 * 900 / 64
+        assert sorted(m for r in made for m in r["members"]) == list(range(900))
+
+
 def test_ties_and_repeated_rows(spark, small_packs):
     rows = [(i % 40, [float(i % 3), 1.0], i % 2) for i in range(120)]
     check(spark, rows, 8)
@@ -107,8 +118,7 @@ def pack(rows, with_tree):
     import pandas as pd
 
     frame = pd.DataFrame(rows, columns=["row", "vec_id", "label", "cells"])
-    (one,) = mining.packer(1 << 20, with_tree)([frame])
-    return mining.unpack(one.iloc[0].to_dict(), "")
+    return mining.unpack(mining.packer(with_tree)(frame).iloc[0].to_dict(), "")
 
 
 def test_bounds_hold_and_save_work():
