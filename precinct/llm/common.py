@@ -41,6 +41,13 @@ def held_out(doc_id: str | Column, parts: int, remainder: int) -> Column:
     return F.coalesce(crc % parts == remainder, F.lit(False))
 
 
+def window(text: str, size: int, row_id: str) -> Column:
+    """``size`` characters of a text from a place that a hash of the id draws, or all of it."""
+    room = F.greatest(F.char_length(text) - F.lit(size) + 1, F.lit(1))
+    begin = F.pmod(F.xxhash64(F.lit("window"), row_id), room) + 1
+    return F.substr(F.col(text), begin.cast("int"), F.lit(size))
+
+
 def importable(frame: DataFrame) -> DataFrame:
     """``frame``, after Python workers were told where this library lies.
 

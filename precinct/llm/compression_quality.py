@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import importable
+from precinct.llm.common import importable, window
 
 # Labelled texts that are collected for each label, and characters of each.
 SAMPLES = 2_000
@@ -106,7 +106,8 @@ def fit(
     """Learns from rows of ``labels`` with ``usable`` and a label of 0 or 1.
 
     About ``SAMPLES`` texts of each label are collected, chosen by a hash of their id,
-    whatever the size of the input; two of three go into the dictionaries and the others
+    whatever the size of the input, and of longer ones ``SAMPLE_CHARS`` characters from a
+    place drawn by another hash; two of three go into the dictionaries and the others
     into the curve. Without labels of both kinds, every text scores the share of good ones.
     """
     known = labels.filter(usable & F.col(label).isin(0, 1)).select(
@@ -122,7 +123,7 @@ def fit(
     rows = (
         docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "label", F.substr("text", F.lit(1), F.lit(SAMPLE_CHARS)).alias("text"))
+        .select("doc_id", "label", window("text", SAMPLE_CHARS, "doc_id").alias("text"))
         .filter(F.octet_length("text") > 0)
         .collect()
     )

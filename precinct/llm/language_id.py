@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import importable
+from precinct.llm.common import importable, window
 
 UNDETERMINED = "und"
 # Labelled text: so many passages for each language, each of so many characters.
@@ -203,8 +203,9 @@ def fit(
 ) -> tuple[tuple[str, str], ...]:
     """Labelled text by language, from rows with ``usable``, a language and a text.
 
-    Rows are chosen by a hash of their id. At most about ``PASSAGES`` passages of
-    ``PASSAGE_CHARS`` characters a language are collected, whatever the size of the input.
+    Rows, and the place of the passage in each text, are chosen by hashes of the id. At most
+    about ``PASSAGES`` passages of ``PASSAGE_CHARS`` characters a language are collected,
+    whatever the size of the input.
     """
     known = docs.filter(usable & docs[lang].isNotNull() & (F.octet_length(docs[text]) > 0))
     known = known.select(
@@ -225,7 +226,7 @@ def fit(
     chosen = (
         known.join(F.broadcast(share), "lang")
         .filter(draw < F.col("share"))
-        .select("lang", "doc_id", F.substr("text", F.lit(1), F.lit(PASSAGE_CHARS)).alias("text"))
+        .select("lang", "doc_id", window("text", PASSAGE_CHARS, "doc_id").alias("text"))
         .collect()
     )
     passages: dict[str, list[str]] = {}
@@ -242,8 +243,9 @@ def predict(
     """Adds ``lang_pred`` and ``score`` to all rows; columns of that name are replaced.
 
     A null text and a text without a letter are ``und`` with score 0, as is every text if
-    there was no labelled text. Equal rates go to the first language by name. Letters that
-    no labelled text has make a phrase each in every language. Rows are judged one by one;
+    there was no labelled text. Equal rates go to the first language by name. The ``SYMBOLS``
+    letters that labelled texts have most are told apart; all others count as one letter, so
+    languages of very many letters are told apart by their frequent ones only. Rows are judged one by one;
     an empty table gives an empty result. The score is 1 where no other language comes near.
     """
     kept = docs.drop("lang_pred", "score")

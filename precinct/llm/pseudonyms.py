@@ -129,31 +129,62 @@ class Card(Kind):
 
 
 class Phone(Kind):
-    """Ten digits in North American writing, with or without a country code, which stays."""
+    """Ten digits in North American writing, with or without a country code, which stays.
+
+    Areas begin with 2 to 9, before and after. So do exchanges, but those that do not, as
+    in made-up numbers, are hidden too and stay among themselves.
+    """
 
     name = "phone"
     pattern = r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
 
+    @staticmethod
+    def fresh(digits: str, cipher: Feistel, back: bool) -> str | None:
+        area, exchange, line = int(digits[:3]), int(digits[3:6]), int(digits[6:])
+        if area < 200:
+            return None
+        first, many = (200, 800) if exchange >= 200 else (0, 200)
+        number = ((area - 200) * many + exchange - first) * 10_000 + line
+        number = cipher.permute(number, 800 * many * 10_000, Phone.name, back)
+        rest, line = divmod(number, 10_000)
+        area, exchange = divmod(rest, many)
+        return f"{area + 200}{exchange + first:03d}{line:04d}"
+
     def swap(self, found, cipher, back):
         digits = digits_of(found[0])
-        head, body = digits[:-10], digits[-10:]
-        number = cipher.permute(int(body), 10**10, self.name, back)
-        return in_places(found[0], head + str(number).zfill(10), is_digit)
+        body = self.fresh(digits[-10:], cipher, back)
+        return body and in_places(found[0], digits[:-10] + body, is_digit)
+
+
+# Country codes of one and two digits in the public numbering plan; all others
+# have three, and no code begins another.
+SHORT_CODES = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 
 
 class WorldPhone(Kind):
-    """A plus sign, a country code and 7 to 12 more digits in groups; the code stays."""
+    """A plus sign, a country code and 7 to 12 more digits, in groups or not; the code stays.
+
+    Behind the code 1 there must be a number in the North American plan, and it gets the same
+    pseudonym as in its other writings.
+    """
 
     name = "world_phone"
-    pattern = r"(?<![\w.+])\+(?!1\D)(\d{1,3})((?:[ .-]?\(?\d+\)?){2,5})(?!\w)"
+    pattern = (
+        rf"(?<![\w.+])\+(?!1\D)({SHORT_CODES}|(?!{SHORT_CODES})\d{{3}})"
+        r"((?:[ .-]?\(?\d+\)?){2,5})(?!\w)"
+    )
     between = re.compile(r"[ .-]|(?<![ .-])\(")
 
     def swap(self, found, cipher, back):
         body = digits_of(found[2])
-        if not 7 <= len(body) <= 12:
-            return None
-        number = cipher.permute(int(body), 10 ** len(body), self.name, back)
-        return f"+{found[1]}" + in_places(found[2], str(number).zfill(len(body)), is_digit)
+        if found[1] == "1":
+            fresh = Phone.fresh(body, cipher, back) if len(body) == 10 else None
+        elif 7 <= len(body) <= 12:
+            kind = f"{self.name}:{found[1]}"
+            fresh = str(cipher.permute(int(body), 10 ** len(body), kind, back)).zfill(len(body))
+        else:
+            fresh = None
+        return fresh and f"+{found[1]}" + in_places(found[2], fresh, is_digit)
 
 
 class SocialNumber(Kind):
@@ -224,21 +255,52 @@ class Mail(Kind):
         return mixed(head, cipher, f"{self.name}:{top.lower()}", back) + dot + top
 
 
+class Token(Kind):
+    """Access keys that are known by how they begin, which stays."""
+
+    name = "token"
+    # Beginnings of public kinds of access keys.
+    begins = r"(?:(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))|gh[pousr]_(?=[A-Za-z0-9]{36}))"
+    pattern = rf"(?<![A-Za-z0-9_])({begins})([A-Za-z0-9]{{16,255}})(?![A-Za-z0-9])"
+
+    def swap(self, found, cipher, back):
+        return found[1] + mixed(found[2], cipher, f"{self.name}:{found[1]}", back)
+
+
 class Secret(Kind):
-    """Long hexadecimal values that are given to a name like token, secret, key or password."""
+    """Long values that are given to a name like token, secret, key or password.
+
+    They are hexadecimal, or have letters as well as digits.
+    """
 
     name = "secret"
     pattern = (
         r"(?i:(?:token|secret|api_?key|access_?key|password|passwd))['\"]?\s{0,3}[:=]\s{0,3}['\"]?"
-        r"([0-9a-fA-F]{16,128})(?![0-9A-Za-z])"
+        r"([0-9A-Za-z+/_-]{16,128})(?![0-9A-Za-z+/_-])"
     )
+    known = re.compile(Token.pattern, re.ASCII)
+
+    @staticmethod
+    def is_hexadecimal(value: str) -> bool:
+        return all(c in "0123456789abcdefABCDEF" for c in value)
 
     def swap(self, found, cipher, back):
         value = found[1]
-        number = cipher.permute(int(value, 16), 16 ** len(value), self.name, back)
-        fresh = f"{number:0{len(value)}x}"
-        if not any(c in "abcdef" for c in value):
-            fresh = fresh.upper()
+        token = self.known.fullmatch(value)
+        if token:
+            fresh = Token().swap(token, cipher, back)
+        elif self.is_hexadecimal(value):
+            number = cipher.permute(int(value, 16), 16 ** len(value), self.name, back)
+            fresh = f"{number:0{len(value)}x}"
+            if not any(c in "abcdef" for c in value):
+                fresh = fresh.upper()
+        elif any(map(is_digit, value)) and any(c.isalpha() for c in value):
+            # Others stay no hexadecimal numbers and no tokens, so that they come back as what they were.
+            fresh = mixed(value, cipher, self.name, back)
+            while self.is_hexadecimal(fresh) or self.known.fullmatch(fresh):
+                fresh = mixed(fresh, cipher, self.name, back)
+        else:
+            return None
         return found[0][: found.start(1) - found.start()] + fresh
 
 
@@ -269,8 +331,9 @@ class Date(Kind):
         while True:
             number = cipher.permute(number, self.days, self.name, back)
             fresh = datetime.date.fromordinal(self.first + number)
-            # A day of up to 12 in front of a slash would be read as a month: go on.
-            if not (form.startswith("%d") and mark == "/" and fresh.day <= 12):
+            # A day of up to 12 in front of a slash would be read as a month. So days up to 12
+            # stay so, and days above, in all forms: a date has one pseudonym.
+            if (fresh.day <= 12) == (day.day <= 12):
                 return fresh.strftime(form.format(mark))
 
 
@@ -304,6 +367,7 @@ def mixed(text: str, cipher: Feistel, kind: str, back: bool) -> str:
 KINDS = (
     Mail(),
     Secret(),
+    Token(),
     Address(),
     AccountNumber(),
     SocialNumber(),
@@ -312,8 +376,8 @@ KINDS = (
     WorldPhone(),
     Card(),
 )
-# Every value has a digit or an at sign; text around none of them is not searched.
-HINT = re.compile("[0-9@]")
+# Every value has a digit, an at sign or a known beginning; other text is not searched.
+HINT = re.compile("[0-9@]|AKIA|ASIA|gh[pousr]_")
 
 
 @lru_cache(1)

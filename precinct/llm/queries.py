@@ -29,22 +29,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op9_metric_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the size of its shingle set and its component of similar ones."""
     return near_components(table(spark, folder, "documents"), words=4, percent=85)
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its counts and whether the rules keep it."""
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     judged = quality_rules(table(spark, folder, "documents"))
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
 def op1_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text with pseudonyms for personal data and secrets, and the kinds found."""
     hidden = pseudonymise(table(spark, folder, "documents"), KEY)
     kinds = F.array_join(F.array_sort(F.map_keys("replaced")), ",")
     return hidden.select("doc_id", "text", "n_replaced", kinds.alias("kinds"))
 
 
 def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every text, learnt from labels that are not held out."""
     docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
     model = compression_quality.fit(docs, labels, ~held_out("doc_id", 5, 0))
     scored = compression_quality.score(docs, model)
@@ -57,6 +61,7 @@ def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard of 16, with nearly equal bytes."""
     sharded = shard_documents(table(spark, folder, "documents"), shards=16)
     return sharded.select(
         "doc_id",
@@ -70,6 +75,7 @@ def op3_best_fit_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_cross_parsing(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text, learnt from documents that are not held out."""
     docs = table(spark, folder, "documents")
     samples = language_id.fit(docs, ~held_out("doc_id", 3, 1))
     judged = language_id.predict(docs.select("doc_id", "text"), samples)
@@ -79,20 +85,24 @@ def op4_cross_parsing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence notices of every document."""
     docs = table(spark, folder, "documents")
     return licenses.licenses(docs, licenses.scan(docs, licenses.fit(docs)))
 
 
 def op6_mix_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that the mix takes of every document."""
     return words_taken(*mix(table(spark, folder, "documents")))
 
 
 def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best products of every fiftieth vector."""
     vectors = table(spark, folder, "embeddings")
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
 
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every text's token ids, and of the bytes they decode to."""
     return encode_documents(table(spark, folder, "documents"), TOKENIZER, keep_ids=False)
 
 
