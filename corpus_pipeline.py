@@ -17,7 +17,8 @@ from precinct.llm.near_join import without_near_copies
 from precinct.llm.pseudonyms import pseudonymise
 from precinct.plans.scratch import stored
 
-# In production the key comes from a store of secrets.
+# The session's setting that holds the key of the pseudonyms; without it, as in tests, a fixed one.
+KEY_SETTING = "spark.precinct.pseudonyms.key"
 KEY = b"pseudonyms of the corpus pipeline"
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -46,7 +47,8 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal data; ``n_chars`` follows the text."""
-    hidden = pseudonymise(docs.select(COLUMNS), KEY)
+    key = spark.conf.get(KEY_SETTING, None)
+    hidden = pseudonymise(docs.select(COLUMNS), key.encode() if key else KEY)
     n_chars = F.char_length("text").cast("long")
     return hidden.withColumn("n_chars", n_chars).select(COLUMNS)
 
@@ -63,7 +65,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, with digests of the ids and of the bytes they decode to."""
+    """Token ids of every row, with digests of the ids and of the bytes they decode to.
+
+    Null texts have no tokens; an empty table gives an empty result.
+    """
     return encode_documents(docs, TOKENIZER)
 
 
