@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from precinct.llm.common import importable
 
 # Characters encoded together, and entries in the cache of merged pieces.
-CHUNK = 1 << 21
-CACHE = 300_000
+CHUNK = 1 << 20
+CACHE = 150_000
 
 # Classes of characters. White space and apostrophes are classed with what follows them.
 LETTER, NUMBER, OTHER = 0, 1, 2

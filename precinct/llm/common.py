@@ -111,6 +111,13 @@ def running(
     )
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of ``rows`` rows, so that no more of them are held as objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pieces(
     batches: Iterable[pa.RecordBatch], text: str, most_chars: int
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -31,7 +31,7 @@ MOST_LANGUAGES = 256
 # Letters an automaton tells apart; rarer ones count as one.
 SYMBOLS = 96
 SEGMENT = 512
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 # How fast the score falls as a second language comes close.
 SHARPNESS = 12.0
 
@@ -128,7 +128,13 @@ class Model:
             self.roots.append(base * self.width)
             self.bits.append(np.log2(max(2, len(own))))
             base += states
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.uint32)
+        # Put together one by one, so that no table is held twice.
+        self.table = np.empty(base * self.width, np.uint32)
+        end = len(self.table)
+        while tables:
+            own = tables.pop().ravel()
+            self.table[end - len(own) : end] = own
+            end -= len(own)
 
     def phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each lane (a column of symbols) by language; longest lanes first."""
@@ -189,9 +195,15 @@ class Model:
         return names, score
 
 
-@lru_cache(2)
+_held: dict[tuple[tuple[str, str], ...], Model] = {}
+
+
 def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
-    return Model(samples)
+    """The model of a worker, built once; an older one goes first."""
+    if samples not in _held:
+        _held.clear()
+        _held[samples] = Model(samples)
+    return _held[samples]
 
 
 def fit(

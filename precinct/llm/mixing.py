@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precinct.llm.common import WORD, free_name, importable, running, word_count
+from precinct.llm.common import slices as in_slices
 from precinct.plans.scratch import stored
 
 # Most sources: a recipe has a row for each, which the driver reads.
@@ -246,7 +247,7 @@ def cutter(text: int, parts: int):
     word = re.compile(WORD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             rows, pieces, shards, slots = [], [], [], []
             for row, (body, drawn) in enumerate(zip(batch.column(text), batch.column(parts))):
                 body = body.as_py() or ""

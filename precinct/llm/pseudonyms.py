@@ -25,7 +25,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from precinct.llm.common import importable
+from precinct.llm.common import importable, slices
 
 ROUNDS = 8
 
@@ -488,7 +488,7 @@ def pseudonymise(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cipher = Feistel(key)
-        for batch in batches:
+        for batch in slices(batches):
             fresh, totals, kinds = [], [], []
             for body in batch.column(place).to_pylist():
                 new, counts = (None, {}) if body is None else replace(body, cipher, back)
