@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from precinct.llm.common import importable
+from precinct.llm.common import importable, worker_table
 
 # Characters encoded together, and entries in the cache of merged pieces.
 CHUNK = 1 << 20
@@ -398,10 +398,12 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-@lru_cache(2)
 def vocabulary(ranks: bytes) -> Vocabulary:
-    pairs = (line.split() for line in ranks.splitlines() if line)
-    return Vocabulary({base64.b64decode(token): int(rank) for token, rank in pairs})
+    def build() -> Vocabulary:
+        pairs = (line.split() for line in ranks.splitlines() if line)
+        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in pairs})
+
+    return worker_table(("vocabulary", ranks), build)
 
 
 def cuts(text: str, most: int) -> Iterator[str]:

@@ -1,7 +1,8 @@
 """Helpers that several corpus operators share."""
 
+import gc
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from math import isqrt
 from pathlib import Path
 
@@ -111,6 +112,23 @@ def running(
     )
 
 
+_kept: dict = {}
+
+
+def worker_table(key, build: Callable):
+    """What ``build()`` makes, kept by this worker for its later tasks.
+
+    One at a time: workers outlive a stage, and the tables of an earlier one would stay.
+    ``worker_table(None, ...)`` only drops what is there.
+    """
+    if key not in _kept:
+        _kept.clear()
+        gc.collect()
+        if key is not None:
+            _kept[key] = build()
+    return _kept.get(key)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in runs of ``rows`` rows, so that no more of them are held as objects."""
     for batch in batches:

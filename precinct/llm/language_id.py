@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.common import importable, window
+from precinct.llm.common import importable, window, worker_table
 
 UNDETERMINED = "und"
 # Labelled text: so many passages for each language, each of so many characters.
@@ -195,15 +195,8 @@ class Model:
         return names, score
 
 
-_held: dict[tuple[tuple[str, str], ...], Model] = {}
-
-
 def model_of(samples: tuple[tuple[str, str], ...]) -> Model:
-    """The model of a worker, built once; an older one goes first."""
-    if samples not in _held:
-        _held.clear()
-        _held[samples] = Model(samples)
-    return _held[samples]
+    return worker_table(("language", samples), lambda: Model(samples))
 
 
 def fit(

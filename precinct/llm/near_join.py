@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import free_name, importable, running
+from precinct.llm.common import free_name, importable, running, worker_table
 from precinct.llm.components import components
 from precinct.llm.shingles import Scheme, chunks, digests, shingle_sets
 from precinct.plans.scratch import discard, stored
@@ -53,6 +53,7 @@ def per_text(docs: DataFrame, words: int, name: str, schema: str, build) -> Data
     """Runs ``build(ids, hashes, sizes)`` over the shingle sets of ``name data``, in chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table(None, None)
         slices = (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512))
         for rows in slices:
             texts = [x or b"" for x in rows.column(1).to_pylist()]

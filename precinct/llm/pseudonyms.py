@@ -25,7 +25,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from precinct.llm.common import importable, slices
+from precinct.llm.common import importable, slices, worker_table
 
 ROUNDS = 8
 
@@ -487,6 +487,7 @@ def pseudonymise(
     names = [*kept.columns, "n_replaced", "replaced"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table(None, None)
         cipher = Feistel(key)
         for batch in slices(batches):
             fresh, totals, kinds = [], [], []
