@@ -21,113 +21,14 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from precinct.llm.notices import NOTICES, UNKNOWN, lessons
 from precinct.plans.scratch import stored
 
-UNKNOWN = "unknown"
-
-# How licences are named and what their notices say.
-NOTICES = {
-    "agpl": (
-        "Licensed under the GNU Affero General Public License, version 3.",
-        "SPDX-License-Identifier: AGPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU Affero General Public License as published by the Free Software Foundation.",
-    ),
-    "apache": (
-        "Licensed under the Apache License, Version 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
-        "file except in compliance with the License.",
-        "Unless required by applicable law or agreed to in writing, software distributed under "
-        'the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY '
-        "KIND, either express or implied.",
-    ),
-    "bsd": (
-        "Released under the BSD License.",
-        "Licensed under the BSD 3-Clause License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met:",
-        "Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer.",
-    ),
-    "cc-by": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ),
-    "cc-by-nc": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-        "International License.",
-    ),
-    "cc-by-sa": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-        "International License.",
-    ),
-    "gpl": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation.",
-    ),
-    "lgpl": (
-        "Licensed under the GNU Lesser General Public License, version 3.",
-        "SPDX-License-Identifier: LGPL-3.0-or-later",
-        "This library is free software; you can redistribute it and/or modify it under the terms "
-        "of the GNU Lesser General Public License as published by the Free Software Foundation.",
-    ),
-    "mit": (
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "SPDX-License-Identifier: MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        'software and associated documentation files (the "Software"), to deal in the Software '
-        "without restriction.",
-        "The above copyright notice and this permission notice shall be included in all copies "
-        "or substantial portions of the Software.",
-    ),
-    "mpl": (
-        "Licensed under the Mozilla Public License, version 2.0.",
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ),
-    "proprietary": (
-        "All rights reserved.",
-        "Copyright by the author. All rights reserved.",
-        "No part of this publication may be reproduced, distributed, or transmitted in any form "
-        "without the prior written permission of the publisher.",
-    ),
-    "public-domain": (
-        "This work is in the public domain.",
-        "Released under CC0 1.0 Universal.",
-        "This is free and unencumbered software released into the public domain.",
-        "To the extent possible under law, the author has waived all copyright and related or "
-        "neighboring rights to this work.",
-    ),
-}
-
-# Sentences with words of notices that license nothing.
-OTHERS = (
-    "The driver had no license and the car was registered under another name.",
-    "The version of the story that the public knows is reserved and free of color.",
-    "All seats in the hall are reserved for the members of the foundation.",
-    "You need permission of the owner to use the road in the following conditions.",
-    "The copyright office is open to the public from ten to four.",
-    "Civil rights are not for sale, and all rights matter.",
-    "The warranty of the machine covers all parts for two years.",
-    "The terms of the agreement were not published.",
-    "Permission denied: the file could not be opened.",
-    "A license to fish is sold in the general store.",
-    "The software was released in version 3 and the source is distributed in two parts.",
-    "The library lends copies of public documents free of charge.",
-    "He studied at MIT and wrote on modified forms of distribution.",
-)
-
 # Words of notices. Lines with one are the hard negatives, of which the model learns more.
 HINTS = (
     r"(?i)licen[cs]|copyright|rights reserved|public domain|spdx|permission|permitted"
-    r"|redistribut|warrant|creative commons|cc0|prior written|©"
+    r"|redistribut|warrant|creative commons|cc0|prior written|©|\bgnu\b|\b[al]?gpl|\bmpl\b"
+    r"|\bcc by|\beupl\b|proprietary|prohibited"
 )
 
 # Paragraphs of the corpus that the model learns as unknown.
@@ -135,12 +36,12 @@ SAMPLE = 2_000
 # Share of a notice's terms that a paragraph must have.
 CONFIRMED = 0.6
 # Lines of the corpus that have more of a notice may be one, and are not learned as unknown.
-DOUBTFUL = 0.3
+DOUBTFUL = 0.4
 # Words of the longest notice; windows of twice as many begin at each multiple.
 LONGEST = max(len(re.findall("[A-Za-z0-9]+", n)) for own in NOTICES.values() for n in own)
 # Lines that are empty but for marks of a comment end a run.
 BLANK = r"\n(?:[\s/*#;%!-]*\n)+"
-MARKS = r"(?:^|\n)[\s/*#;%!-]*(?:(?:rem|REM|dnl)\s)?"
+MARKS = r"(?:^|\n)[\s/*#;%!-]*(?:(?:rem|dnl)\s)?"
 
 
 @dataclass(frozen=True)
@@ -179,20 +80,9 @@ def literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 
 def examples(spark: SparkSession) -> DataFrame:
-    """``family line part``: notices, whole and without their first or last words, and others.
-
-    Those of part 1 are for calibration only.
-    """
-    rows = []
-    for family, notices in NOTICES.items():
-        for notice in notices:
-            words = notice.split()
-            for cut in range(min(4, max(1, len(words) // 3))):
-                rows.append((family, " ".join(words[cut:]), cut % 2))
-                rows.append((family, " ".join(words[: len(words) - cut]), cut % 2))
-    rows += [(UNKNOWN, line, i % 4 // 3) for i, line in enumerate(OTHERS)]
-    named = [{"family": f, "line": x, "part": p} for f, x, p in rows]
-    return literal(spark, named, "family: string, line: string, part: int")
+    """``family line part`` of the lines that the model learns from, and of those it does not."""
+    named = [{"family": f, "line": x, "part": p} for f, x, p in lessons()]
+    return literal(spark, named, "family: string, line: string, part: int").distinct()
 
 
 def lines_of(docs: DataFrame, keep) -> DataFrame:
@@ -240,10 +130,15 @@ def fit(docs: DataFrame) -> Model:
     doubtful = shares(drawn, ["line"], DOUBTFUL).select("line").distinct()
     lines = drawn.select("line").distinct().join(doubtful, "line", "left_anti")
     plain = lines.orderBy(~F.col("line").rlike(HINTS), F.xxhash64("line")).limit(SAMPLE)
-    unknown = plain.select(
-        F.lit(UNKNOWN).alias("family"), "line", (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 0).cast("int").alias("part")
+    unknown = stored(plain.withColumn("terms", terms(F.col("line"))), "unknown")
+    lesson = unknown.select(
+        F.lit(UNKNOWN).alias("family"),
+        "line",
+        (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 0).cast("int").alias("part"),
+        "terms",
     )
-    known = stored(examples(spark).unionByName(unknown).withColumn("terms", terms(F.col("line"))), "examples")
+    made = examples(spark).withColumn("terms", terms(F.col("line")))
+    known = stored(made.unionByName(lesson), "examples")
     families = (*sorted(NOTICES), UNKNOWN)
     number = F.array_position(F.array(*(F.lit(f) for f in families)), F.col("family")) - 1
     rows = known.withColumn("label", number.cast("double"))
@@ -252,11 +147,13 @@ def fit(docs: DataFrame) -> Model:
     counter = CountVectorizer(inputCol="terms", outputCol="features", binary=True, vocabSize=20_000)
     vocabulary = counter.fit(learned.join(examples(spark).select("line").distinct(), "line", "left_semi"))
     kind = LogisticRegression(
-        family="multinomial", regParam=2e-4, elasticNetParam=0.5, maxIter=60, standardization=False
+        family="multinomial", regParam=1e-4, elasticNetParam=0.5, maxIter=60, standardization=False
     )
-    # The share of unknown paragraphs says nothing about notices, so classes weigh the same.
-    weight = F.when(F.col("family") == UNKNOWN, 0.25).otherwise(F.lit(1.0))
-    fitted = kind.setWeightCol("weight").fit(vocabulary.transform(learned.withColumn("weight", weight)))
+    # How many lines name a family says nothing about how often it is named, so each weighs the same.
+    among = learned.groupBy("family").count()
+    heavy = F.when(F.col("family") == UNKNOWN, F.lit(8.0)).otherwise(F.lit(1.0))
+    weighed = learned.join(F.broadcast(among), "family").withColumn("weight", heavy / F.col("count"))
+    fitted = kind.setWeightCol("weight").fit(vocabulary.transform(weighed))
     matrix = fitted.coefficientMatrix.toArray()
     present = [i for i in range(matrix.shape[0])]
     weights = tuple(
@@ -271,7 +168,7 @@ def fit(docs: DataFrame) -> Model:
     cases = [(int(r["label"]), list(r["margins"])) for r in judged]
     model = calibrated(raw, cases)
     table = literal(spark, [{"term": t} for t, _ in weights], "term: string")
-    used = known.filter(F.col("family") == UNKNOWN).select(F.explode("terms").alias("term"))
+    used = unknown.select(F.explode("terms").alias("term"))
     counted = used.join(F.broadcast(table), "term").groupBy("term").count().collect()
     return replace(model, counts=tuple(sorted((r["term"], r["count"]) for r in counted)))
 
@@ -318,8 +215,8 @@ def needed(model: Model) -> str:
     """A pattern found in every lower-case paragraph that can pass the bound.
 
     For each family, some terms can be left out as long as all of them together do not reach
-    what the bound needs; a paragraph that passes has one of the others. Left out are the
-    terms that are most frequent for what they add.
+    what the bound needs; a paragraph that passes has one of the others. Left out are
+    frequent terms, also for what they add, whichever way leaves the rarest others.
     """
     last, counts = len(model.families) - 1, dict(model.counts)
     strong = set()
@@ -329,14 +226,26 @@ def needed(model: Model) -> str:
         if room <= 0:
             return ""
         gains = [(w[f] - w[last], t) for t, w in model.weights if w[f] > w[last]]
-        for gain, term in sorted(gains, key=lambda x: (-counts.get(x[1], 0) / x[0], *x)):
-            if gain < room:
-                room -= gain
-            else:
-                strong.add(term)
+        ways = [
+            sorted(gains, key=lambda x: (-counts.get(x[1], 0) / x[0] ** power, *x))
+            for power in (0.0, 0.5, 1.0)
+        ]
+        kept = [above(room, way) for way in ways]
+        strong |= min(kept, key=lambda terms: sum(counts.get(t, 0) for t in terms))
     return r"(?<![a-z0-9])(?:" + branches(strong) + r")(?![a-z0-9])" if strong else r"(?!)"
 
 
+def above(room: float, gains: list[tuple[float, str]]) -> set[str]:
+    """The terms that are left when those that fit into ``room`` are taken, in this order."""
+    left = set()
+    for gain, term in gains:
+        if gain < room:
+            room -= gain
+        else:
+            left.add(term)
+    return left
+
+
 def branches(words: set[str]) -> str:
     """Alternatives by first character, so that few are tried at each place."""
     out = []
@@ -424,10 +333,15 @@ def wrapped(runs: DataFrame, model: Model, passes) -> DataFrame:
     """``doc_id run line family probability shared`` for notices in runs of several lines.
 
     Windows that have enough of a notice are narrowed to the words most like it, as many as
-    the notice has; the model has to find its family in these.
+    the notice has; the model has to find its family in these. Words that stand in one line
+    are left to the scan of lines.
     """
     several = runs.filter(F.col("body").contains("\n"))
-    spread = several.select("doc_id", "run", words_of(F.regexp_replace("body", MARKS, " ")).alias("w"))
+    # The first word of a line carries the line break.
+    broken = F.regexp_replace(F.lower("body"), MARKS, "\n")
+    broken = F.regexp_replace(broken, "\n[^a-z0-9\n]+", "\n")
+    words = F.regexp_extract_all(broken, F.lit("(\n?[a-z0-9]+)"))
+    spread = several.select("doc_id", "run", words.alias("w"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - LONGEST - 1, F.lit(0)), F.lit(LONGEST))
     cut = F.transform(starts, lambda i: F.array_join(F.slice("w", i + 1, 2 * LONGEST), " "))
     windows = spread.select("doc_id", "run", F.explode(F.filter(cut, passes)).alias("window"))
@@ -449,12 +363,13 @@ def wrapped(runs: DataFrame, model: Model, passes) -> DataFrame:
     tried = tried.withColumn(
         "shared", F.size(F.array_intersect("wanted", "terms")) / F.size("wanted")
     ).filter(F.col("shared") >= CONFIRMED)
+    within = ~F.substring("line", 2, 1 << 30).contains("\n")
     best = tried.groupBy("run", "notice").agg(
-        F.max(F.struct("shared", "line", "family")).alias("best")
-    )
-    best = stored(
-        best.select("run", "best.*").distinct().withColumn("terms", terms(F.col("line"))), "narrowed"
+        F.max(F.struct("shared", within.alias("within"), "line", "family")).alias("best")
     )
+    found = best.select("run", "best.*").filter(~F.col("within")).drop("within").distinct()
+    found = found.withColumn("line", F.replace("line", F.lit("\n"), F.lit("")))
+    best = stored(found.withColumn("terms", terms(F.col("line"))), "narrowed")
     lines = best.select("line", "terms").dropDuplicates(["line"])
     agreed = best.drop("terms").join(judged(lines, model, ["line"]), ["line", "family"])
     top = agreed.groupBy("run", "family").agg(
@@ -468,15 +383,16 @@ def licenses(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataF
     """``doc_id n_notices families probability`` for every document.
 
     Counts confirmed notices; ``families`` lists theirs by name, "" if there is none, and
-    ``probability`` is the least certain one's (0 if there is none).
+    ``probability`` is the least certain one's (0 if there is none). Rows that repeat an id,
+    and so those without one, are one document whose counts stand in each row.
     """
-    sure = found.filter("confirmed").groupBy("doc_id").agg(
+    sure = found.filter("confirmed").groupBy(F.col("doc_id").alias("of_doc")).agg(
         F.count("*").alias("n"),
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("names"),
         F.min("probability").alias("least"),
     )
     kept = docs.select(docs[doc_id].alias("doc_id"))
-    return kept.join(sure, "doc_id", "left").select(
+    return kept.join(sure, F.col("doc_id").eqNullSafe(F.col("of_doc")), "left").select(
         "doc_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"),
         F.coalesce("names", F.lit("")).alias("families"),
