@@ -102,6 +102,20 @@ def notice_table(spark: SparkSession) -> DataFrame:
     return rows.withColumn("wanted", terms(F.col("notice")))
 
 
+def notice_keys(spark: SparkSession) -> DataFrame:
+    """``notice term``: whatever has ``CONFIRMED`` of a notice's terms has one of its keys.
+
+    As many terms as may be missing, and one more; pairs and long words are seldom met.
+    """
+    table = notice_table(spark).select("notice", "wanted")
+    longest = F.reverse(F.array_sort(F.transform("wanted", lambda t: F.struct(F.length(t), t))))
+    missing = F.size("wanted") - F.ceil(F.size("wanted") * CONFIRMED - 1e-9)
+    keys = F.slice(longest, F.lit(1), missing.cast("int") + 1)
+    return table.select("notice", F.explode(keys).alias("key")).select("notice", "key.*").toDF(
+        "notice", "length", "term"
+    ).drop("length")
+
+
 def shares(paragraphs: DataFrame, keys: list[str], least: float) -> DataFrame:
     """``keys notice part`` where rows with ``terms`` have at least this part of a notice."""
     wanted = notice_table(paragraphs.sparkSession).select(
@@ -286,9 +300,9 @@ def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
     body = F.coalesce(docs[text], F.lit(""))
     runs = docs.select(docs[doc_id].alias("doc_id"), F.explode(F.split(body, BLANK)).alias("body"))
     runs = stored(
-        runs.filter((F.octet_length("body") > 0) & passes(F.col("body")))
-        .distinct()
-        .withColumn("run", F.xxhash64("body")),
+        runs.filter((F.octet_length("body") > 0) & passes(F.col("body"))).withColumn(
+            "run", F.xxhash64("body")
+        ),
         "runs",
     )
     lines = runs.select(
@@ -341,22 +355,23 @@ def wrapped(runs: DataFrame, model: Model, passes) -> DataFrame:
     broken = F.regexp_replace(F.lower("body"), MARKS, "\n")
     broken = F.regexp_replace(broken, "\n[^a-z0-9\n]+", "\n")
     words = F.regexp_extract_all(broken, F.lit("(\n?[a-z0-9]+)"))
-    spread = several.select("doc_id", "run", words.alias("w"))
+    spread = several.select("run", words.alias("w"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - LONGEST - 1, F.lit(0)), F.lit(LONGEST))
     cut = F.transform(starts, lambda i: F.array_join(F.slice("w", i + 1, 2 * LONGEST), " "))
-    windows = spread.select("doc_id", "run", F.explode(F.filter(cut, passes)).alias("window"))
-    windows = windows.distinct().withColumn("place", F.xxhash64("window"))
-    windows = stored(windows.withColumn("terms", terms(F.col("window"))), "windows")
-    near = shares(windows.select("run", "place", "terms").distinct(), ["run", "place"], CONFIRMED)
-    # Equal windows of equal runs are narrowed once.
-    near = near.join(F.broadcast(notice_table(runs.sparkSession)), "notice")
-    bodies = windows.select("run", "place", F.split("window", " ").alias("w")).distinct()
+    windows = spread.select("run", F.explode(F.filter(cut, passes)).alias("window"))
+    # Tables of notices are of fixed size. Only windows with a key of a notice are shuffled.
+    spark = runs.sparkSession
+    keyed = windows.select("run", "window", F.explode(terms(F.col("window"))).alias("term"))
+    met = keyed.join(F.broadcast(notice_keys(spark)), "term").select("run", "window", "notice")
+    near = met.distinct().join(F.broadcast(notice_table(spark)), "notice")
+    part = F.size(F.array_intersect("wanted", terms(F.col("window")))) / F.size("wanted")
+    near = near.filter(part >= CONFIRMED).withColumn("w", F.split("window", " "))
     last = F.greatest(F.size("w") - F.col("length"), F.lit(0))
     narrow = F.transform(
         F.sequence(F.lit(0), last),
         lambda i: F.array_join(F.slice("w", i + 1, F.col("length")), " "),
     )
-    tried = near.join(bodies, ["run", "place"]).select(
+    tried = near.select(
         "run", "notice", "family", "wanted", F.explode(narrow).alias("line")
     )
     tried = tried.distinct().withColumn("terms", terms(F.col("line")))
