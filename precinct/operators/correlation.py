@@ -20,7 +20,7 @@ _CARRIED = {
 }
 
 
-def _slot(moment: Column, slot: int) -> Column:
+def slot_of(moment: Column, slot: int = SLOT_SECONDS) -> Column:
     return F.floor(F.unix_timestamp(moment) / slot)
 
 
@@ -29,7 +29,7 @@ def touched_slots(
 ) -> Column:
     """The slots of the interval that ends at ``moment``; its own slot is the last."""
     earliest = F.timestamp_add("MINUTE", F.lit(-minutes), moment)
-    return F.sequence(_slot(earliest, slot), _slot(moment, slot))
+    return F.sequence(slot_of(earliest, slot), slot_of(moment, slot))
 
 
 def _side(
@@ -87,7 +87,7 @@ def domestic_correlation(
     d_time, nd_time = F.col("d_event_time"), F.col("nd_event_time")
     slots = F.posexplode(touched_slots(d_time, minutes, slot)).alias("d_place", "d_slot")
     domestic = domestic.select("*", slots)
-    others = others.withColumn("nd_slot", _slot(nd_time, slot))
+    others = others.withColumn("nd_slot", slot_of(nd_time, slot))
     match = (
         (F.col("d_cell_lat") == F.col("nd_cell_lat"))
         & (F.col("d_cell_lon") == F.col("nd_cell_lon"))

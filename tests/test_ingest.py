@@ -225,3 +225,23 @@ def test_without_messages_there_are_folders_and_no_rows(spark, tmp_path):
     assert target.read(spark, "accepted").isEmpty() and target.last(spark).get("latest") is None
     rows = stream.stored_incidents(spark, target.folder("accepted"), schema)
     assert rows.isStreaming
+
+
+def test_a_backlog_of_many_slots_is_not_taken_for_a_crowd(spark, tmp_path):
+    """Eight slots in one micro-batch give the rate of a slot, also where sketches are short."""
+    source, whole = str(tmp_path / "in"), str(tmp_path / "whole")
+    crowd(spark, source, 8)
+    spark.read.parquet(source).coalesce(1).write.parquet(whole)
+    first = BASE // SLOT_SECONDS
+    for slots in (72, 2):
+        busy, place = Busy(rows_per_state=10, slots=slots), tmp_path / str(slots)
+        target, _ = run(spark, whole, place / "out", place / "c", busy=busy)
+        state = target.last(spark)
+        assert [sketch["slot"] for sketch in state["sketches"]] == [first]
+        assert state["cells"] == {"41.5_-87.75": [[first + 8, 4]]}
+    # A second backlog begins a sketch of its own; the rate stays what it was.
+    later = spark.read.parquet(whole).withColumn("timestamp", F.expr("timestamp + INTERVAL 80 MINUTES"))
+    later.coalesce(1).write.mode("append").parquet(whole)
+    target, _ = run(spark, whole, place / "out", place / "c", busy=busy)
+    assert len(target.last(spark)["sketches"]) == 2
+    assert target.last(spark)["cells"] == state["cells"]
