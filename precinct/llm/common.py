@@ -1,5 +1,6 @@
 """Helpers that several corpus operators share."""
 
+import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 # The white space that separates words.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+# Rows of an Arrow batch: the JVM and the worker each hold one per task.
+BATCH_ROWS = 2_048
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,8 +57,11 @@ def importable(frame: DataFrame) -> DataFrame:
     """``frame``, after Python workers were told where this library lies.
 
     They need it where the driver has the library by ``sys.path`` only, as in local runs; on
-    a cluster it is shipped with the job.
+    a cluster it is shipped with the job. Workers get batches of ``BATCH_ROWS`` rows at most.
     """
+    conf = frame.sparkSession.conf
+    if not 0 < int(conf.get(_ARROW_ROWS)) <= BATCH_ROWS:
+        conf.set(_ARROW_ROWS, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     environment = frame.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -122,13 +129,23 @@ def worker_table(key, build: Callable):
     ``worker_table(None, ...)`` only drops what is there.
     """
     if key not in _kept:
-        _kept.clear()
-        gc.collect()
+        if _kept:
+            _kept.clear()
+            give_back()
         if key is not None:
             _kept[key] = build()
     return _kept.get(key)
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system: it stays idle while other stages run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in runs of ``rows`` rows, so that no more of them are held as objects."""
     for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import free_name, importable, running, worker_table
+from precinct.llm.common import free_name, give_back, importable, running, worker_table
 from precinct.llm.components import components
 from precinct.llm.shingles import Scheme, chunks, digests, shingle_sets
 from precinct.plans.scratch import discard, stored
@@ -60,6 +60,8 @@ def per_text(docs: DataFrame, words: int, name: str, schema: str, build) -> Data
             for begin, part in chunks(texts):
                 hashes, sizes = shingle_sets(part, words)
                 yield build(rows.column(0).slice(begin, len(part)), hashes, sizes)
+        rows = texts = part = hashes = sizes = None
+        give_back()
 
     return importable(docs.select(name, "data")).mapInArrow(run, schema)
 
@@ -381,6 +383,7 @@ def shared_parts(data: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = bitmap(repeated)
     discard(repeated)
     shared = stored(signed(data, words, percent, wanted).distinct(), "parts")
+    wanted.destroy()
     for _ in range(PRUNINGS):
         before, parts = shared, shared.select("signature", "node", "class", "need")
         parts = parts.join(meetings(parts), "signature")

@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 ALL = 0xFFFFFFFFFFFFFFFF
 

@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from precinct.llm import near_join
+from precinct.llm import common, near_join
 from precinct.llm.components import components
 from precinct.llm.near_join import near_components
 from precinct.llm.shingles import Scheme, digests, shingle_sets
@@ -170,3 +171,17 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 100 for i in range(100, 161)} | {i: 0 for i in range(50)} | {51: 51, 52: 51}
     assert found == want
     assert components(frame.limit(0)).count() == 0
+
+
+def test_workers_get_small_batches_and_forget_their_table(spark):
+    """An executor's workers hold a batch per task, and nothing of an operator that is done."""
+    def sizes(batches):
+        for batch in batches:
+            common.worker_table("table", lambda: [0])
+            common.worker_table(None, None)
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "kept": [len(common._kept)]})
+
+    rows = spark.range(3 * common.BATCH_ROWS).coalesce(1)
+    found = common.importable(rows).mapInArrow(sizes, "n bigint, kept bigint").collect()
+    assert [row["n"] for row in found] == [common.BATCH_ROWS] * 3
+    assert {row["kept"] for row in found} == {0}
