@@ -17,6 +17,11 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting a store's rows, for a metric only, reads each key again when it is written or
+    # removed. (``numRowsTotal`` of a query's progress is 0 without it.)
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # The default of 8 MB is less than the blocks that a micro-batch removes again.
+    "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "32",
 }
 
 

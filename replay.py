@@ -19,15 +19,17 @@ def write_slices(messages: DataFrame, path: str, slices: int = 4, files: int = 8
     Returns the bounds of the ranges. A stream that reads ``files`` files per
     trigger gets one slice per micro-batch. Without messages the folder is empty.
     """
-    moment = F.unix_micros("timestamp")
-    sent = stored(messages.repartitionByRange(slices * files, "timestamp"), "sent")
-    low, high = sent.agg(F.min(moment), F.max(moment)).first()
+    # A number, by whose bounds in the files a slice skips the others.
+    timed = messages.withColumn("_moment", F.unix_micros("timestamp"))
+    sent = stored(timed.repartitionByRange(slices * files, "_moment"), "sent")
+    low, high = sent.agg(F.min("_moment"), F.max("_moment")).first()
     if low is None:
-        publish_files(sent, path)
+        publish_files(sent.drop("_moment"), path)
         return []
     bounds = [low + (high + 1 - low) * i // slices for i in range(slices + 1)]
     for begin, end in zip(bounds, bounds[1:]):
-        publish_slice(sent, path, begin, end, files)
+        own = sent.filter((F.col("_moment") >= begin) & (F.col("_moment") < end))
+        publish_files(own.drop("_moment").repartition(files), path)
     return bounds
 
 

@@ -274,3 +274,16 @@ def test_patterns_are_renewed_while_the_stream_runs(spark, messages, tmp_path):
     by_batch = spark.read.parquet(out).groupBy("batch_id").agg(F.count_if("pattern_match").alias("n"))
     matched = {r["batch_id"]: r["n"] for r in by_batch.collect()}
     assert matched[0] == 0 and matched[1] > 0
+
+
+def test_state_reads_a_key_once(spark, tmp_path):
+    """A key that is new is looked up once, not again to count the rows of the store."""
+    source = str(tmp_path / "in")
+    spark.range(200).selectExpr("id", "timestamp_seconds(id + 1) AS t").write.parquet(source)
+    rows = replay.streaming_session(spark).readStream.schema("id bigint, t timestamp").parquet(source)
+    counts = rows.withWatermark("t", "10 days").groupBy("t", "id").count()
+    query = runner.start(counts, "gets", lambda batch, _: batch.collect(), str(tmp_path / "c"), None)
+    runner.drain([query])
+    store = query.recentProgress[0]["stateOperators"][0]
+    assert store["numRowsUpdated"] == 200
+    assert store["customMetrics"]["rocksdbGetCount"] == 200
