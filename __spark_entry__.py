@@ -151,9 +151,12 @@ def sink_foreachbatch(spark, folder):
 def sink_packed(spark, folder):
     """Sixteen micro-batches, each written twice, in a collection that packs four at a time."""
     source = new_folder(spark, "messages")
-    replay.write_slices(_messages(spark, folder), source, slices=16, files=1)
+    messages = _messages(spark, folder)
+    # A file for each slot of the machine, but no file without rows.
+    files = max(1, min(spark.sparkContext.defaultParallelism, messages.count() // 1_000))
+    replay.write_slices(messages, source, slices=16, files=files)
     target = Collection(new_folder(spark, "collection"), "session-1", pack=4)
-    enriched = records.incidents(file_messages(spark, source, files_per_trigger=1))
+    enriched = records.incidents(file_messages(spark, source, files_per_trigger=files))
     twice = documents.to_all(target.write, target.write)
     checkpoints = new_folder(spark, "checkpoints")
     runner.drain([runner.start(enriched, "sink_packed", twice, checkpoints, every=None)])

@@ -287,3 +287,26 @@ def test_state_reads_a_key_once(spark, tmp_path):
     store = query.recentProgress[0]["stateOperators"][0]
     assert store["numRowsUpdated"] == 200
     assert store["customMetrics"]["rocksdbGetCount"] == 200
+
+
+def test_packed_slices_have_files_for_all_slots(spark, tmp_path, monkeypatch):
+    """Sixteen micro-batches, of as many files as the machine has slots."""
+    made = spark.range(4_000).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestamp_ntz '2024-01-01 00:00:00'").alias("ts"),
+        (F.col("id") % 7).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.lit('{"k": 1}').alias("props"),
+    )
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    batches, real = [], entry.Collection.write
+
+    def write(self, batch, batch_id):
+        batches.append((batch_id, batch.rdd.getNumPartitions()))
+        real(self, batch, batch_id)
+
+    monkeypatch.setattr(entry.Collection, "write", write)
+    found = entry.sink_packed(spark, str(tmp_path))
+    assert found.count() == found.select("crime_id").distinct().count() == 4_000
+    assert sorted({batch_id for batch_id, _ in batches}) == list(range(16))
+    assert all(parts > 1 for _, parts in batches)
