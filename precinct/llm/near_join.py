@@ -15,7 +15,10 @@ The join uses it with pivots, sets that all others around them are measured agai
    the nearest, and to other regions whose radius, plus the wished distance, reaches it.
    This repeats, as long as it makes regions smaller.
 4. What remains is divided into rings of that width around the pivot and into blocks of
-   bounded size. Pairs of blocks in the same or in neighbouring rings are compared exactly.
+   bounded size. For pairs of blocks in the same or in neighbouring rings, sketches tell which
+   sets cannot be similar to any other. The whole sets of the rest are compared exactly. Two
+   sets are looked at in the first of the regions that they share, and only if the links
+   found so far leave them apart.
 
 Links are the exact ones, or follow from exact ones: sets linked to the same pivot are one
 component without a link of their own.
@@ -34,9 +37,13 @@ from precinct.llm.components import components
 from precinct.llm.shingles import Scheme, chunks, digests, shingle_sets
 from precinct.plans.scratch import discard, stored
 
-# Shingles in a block, and in a region from which on it elects more pivots.
+# Shingles in a region that is joined in one task, and in one that elects more pivots.
 BLOCK = 1 << 15
-LARGE = 1 << 21
+LARGE = 1 << 24
+# Shingles in a block, as a multiple: only sketches of them are copied to pairs of blocks.
+SKETCHED = 32
+# Words of 64 bits that pairs of sketches take at once.
+AT_ONCE = 1 << 20
 PIVOTS = 8
 LEVELS = 4
 # Rounds in which sets are dropped that share too few parts.
@@ -170,6 +177,28 @@ def distance() -> Column:
     return 1 - F.col("common") / union()
 
 
+def measured_around(inside: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """``inside`` measured against all ``pivots`` of its region, a row for each of them.
+
+    Each member is moved to its region once, with all pivots and not once for each.
+    """
+    right = around(sets, "id", pivots.select("pivot")).select(F.col("id").alias("pivot"), "cells")
+    held = pivots.join(right, "pivot").groupBy("region").agg(
+        F.collect_list(F.struct("pivot", "cells")).alias("_pivots")
+    )
+    left = around(sets, "id", inside.select("id")).select("id", F.col("cells").alias("_a"))
+    each = F.transform(
+        "_pivots",
+        lambda p: F.struct(
+            p["pivot"].alias("pivot"),
+            F.size(p["cells"]).cast("long").alias("m"),
+            F.size(F.array_intersect("_a", p["cells"])).cast("long").alias("common"),
+        ),
+    )
+    counted = inside.join(left, "id").join(held, "region")
+    return counted.select(*inside.columns, F.size("_a").cast("long").alias("n"), F.inline(each))
+
+
 class Found:
     """Links, kept as stored tables until they are joined."""
 
@@ -187,7 +216,7 @@ class Found:
 
 
 def open_members(regions: DataFrame, width: float) -> DataFrame:
-    """Members of ``region id d n is_home`` that may have links that are not known yet.
+    """Members of ``region origin id d n is_home`` that may have links that are not known yet.
 
     Those within ``width`` of the pivot are linked to it and one component. They are needed
     for the others only, and only from the least distance on at which there are others,
@@ -216,8 +245,8 @@ def divided(regions: DataFrame, sets: DataFrame, percent: int, level: int, large
     draw = F.pmod(F.xxhash64(F.lit(level), "region", "id"), F.lit(1 << 40)) / float(1 << 40)
     elected = inside.filter((F.col("d") > width) & (draw < PIVOTS / F.col("open")))
     pivots = stored(elected.select("region", F.col("id").alias("pivot")), "pivots")
-    pairs = inside.select("region", "id", "is_home").join(pivots, "region")
-    far = stored(measured(pairs, sets).withColumn("d", distance()), "measured")
+    members = inside.select("region", "origin", "id", "is_home")
+    far = stored(measured_around(members, pivots, sets).withColumn("d", distance()), "measured")
     found.add(
         far.filter(linked(percent) & (F.col("id") != F.col("pivot"))).select(
             F.col("id").alias("a"), F.col("pivot").alias("b")
@@ -234,25 +263,136 @@ def divided(regions: DataFrame, sets: DataFrame, percent: int, level: int, large
     within = placed.join(reach, ["region", "pivot"]).filter(
         F.col("is_home") | (F.col("d") <= F.col("radius") + width + 1e-9)
     )
-    cells = stored(within.select("region", "pivot", "id", "d", "n", "is_home"), "voronoi")
-    # Where windows copy nearly all to all, a region is better left to blocks.
-    grown = cells.groupBy("region").agg(F.sum("n").alias("copied")).join(big, "region")
-    better = grown.filter(F.col("copied") < (PIVOTS / 2) * F.col("weight")).select("region")
+    cells = stored(within.select("region", "origin", "pivot", "id", "d", "n", "is_home"), "voronoi")
+    # Where windows copy so much that there are not half as many pairs, blocks are better.
+    copied = cells.groupBy("region", "pivot").agg(F.sum("n").alias("copied"))
+    grown = copied.groupBy("region").agg(F.sum(F.pow("copied", F.lit(2))).alias("pairs"))
+    fewer = 2 * F.col("pairs") < F.pow("weight", F.lit(2))
+    better = grown.join(big, "region").filter(fewer).select("region")
     split = cells.join(better, "region").select(
-        F.xxhash64("region", "pivot").alias("region"), "id", "d", "n", "is_home"
+        F.xxhash64("region", "pivot").alias("region"), "origin", "id", "d", "n", "is_home"
     )
     kept = regions.join(better, "region", "left_anti").select(*split.columns)
     return stored(kept.union(split), "regions"), True
 
 
+def parity(cells: np.ndarray) -> bytes:
+    """A sketch of a set: a bit for each hash value, with the parity of its shingles.
+
+    Two sketches differ in no more bits than their sets in shingles. There are at least two
+    bits a shingle, and as many as a power of two, so that a long sketch can be folded.
+    """
+    bits = max(64, 1 << int(2 * len(cells) - 1).bit_length())
+    odd = np.bincount(cells & np.int64(bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """``id bits``: the sketch of each set."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1)
+            ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+            bits = [parity(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["id", "bits"])
+
+    return importable(sets.select("id", "cells")).mapInArrow(run, "id bigint, bits binary")
+
+
+def possible(part: pd.DataFrame, percent: int, width: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows, of the two blocks of a group, that may be similar and are not linked yet.
+
+    The sketches bound how much two sets differ. Rows have ``side id n d is_home bits comp``
+    and ``others``, the regions besides this one in which a set is compared, too.
+    """
+    side, n, d, home, comp = (part[x].to_numpy() for x in ("side", "n", "d", "is_home", "comp"))
+    one_block, ball = bool((side == 0).all()), d <= width
+    lengths = [len(x) for x in part["others"]]
+    names = np.concatenate([np.zeros(0, np.int64), *part["others"]]).astype(np.int64)
+    _, number, times = np.unique(names, return_inverse=True, return_counts=True)
+    # Two sets are compared in another region, if one comes before this one that has both.
+    row, several = np.repeat(np.arange(len(part)), lengths), times[number] > 1
+    place = (np.cumsum(times > 1) - 1)[number[several]]
+    seen = np.zeros((len(part), (int((times > 1).sum()) + 63) // 64), np.uint64)
+    bit = np.uint64(1) << (place & 63).astype(np.uint64)
+    np.bitwise_or.at(seen, (row[several], place >> 6), bit)
+    words = np.array([len(x) // 8 for x in part["bits"]])
+
+    def table(rows: np.ndarray, wide: int) -> np.ndarray:
+        held = np.frombuffer(b"".join(part["bits"].iloc[rows]), np.uint64).reshape(len(rows), -1)
+        return held if held.shape[1] == wide else held[:, :wide] ^ held[:, wide:]
+
+    for wide in np.unique(words).tolist():
+        same, twice = np.flatnonzero(words == wide), np.flatnonzero(words == 2 * wide)
+        for left, right in ((same, same), (same, twice), (twice, same)):
+            left, right = left[side[left] <= 0], right[side[right] >= 0]
+            if not len(left) or not len(right):
+                continue
+            ours, theirs = table(left, wide), table(right, wide)
+            step = max(1, AT_ONCE // (len(right) * wide))
+            for at in range(0, len(left), step):
+                a, b = left[at : at + step, None], right[None, :]
+                both = n[a] + n[b]
+                ok = (comp[a] != comp[b]) & (home[a] | home[b]) & ~(ball[a] & ball[b])
+                ok &= np.abs(d[a] - d[b]) <= width + 1e-9
+                ok &= a < b if one_block else a != b
+                differ = np.bitwise_count(ours[at : at + step, None] ^ theirs[None]).sum(2, dtype=np.int64)
+                ok &= (both - differ) * (100 + percent) >= 2 * percent * both
+                x, y = np.nonzero(ok)
+                x, y = left[at + x], right[y]
+                fresh = ~((seen[x] & seen[y]) != 0).any(1)
+                yield x[fresh], y[fresh]
+
+
+def involved(percent: int, width: float):
+    """Rows of a group that may be similar to another one."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.reset_index(drop=True)
+        needed = np.zeros(len(part), bool)
+        for x, y in possible(part, percent, width):
+            needed[x] = needed[y] = True
+        return part[needed]
+
+    return run
+
+
 def leaf(percent: int, width: float):
-    """Compares the two blocks of a group; gives the links of a spanning forest."""
+    """Compares what may be similar in a group; gives the links of a spanning forest."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        cells = [np.asarray(c, dtype=np.int64) for c in part["cells"]]
-        side = part["side"].to_numpy()
-        ids, d, home = (part[name].to_numpy() for name in ("id", "d", "is_home"))
-        return forest(ids, cells, d, home, side <= 0, side >= 0, percent, width)
+        cells = [np.sort(np.asarray(c, dtype=np.int64)) for c in part["cells"]]
+        sizes = np.array([len(c) for c in cells])
+        ids, parent = part["id"].to_numpy(), np.arange(len(part))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        _, first, same = np.unique(part["comp"].to_numpy(), return_index=True, return_inverse=True)
+        parent[:] = first[same]
+        out = []
+        for xs, ys in possible(part, percent, width):
+            cuts = np.flatnonzero(np.diff(xs)) + 1
+            for x, own in zip(xs[np.concatenate([[0], cuts])] if len(xs) else [], np.split(ys, cuts)):
+                for at in range(0, len(own), 32):
+                    some = [y for y in own[at : at + 32].tolist() if root(y) != root(x)]
+                    if not some:
+                        continue
+                    theirs = np.concatenate([cells[y] for y in some])
+                    spot = np.minimum(np.searchsorted(cells[x], theirs), sizes[x] - 1)
+                    begin = np.cumsum(sizes[some]) - sizes[some]
+                    common = np.add.reduceat((cells[x][spot] == theirs).astype(np.int64), begin)
+                    near = 100 * common >= percent * (sizes[some] + sizes[x] - common)
+                    for y in np.array(some)[near].tolist():
+                        one, two = root(int(x)), root(y)
+                        if one != two:
+                            parent[max(one, two)] = min(one, two)
+                            out.append((ids[x], ids[y]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -318,19 +458,31 @@ def forest(ids, cells, d, home, left, right, percent: int, width: float) -> pd.D
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def compared(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links ``a b`` inside regions, by rings around the pivot and blocks of bounded size."""
+def compared(
+    regions: DataFrame, sets: DataFrame, around_pivots: DataFrame, names: DataFrame, percent: int, block: int
+) -> DataFrame:
+    """Links ``a b`` inside regions, by rings around the pivot and blocks of bounded size.
+
+    ``around_pivots`` has the pairs ``id pivot`` of all regions, ``names`` the component of
+    each id that has a link.
+    """
     width = 1 - percent / 100
+    bits = sketched(around(sets, "id", regions.select("id")))
+    shared = around_pivots.groupBy("id").agg(F.collect_list("pivot").alias("pivots"))
+    about = bits.join(shared, "id").join(names, "id", "left").select(
+        "id", "bits", "pivots", F.coalesce("component", "id").alias("comp")
+    )
+    about = stored(about, "sketches")
     ring = F.floor(F.col("d") / (width + 1e-9)).cast("int")
     ringed = stored(regions.withColumn("ring", ring), "rings")
     count, keys = ringed.count(), ["region", "ring"]
     placed = running(ringed, keys, ["id"], {"first": F.col("n")}, count, least=64)
-    placed = stored(placed.withColumn("block", F.floor(F.col("first") / block)), "blocks")
+    placed = stored(placed.withColumn("block", F.floor(F.col("first") / (SKETCHED * block))), "blocks")
     known = placed.groupBy("region", "ring", "block").agg(F.count("*").alias("members"))
     known = stored(known.select("region", "ring", "block", "members"), "known-blocks")
-    names = ["region", "ring", "block"]
-    left = known.select("region", *(F.col(n).alias(f"l_{n}") for n in (*names[1:], "members")))
-    right = known.select("region", *(F.col(n).alias(f"r_{n}") for n in (*names[1:], "members")))
+    keys = ["region", "ring", "block"]
+    left = known.select("region", *(F.col(n).alias(f"l_{n}") for n in (*keys[1:], "members")))
+    right = known.select("region", *(F.col(n).alias(f"r_{n}") for n in (*keys[1:], "members")))
     ordered = (F.col("l_ring") == F.col("r_ring") - 1) | (
         (F.col("l_ring") == F.col("r_ring")) & (F.col("l_block") <= F.col("r_block"))
     )
@@ -353,13 +505,13 @@ def compared(regions: DataFrame, sets: DataFrame, percent: int, block: int) -> D
         "pair",
         F.inline(F.when(F.col("same"), F.array(side[0])).otherwise(F.array(*side[1:]))),
     )
-    rows = (
-        placed.join(ends, names)
-        .select("pair", "side", "id", "d", "is_home")
-        .join(sets, "id")
-        .select("pair", "side", "id", "d", "is_home", "cells")
-    )
-    return importable(rows).groupBy("pair").applyInPandas(leaf(percent, width), "a bigint, b bigint")
+    kept = ["pair", "side", "id", "n", "d", "is_home", "bits", "comp", "others"]
+    others = F.filter("pivots", lambda p: p < F.col("origin")).alias("others")
+    rows = placed.join(ends, keys).join(about, "id").select(*kept[:-1], others)
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    needed = importable(rows).groupBy("pair").applyInPandas(involved(percent, width), kinds)
+    whole = stored(needed, "involved").join(sets, "id").select(*kept, "cells")
+    return importable(whole).groupBy("pair").applyInPandas(leaf(percent, width), "a bigint, b bigint")
 
 
 def meetings(parts: DataFrame) -> DataFrame:
@@ -531,15 +683,22 @@ def grouped(
     far = stored(measured(steps, sets), "measured")
     found.add(far.filter(linked(percent)).select(F.col("id").alias("a"), F.col("pivot").alias("b")))
     crowded = far.filter("crowd").select(
-        F.col("pivot").alias("region"), "id", distance().alias("d"), "n", F.lit(True).alias("is_home")
+        F.col("pivot").alias("region"),
+        F.col("pivot").alias("origin"),
+        "id",
+        distance().alias("d"),
+        "n",
+        F.lit(True).alias("is_home"),
     )
     left = stored(open_members(crowded, width), "regions")
     for level in range(LEVELS):
         left, more = divided(left, sets, percent, level, large, found)
         if not more:
             break
-    found.add(stored(compared(left, sets, percent, block), "links"))
     names = components(found.all())
+    around_pivots = regions.filter("crowd").select("id", "pivot")
+    last = stored(compared(left, sets, around_pivots, names, percent, block), "links")
+    names = components(names.select(F.col("id").alias("a"), F.col("component").alias("b")).union(last))
     labels = classes.join(names, "id", "left").withColumn("component", F.coalesce("component", "id"))
     many = labels.filter("members > 1 OR component <> id").select(
         F.col("node").alias("of"), F.col("id").alias("copies_of"), "component"

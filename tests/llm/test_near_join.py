@@ -123,6 +123,63 @@ def test_one_large_group_in_many_regions_and_blocks(make_docs, monkeypatch):
     assert got(found) == brute(dict(enumerate(texts)), 4, 85)
 
 
+def loose_group(members, seed=3, length=200):
+    """One group of texts around a base, most of them too far from each other to be linked."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(length)]
+    out = []
+    for n in range(members):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 4, 5, 6, 7])):
+            own[rng.randrange(length)] = f"x{rng.randint(0, 10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_a_large_group_moves_few_whole_sets(make_docs, monkeypatch):
+    """Only sketches are copied to pairs of blocks; a set goes to where it may have a link."""
+    moved = []
+
+    def counting(frame):
+        if {"pair", "cells"} <= set(frame.columns):
+            moved.append(frame.count())
+        return common.importable(frame)
+
+    monkeypatch.setattr(near_join, "importable", counting)
+    monkeypatch.setattr(near_join, "SKETCHED", 3, raising=False)
+    texts = loose_group(80)
+    found = near_components(make_docs(texts), block=1_000)
+    assert got(found) == brute(dict(enumerate(texts)), 4, 85)
+    assert sum(moved) < 5 * len(texts)
+
+
+def test_sketches_tell_no_similar_sets_apart():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 31, 33, 400):
+        base = rng.integers(-(2**63), 2**63 - 1, n + n // 2, dtype=np.int64)
+        for less in range(n // 2):
+            one, two = base[:n], base[less:]
+            bits = sorted((near_join.parity(x) for x in (one, two)), key=len)
+            short, long = (np.frombuffer(x, np.uint64) for x in bits)
+            while len(long) > len(short):
+                long = long[: len(long) // 2] ^ long[len(long) // 2 :]
+            differ = int(np.bitwise_count(short ^ long).sum())
+            assert differ <= len(np.setxor1d(one, two))
+
+
+def test_members_are_measured_against_all_pivots_of_their_region(spark):
+    cells = {1: [1, 2, 3], 2: [2, 3, 4, 5], 3: [9], 4: [1, 9]}
+    sets = spark.createDataFrame(list(cells.items()), "id bigint, cells array<bigint>")
+    inside = spark.createDataFrame([(7, 1), (7, 2), (8, 3), (8, 4)], "region bigint, id bigint")
+    pivots = spark.createDataFrame([(7, 2), (7, 4), (8, 3)], "region bigint, pivot bigint")
+    rows = near_join.measured_around(inside, pivots, sets).collect()
+    found = {(r["region"], r["id"], r["pivot"]): (r["n"], r["m"], r["common"]) for r in rows}
+    assert found == {
+        (region, i, pivot): (len(cells[i]), len(cells[pivot]), len({*cells[i]} & {*cells[pivot]}))
+        for region, i, pivot in [(7, 1, 2), (7, 1, 4), (7, 2, 2), (7, 2, 4), (8, 3, 3), (8, 4, 3)]
+    }
+
+
 def test_other_widths_and_thresholds(make_docs):
     texts = copies(8, groups=6, noise=4)
     found = near_components(make_docs(texts), words=5, percent=80)
